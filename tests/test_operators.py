@@ -1,0 +1,337 @@
+"""Golden-fixture tests of the operators on small hand-made frames.
+
+Each test pins one of the semantics that bite (SURVEY §8): the three
+indicator kinds, NULL cohort keys, zero denominators, the term weighting,
+the site fan-out, the cut-off day, January, ties and duplicates.
+"""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from kpiloom.functions.indicators import flag, flag_or_null, like_any, like_none, ratio, three_state
+from kpiloom.functions.segments import SegmentRegistry, segment
+from kpiloom.operators.cohort import (CohortSpec, assemble, attribute_carry, cohort_agg,
+                                      indicator_cohort_sum, ratio_rollup, spine, sum_long)
+from kpiloom.operators.links import (activity_flags_any, child_count_threshold, existence_flags,
+                                     members, restrict_to_members)
+from kpiloom.operators.periods import (as_of_switch, distinct_population, exact_period_presence,
+                                       open_before, persistence, retention, score_growth)
+from kpiloom.operators.rates import (average_support, count_cube, entity_rate, period_weights,
+                                     rate_flag, shared_denominators, split_population)
+from kpiloom.operators.surveys import (distinct_entity_count, likert_agree, nps_flags, nps_score,
+                                       survey_completion)
+from tests.conftest import as_dicts, rows
+
+C = CohortSpec(("site", "eth", "gender"))
+
+
+@pytest.fixture(scope="module")
+def contacts(spark):
+    return spark.createDataFrame([
+        ("c1", "Ward 8", "A", "Male", 3.5, "12th Grade", 0, None),
+        ("c2", "Ward 8", "A", "Male", 3.0, "Year 1", 0, "withdrew"),
+        ("c3", "Ward 8", "A", None, 3.3, "Year 1", 1, None),       # NULL gender
+        ("c4", None, "B", "Female", 2.0, "11th Grade", None, None),  # NULL site
+        ("c5", "Crenshaw", "B", "Female", None, "9th Grade", None, None),
+    ], "contact_id string, site string, eth string, gender string, gpa double, grade_c string, "
+       "indicator_years_since_hs_graduation_c int, contact_official_test_prep_withdrawal string")
+
+
+# ---------------------------------------------------------------- indicators
+def test_flag_kinds_zero_vs_null(spark, contacts):
+    out = as_dicts(cohort_agg(contacts, C, {
+        "zero_kind": sum_long(flag(F.col("gpa") >= 3.25)),
+        "null_kind": sum_long(flag_or_null(F.col("gpa") >= 3.25)),
+    }), C.dims)
+    assert out[("Crenshaw", "B", "Female")]["zero_kind"] == 0      # NULL gpa -> not true -> 0
+    assert out[("Crenshaw", "B", "Female")]["null_kind"] is None
+    assert out[("Ward 8", "A", "Male")]["zero_kind"] == 1
+    assert out[("Ward 8", "A", None)]["zero_kind"] == 1             # NULL key is its own cell
+
+
+def test_indicator_cohort_sum_and_segments(spark, contacts):
+    out = as_dicts(indicator_cohort_sum(contacts, C, {
+        "senior": segment("senior"),
+        "senior_opt_in": segment.all_of("senior", "test_opt_in"),
+    }, count=("n", "contact_id")), C.dims)
+    assert out[("Ward 8", "A", "Male")] == {"site": "Ward 8", "eth": "A", "gender": "Male", "n": 2,
+                                           "senior": 2, "senior_opt_in": 1}
+    assert out[("Ward 8", "A", None)]["senior"] == 0                # Year 1 but 1 year out
+
+
+def test_segment_registry_rejects_duplicates_and_unknown():
+    reg = SegmentRegistry()
+    reg.register("x", lambda: F.lit(True))
+    with pytest.raises(ValueError):
+        reg.register("x", lambda: F.lit(False))
+    with pytest.raises(KeyError):
+        reg("y")
+
+
+def test_three_state_and_ratio(spark):
+    df = spark.createDataFrame([(1, 8.0, 10.0), (2, 1.0, 10.0), (3, 0.0, 0.0), (4, None, None)],
+                               "id int, n double, d double")
+    got = dict(rows(df.select("id", three_state("n", "d", 0.8).alias("f"))))
+    assert got == {1: 1, 2: 0, 3: None, 4: 0}                       # NULL denominator -> ELSE 0
+    got = dict(rows(df.select("id", ratio("n", "d").alias("r"))))
+    assert got[3] is None and got[1] == pytest.approx(0.8)
+
+
+def test_like_any_none_drop_nulls(spark):
+    df = spark.createDataFrame([("Junior Advisory",), ("NSO intro",), (None,)], "w string")
+    assert df.filter(like_any("w", ["%Junior%", "%Senior%"])).count() == 1
+    assert df.filter(like_none("w", ["%NSO%"])).count() == 1        # NULL is dropped
+
+
+# ---------------------------------------------------------------- denominators / rates
+def test_shared_denominators_cube_equals_rows(spark, contacts):
+    preds = {"seniors": segment("senior"), "ninth": segment("ninth_grade")}
+    cube = count_cube(contacts, [*C.dims, "grade_c", "indicator_years_since_hs_graduation_c"],
+                      "contact_id", "n")
+    a = shared_denominators(cube, C, preds, weight="n")
+    b = shared_denominators(contacts, C, preds, entity="contact_id")
+    assert rows(a) == rows(b)
+    out = as_dicts(a, C.dims)
+    assert out[("Ward 8", "A", "Male")]["ninth"] is None            # IF(p, n, NULL): nobody -> NULL
+    assert out[("Crenshaw", "B", "Female")]["ninth"] == 1
+
+
+def test_weighted_rate_equals_literal_term_join(spark):
+    facts = spark.createDataFrame([
+        ("s1", "T1", 1.0, 1.0), ("s1", "T2", 0.0, 1.0), ("s2", "T2", 1.0, 2.0), ("s3", "T3", 1.0, 1.0),
+    ], "student string, gterm string, n double, d double")
+    terms = spark.createDataFrame([("a", "T1"), ("b", "T2"), ("c", "T2"), ("d", "T2")],
+                                  "at string, gterm string")        # T3 has no term row
+    w = period_weights(terms, "gterm")
+    fused = entity_rate(facts, "student", F.col("n"), F.col("d"), period="gterm", weights=w)
+    literal = (facts.join(terms, "gterm").groupBy("student")
+               .agg(ratio(F.sum("n"), F.sum("d")).alias("rate")))
+    assert rows(fused.select("student", "rate")) == rows(literal)
+    got = dict(rows(fused.select("student", "rate")))
+    assert got["s1"] == pytest.approx(1 / 4) and "s3" not in got    # weighted by 1 and 3
+
+
+def test_rate_flag_zero_denominator(spark):
+    facts = spark.createDataFrame([("s1", 4.0, 5.0), ("s2", 0.0, 0.0), ("s3", 3.0, 5.0)],
+                                  "s string, n double, d double")
+    got = {r["s"]: (r["rate"], r["ok"]) for r in
+           rate_flag(facts, "s", F.col("n"), F.col("d"), 0.8, "ok").collect()}
+    assert got["s1"] == (pytest.approx(0.8), 1) and got["s2"] == (None, 0) and got["s3"][1] == 0
+
+
+def test_average_support_cohort_vs_site(spark):
+    cell = "site string, eth string, gender string"
+    sessions = spark.createDataFrame([("X", "A", "M", 10.0), ("X", "B", "F", 4.0), ("Y", "A", "M", 6.0)],
+                                     f"{cell}, sessions double")
+    notes = spark.createDataFrame([("X", "A", "M", 2), ("X", "C", "F", 3)], f"{cell}, notes long")
+    need = spark.createDataFrame([("X", "A", "M", 2), ("X", "B", "F", None), ("Y", "A", "M", 1)],
+                                 f"{cell}, need_count long")
+    coh = as_dicts(average_support(sessions, notes, need, C_SITE, "site", "cohort"), C_SITE.dims)
+    assert coh[("X", "A", "M")]["avg_support"] == pytest.approx(6.0)     # (10 + 2) / 2
+    assert ("X", "B", "F") not in coh                                    # NULL need: dropped
+    assert coh[("Y", "A", "M")]["avg_support"] == pytest.approx(6.0)     # no notes -> 0
+    site = as_dicts(average_support(sessions, notes, need, C_SITE, "site", "site"), C_SITE.dims)
+    assert site[("X", "A", "M")]["support_total"] == pytest.approx(2 * 10 + 5)  # k·sessions + Σnotes
+    assert site[("Y", "A", "M")]["support_total"] is None               # site without notes
+
+
+C_SITE = CohortSpec(("site", "eth", "gender"))
+
+
+def test_split_population_plain_equality(spark):
+    ents = spark.createDataFrame([("c1", "X", "A", "M", 1), ("c2", "X", "A", None, 1)],
+                                 "id string, site string, eth string, gender string, den int")
+    nums = spark.createDataFrame([("c1", "A", "M", 1), ("c2", "A", None, 1)],
+                                 "id string, eth string, gender string, num int")
+    out = as_dicts(split_population(ents, nums, ["id", "eth", "gender"], C,
+                                    {"den": sum_long("den"), "num": sum_long("num")}), C.dims)
+    assert out[("X", "A", "M")]["num"] == 1
+    assert out[("X", "A", None)]["num"] is None                     # NULL gender never matches
+
+
+# ---------------------------------------------------------------- cohort tables
+def test_ratio_rollup_readme_example(spark):
+    df = spark.createDataFrame([("DC", "Ward 8", 30, 60), ("DC", "The Durant Center", 25, 75),
+                                ("LA", "Crenshaw", 10, 20)], "region string, site string, n int, d int")
+    out = {(r["level"], r["region"], r["site"]): r["m_ratio"] for r in
+           ratio_rollup(df, {"m": ("n", "d")}, ["region", "site"], level_names=["region", "site"]).collect()}
+    assert out[("site", "DC", "Ward 8")] == pytest.approx(0.5)
+    assert out[("site", "DC", "The Durant Center")] == pytest.approx(0.333333)
+    assert out[("region", "DC", None)] == pytest.approx(0.407407)   # 55/135, not the mean 0.4167
+    assert out[("National", None, None)] == pytest.approx(65 / 155, abs=1e-6)
+
+
+def test_assemble_null_keys_and_disjointness(spark, contacts):
+    sp = spine(contacts, C)
+    t = cohort_agg(contacts, C, {"n": F.count("contact_id")})
+    plain = as_dicts(assemble(sp, [t], C), C.dims)
+    assert plain[("Ward 8", "A", None)]["n"] is None                # plain '=' never matches NULL
+    assert plain[("Ward 8", "A", "Male")]["n"] == 2
+    safe = as_dicts(assemble(sp, [t], C, null_safe=True), C.dims)
+    assert safe[("Ward 8", "A", None)]["n"] == 1
+    assert assemble(sp, [t], C).count() == sp.count()               # wide rows = spine rows
+    with pytest.raises(ValueError):
+        assemble(sp, [t, t], C)                                     # duplicate metric names
+    dup = t.unionByName(t)
+    with pytest.raises(ValueError):
+        assemble(sp, [dup], C, check_unique=True)
+
+
+def test_attribute_carry(spark, contacts):
+    ent = contacts.withColumn("site_c", F.when(F.col("site") == "Ward 8", "acc1").otherwise("acc2"))
+    units = spark.createDataFrame([("acc1", 120), ("acc2", 80)], "Id string, cap int")
+    out = as_dicts(attribute_carry(ent, units, "site_c", "Id", "cap", C, ("head", "contact_id"), "capacity"),
+                   C.dims)
+    assert out[("Ward 8", "A", "Male")] == {"site": "Ward 8", "eth": "A", "gender": "Male",
+                                           "head": 2, "capacity": 120}
+
+
+# ---------------------------------------------------------------- parent / child
+def test_existence_flags_one_scan_and_zero_fill(spark, contacts):
+    apps = spark.createDataFrame([("c1", "Accepted"), ("c1", "Accepted"), ("c2", "Wait-listed"),
+                                  ("zz", "Accepted"), (None, "Accepted")], "student_c string, status string")
+    out = existence_flags(contacts, "contact_id", apps, "student_c", {
+        "accepted": F.col("status") == "Accepted",
+        "waitlisted": F.col("status") == "Wait-listed"})
+    got = {r["contact_id"]: (r["accepted"], r["waitlisted"]) for r in out.collect()}
+    assert got == {"c1": (1, 0), "c2": (0, 1), "c3": (0, 0), "c4": (0, 0), "c5": (0, 0)}
+    assert out.count() == contacts.count()                          # duplicate children: no fan-out
+
+
+def test_child_count_threshold_keeps_childless(spark, contacts):
+    asp = spark.createDataFrame([("c1", "Best Fit")] * 6 + [("c1", "Local Affordable")] * 3
+                                + [("c2", "Best Fit")] * 7, "student_c string, fit string")
+    out = child_count_threshold(contacts, "contact_id", asp, "student_c",
+                                {"any_app": None, "affordable": F.col("fit") == "Local Affordable"},
+                                lambda any_app, affordable: (any_app >= 6) & (affordable >= 3), "ok")
+    got = {r["contact_id"]: (r["any_app"], r["affordable"], r["ok"]) for r in out.collect()}
+    assert got["c1"] == (9, 3, 1) and got["c2"] == (7, 0, 0) and got["c3"] == (0, 0, 0)
+
+
+def test_membership_semi_join_no_duplication(spark):
+    facts = spark.createDataFrame([("c1", 1), ("c1", 2), ("c2", 3)], "contact_id string, v int")
+    terms = spark.createDataFrame([("c1", "Blue"), ("c1", "Red"), ("c2", "Green")],
+                                  "contact_id string, color string")
+    m = members(terms, "contact_id", F.col("color").isin("Blue", "Red"))
+    assert rows(restrict_to_members(facts, "contact_id", m)) == [("c1", 1), ("c1", 2)]
+
+
+def test_activity_flags_any(spark):
+    act = spark.createDataFrame([("c1", "Internship", True), ("c1", "Other", False), ("c2", "Other", None)],
+                                "s string, type string, meaningful boolean")
+    got = {r["s"]: (r["intern"], r["meaningful"]) for r in activity_flags_any(act, "s", {
+        "intern": F.col("type") == "Internship", "meaningful": F.col("meaningful")}).collect()}
+    assert got == {"c1": (1, 1), "c2": (0, 0)}
+
+
+# ---------------------------------------------------------------- periods
+def test_score_growth_cases(spark):
+    df = spark.createDataFrame([
+        ("s1", "X", "A", "M", "AY 2019-20", 10.0), ("s1", "X", "A", "M", "AY 2019-20", 12.0),
+        ("s1", "X", "A", "M", "AY 2020-21", 11.0),                  # min 10 -> 11: grew
+        ("s2", "X", "A", "M", "AY 2020-21", 9.0),                   # one period only: no pair
+        ("s3", "X", "A", "M", "AY 2018-19", 5.0), ("s3", "X", "A", "M", "AY 2019-20", 4.0),
+        ("s3", "X", "A", "M", "AY 2020-21", 6.0),                   # three periods: 2 pairs, 1 grew
+        ("s4", "X", "A", "M", "AY 2019-20", None), ("s4", "X", "A", "M", "AY 2020-21", 7.0),
+    ], "s string, site string, eth string, gender string, ay string, score double")
+    out = as_dicts(score_growth(df, "s", "ay", F.col("score"), C, "grew", "pairs"), C.dims)
+    assert out[("X", "A", "M")]["pairs"] == 3 and out[("X", "A", "M")]["grew"] == 2
+
+
+def test_score_growth_sum_of_parts_null(spark):
+    df = spark.createDataFrame([("s1", "X", "A", "M", 1, 1.0, None), ("s1", "X", "A", "M", 2, 1.0, 2.0),
+                                ("s1", "X", "A", "M", 3, 1.0, 3.0)],
+                               "s string, site string, eth string, gender string, p int, a double, b double")
+    out = score_growth(df, "s", "p", F.col("a") + F.col("b"), C, "grew", "pairs").collect()
+    assert (out[0]["pairs"], out[0]["grew"]) == (1, 1)             # NULL score drops its pair
+
+
+def test_retention_counts_two_sites_twice(spark):
+    act = spark.createDataFrame([("s1", "X", "A", "M", "11A"), ("s1", "X", "A", "M", "11A"),
+                                 ("s2", "X", "A", "M", "11A"), ("s2", "Y", "A", "M", "11A"),
+                                 ("s3", "X", "A", "M", "18A")],
+                                "s string, site string, eth string, gender string, status string")
+    cs = CohortSpec(("eth", "gender"))
+    out = retention(act, "s", F.col("status").isin("11A", "18a", "12A"), cs, extra=["site"]).collect()
+    assert (out[0]["retention_denom"], out[0]["retention_num"]) == (4, 3)  # '18A' is not '18a'
+
+
+def test_persistence(spark):
+    t = spark.createDataFrame([
+        ("p1", "X", "A", "M", "F19", True), ("p1", "X", "A", "M", "W20", True), ("p1", "X", "A", "M", "F20", True),
+        ("p2", "X", "A", "M", "F19", True), ("p2", "X", "A", "M", "W20", False),
+        ("p3", "X", "A", "M", "F19", False), ("p3", "X", "A", "M", "W20", True),   # not in group
+        ("p4", "X", "A", "M", "F19", True),                                           # no later term
+        ("p5", "X", "A", "M", "F19", True), ("p5", "Y", "A", "M", "W20", True),
+        ("p5", "X", "A", "M", "W20", False),                                          # one site enough
+    ], "c string, site string, eth string, gender string, term string, ok boolean")
+    cs = CohortSpec(("eth", "gender"))
+    out = persistence(t, "c", base=F.col("term") == "F19", group_pred=F.col("ok"),
+                      later=F.col("term").isin("W20", "F20"), persisted_pred=F.col("ok"),
+                      cohort=cs, site="site").collect()
+    assert (out[0]["persist_denom"], out[0]["persist_num"]) == (3, 2)
+
+
+def test_exact_period_presence(spark):
+    t = spark.createDataFrame([("a", "X", "A", "M", "Spring"), ("a", "X", "A", "M", "Summer"),
+                               ("b", "X", "A", "M", "Spring"), ("c", "X", "A", "M", "Spring"),
+                               ("c", "X", "A", "M", "Spring"), ("d", "X", "A", "M", "Fall")],
+                              "s string, site string, eth string, gender string, term string")
+    out = exact_period_presence(t, "s", F.lit(True), F.col("term").isin("Spring", "Summer"), 2, C, "n")
+    assert out.collect()[0]["n"] == 2                              # a, and c (twice in one term)
+
+
+def test_as_of_switch_cutoff_day():
+    cur, prev = F.col("current"), F.col("previous")
+    assert str(as_of_switch("2021-06-30", "2021-07-01", cur, prev)) == str(cur)
+    assert str(as_of_switch("2021-07-02", "2021-07-01", cur, prev)) == str(prev)
+    assert str(as_of_switch("2021-07-01", "2021-07-01", cur, prev)) == str(F.lit(False))
+    assert str(as_of_switch("2021-07-01", "2021-07-01", cur, prev, inclusive=True)) == str(prev)
+
+
+def test_open_before_january_and_year_aware(spark):
+    df = spark.createDataFrame([(dt.date(2020, 12, 20),), (dt.date(2021, 1, 3),), (dt.date(2020, 2, 1),)],
+                               "d date")
+    assert df.filter(open_before(F.col("d"), "2021-01-05")).count() == 0     # January: nothing
+    assert df.filter(open_before(F.col("d"), "2021-01-05", year_aware=True)).count() == 2
+    assert df.filter(open_before(F.col("d"), "2021-03-05")).count() == 2     # ignores the year
+
+
+def test_distinct_population(spark):
+    t = spark.createDataFrame([("a", "X", "A", "M", "15A"), ("a", "X", "A", "M", "15A"),
+                               ("b", "X", "A", "M", "17A"), ("c", "X", "A", "M", "11A")],
+                              "s string, site string, eth string, gender string, status string")
+    r = distinct_population(t, "s", ["status"], C, F.col("status").isin("15A", "17A"), "den", "num").collect()
+    assert (r[0]["den"], r[0]["num"]) == (3, 2)
+
+
+# ---------------------------------------------------------------- surveys
+def test_nps_null_answer_is_neither(spark):
+    df = spark.createDataFrame([("10 - extremely likely",), ("9",), ("8",), ("3",), (None,)], "a string")
+    fl = nps_flags(F.col("a"), ["10 - extremely likely", "9"], ["8", "7"])
+    agg = df.agg(sum_long(fl["promoter"]).alias("p"), sum_long(fl["detractor"]).alias("d"),
+                 F.count("a").alias("n")).withColumn("nps", nps_score("p", "d", "n")).collect()[0]
+    assert (agg["p"], agg["d"], agg["n"]) == (2, 1, 4) and agg["nps"] == pytest.approx(25.0)
+
+
+def test_likert_variants(spark):
+    df = spark.createDataFrame([("StronglyAgree", "De acuerdo"), ("Disagree", None), (None, "Muy de acuerdo")],
+                               "q1 string, q2 string")
+    en = ("Strongly Agree", "StronglyAgree", "Agree")
+    got = rows(df.select(likert_agree({"q1": en}).alias("one"),
+                         likert_agree({"q1": en, "q2": ("De acuerdo",)}, "all").alias("both"),
+                         likert_agree({"q1": en, "q2": ("De acuerdo", "Totalmente de acuerdo")}, "any").alias("any")))
+    assert got == [(0, 0, 0), (0, 0, 0), (1, 1, 1)]
+
+
+def test_distinct_entity_count_and_survey_completion(spark):
+    df = spark.createDataFrame([("s1", "X", "A", "M"), ("s1", "X", "A", "M"), ("s2", "X", "A", "M")],
+                               "s string, site string, eth string, gender string")
+    r = distinct_entity_count(df, "s", C, "n", extra={"rows": F.count(F.lit(1))}).collect()[0]
+    assert (r["n"], r["rows"]) == (2, 3)
+    comp = spark.createDataFrame([("X", "A", "M", 5, 3), ("X", "A", "M", 2, 2)],
+                                 "site string, eth string, gender string, sc int, cc int")
+    r = survey_completion(comp, C, {"den": "sc", "num": "cc"}).collect()[0]
+    assert (r["den"], r["num"]) == (7, 5)
