@@ -77,6 +77,8 @@ def restrict_to_members(facts: DataFrame, fact_key: str, member_keys: DataFrame)
     return facts.join(member_keys, facts[fact_key] == member_keys["__member"], "left_semi")
 
 
-def activity_flags_any(activities: DataFrame, entity: str, flags: Mapping[str, Column]) -> DataFrame:
-    """Per entity, MAX of each 0/1 flag over its activity rows."""
-    return activities.groupBy(entity).agg(*[F.max(flag(p)).alias(n) for n, p in flags.items()])
+def activity_flags_any(activities: DataFrame, entity: str, flags: Mapping[str, Column],
+                       keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per entity (and ``keep`` columns), MAX of each 0/1 flag over its
+    activity rows."""
+    return activities.groupBy(entity, *keep).agg(*[F.max(flag(p)).alias(n) for n, p in flags.items()])

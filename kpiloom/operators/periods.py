@@ -41,6 +41,12 @@ def score_growth(scores: DataFrame, entity: str, period: str, score: Column,
                                             F.count(F.col(entity)).alias(pairs))
 
 
+def retention_rows(activity: DataFrame, entity: str, active: Column, cohort: CohortSpec,
+                   extra: Sequence[str] = ()) -> DataFrame:
+    """Distinct (entity, cell, extra..., ``active``) tuples behind K12."""
+    return activity.select(entity, *cohort.dims, *extra, flag(active).alias("active")).distinct()
+
+
 def retention(activity: DataFrame, entity: str, active: Column, cohort: CohortSpec,
               denom: str = "retention_denom", num: str = "retention_num",
               extra: Sequence[str] = ()) -> DataFrame:
@@ -49,23 +55,24 @@ def retention(activity: DataFrame, entity: str, active: Column, cohort: CohortSp
 
     An entity in two sites (``extra``) counts twice, as in the reference.
     """
-    distinct = activity.select(entity, *cohort.dims, *extra, flag(active).alias("__active")).distinct()
-    return distinct.groupBy(*cohort.dims).agg(F.count(F.col(entity)).alias(denom),
-                                              sum_long("__active").alias(num))
+    rows = retention_rows(activity, entity, active, cohort, extra)
+    return rows.groupBy(*cohort.dims).agg(F.count(F.col(entity)).alias(denom),
+                                          sum_long("active").alias(num))
 
 
-def persistence(terms: DataFrame, entity: str, base: Column, group_pred: Column,
-                later: Column, persisted_pred: Column, cohort: CohortSpec,
-                site: str | None = None, denom: str = "persist_denom",
-                num: str = "persist_num") -> DataFrame:
-    """Persisted iff every later period row qualifies.
+def persistence_entities(terms: DataFrame, entity: str, base: Column, group_pred: Column,
+                         later: Column, persisted_pred: Column, cohort: CohortSpec,
+                         site: str | None = None, denom: str = "persist_denom",
+                         num: str = "persist_num") -> DataFrame:
+    """K13 at entity grain: one row per (entity, cell) of the reporting group
+    with ``denom`` = 1 and ``num`` = 1 if persisted (at any site), else 0.
 
     * reporting group: entity has a base-period row with ``group_pred``;
     * per (entity, cell, site) over later rows: count(all) vs count(qualifying);
     * persisted at any site is enough (MAX); entities without later rows
       never enter.
 
-    One scan: the base and later rows are read in a single filtered pass and
+    One scan: base and later rows come from a single filtered read and are
     split by conditional aggregates.
     """
     site_keys = [site] if site and site not in cohort.dims else []
@@ -75,10 +82,20 @@ def persistence(terms: DataFrame, entity: str, base: Column, group_pred: Column,
     per = (rows.filter(later).groupBy(entity, *cohort.dims, *site_keys)
            .agg(F.count(F.lit(1)).alias("__n"), F.sum(flag(persisted_pred)).alias("__k")))
     per = per.join(group, per[entity] == group["__e"], "inner").filter(F.col("__in_group") == 1)
-    per_entity = per.groupBy(entity, *cohort.dims).agg(
-        F.max(flag(F.col("__n") == F.col("__k"))).alias("__persisted"))
-    return per_entity.groupBy(*cohort.dims).agg(F.count(F.col(entity)).alias(denom),
-                                                sum_long("__persisted").alias(num))
+    return per.groupBy(entity, *cohort.dims).agg(
+        F.max(F.col("__in_group")).alias(denom),
+        F.max(flag(F.col("__n") == F.col("__k"))).alias(num))
+
+
+def persistence(terms: DataFrame, entity: str, base: Column, group_pred: Column,
+                later: Column, persisted_pred: Column, cohort: CohortSpec,
+                site: str | None = None, denom: str = "persist_denom",
+                num: str = "persist_num") -> DataFrame:
+    """Persisted iff every later period row qualifies; per cell the
+    reporting-group size and the number persisted."""
+    ent = persistence_entities(terms, entity, base, group_pred, later, persisted_pred, cohort,
+                               site, denom, num)
+    return ent.groupBy(*cohort.dims).agg(sum_long(denom).alias(denom), sum_long(num).alias(num))
 
 
 def exact_period_presence(terms: DataFrame, entity: str, pred: Column, periods: Column,
