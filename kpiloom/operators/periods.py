@@ -98,11 +98,19 @@ def persistence(terms: DataFrame, entity: str, base: Column, group_pred: Column,
     return ent.groupBy(*cohort.dims).agg(sum_long(denom).alias(denom), sum_long(num).alias(num))
 
 
+def period_presence_entities(terms: DataFrame, entity: str, pred: Column, periods: Column,
+                             k: int, keep: Sequence[str] = ()) -> DataFrame:
+    """Entities (with ``keep`` columns) having exactly ``k`` qualifying rows
+    over the named periods — one partial+final aggregate by entity."""
+    per = terms.filter(pred & periods).groupBy(entity, *keep).agg(F.count(F.lit(1)).alias("__n"))
+    return per.filter(F.col("__n") == k).drop("__n")
+
+
 def exact_period_presence(terms: DataFrame, entity: str, pred: Column, periods: Column,
                           k: int, cohort: CohortSpec, name: str) -> DataFrame:
     """Entities with exactly ``k`` qualifying rows over the named periods."""
-    per = terms.filter(pred & periods).groupBy(entity, *cohort.dims).agg(F.count(F.lit(1)).alias("__n"))
-    return per.filter(F.col("__n") == k).groupBy(*cohort.dims).agg(F.count(F.col(entity)).alias(name))
+    ents = period_presence_entities(terms, entity, pred, periods, k, cohort.dims)
+    return ents.groupBy(*cohort.dims).agg(F.count(F.col(entity)).alias(name))
 
 
 def as_of_switch(as_of, cutoff, current: Column, previous: Column,

@@ -28,8 +28,9 @@ from kpiloom.operators.cohort import (CohortSpec, assemble, attribute_carry, coh
                                       indicator_cohort_sum, ratio_rollup, spine, sum_long)
 from kpiloom.operators.links import (activity_flags_any, child_count_threshold,
                                      existence_flags, members, restrict_to_members)
-from kpiloom.operators.periods import (as_of_switch, distinct_population, exact_period_presence,
-                                       open_before, persistence, retention, score_growth)
+from kpiloom.operators.periods import (as_of_switch, distinct_population, open_before,
+                                       period_presence_entities, persistence_entities, retention,
+                                       score_growth)
 from kpiloom.operators.rates import (average_support, count_cube, entity_rate, period_weights,
                                      rate_flag, shared_denominators, split_population,
                                      three_state_rate)
@@ -364,7 +365,7 @@ def k12_table(t: Commerce) -> DataFrame:
     o = t.orders()
     li_orders = t.lineitem().select("l_orderkey").distinct()
     o97 = o.filter(in_year("o_orderdate", 1997)).select("o_orderkey", "contact_id")
-    act = li_orders.join(o97, li_orders["l_orderkey"] == o97["o_orderkey"]).select("contact_id")
+    act = li_orders.join(o97, li_orders["l_orderkey"] == o97["o_orderkey"]).select("contact_id").distinct()
     active = existence_flags(dims(t), "contact_id", o, "contact_id",
                              {"active": in_year("o_orderdate", 1998)})
     return retention(act.join(active, "contact_id"), "contact_id", F.col("active") == 1, COHORT,
@@ -380,11 +381,15 @@ def retention_q(t: Commerce) -> DataFrame:
 def k13_table(t: Commerce) -> DataFrame:
     base, later = 19974, (19981, 19982, 19984)
     o = t.orders().filter(in_quarters("o_orderdate", [base, *later]))
-    rows = o.join(dims(t), "contact_id")
     ok = st() != "P"
-    return persistence(rows, "contact_id", base=F.col("gterm") == base, group_pred=ok,
-                       later=F.col("gterm").isin(*later), persisted_pred=ok, cohort=COHORT,
-                       site="n_name", denom="persist_denom", num="persist_num")
+    # a customer's cell is fixed, so the per-customer pass runs on orders
+    # alone (partial aggregation) and the cell is attached afterwards
+    ents = persistence_entities(o, "contact_id", base=F.col("gterm") == base, group_pred=ok,
+                                later=F.col("gterm").isin(*later), persisted_pred=ok,
+                                cohort=CohortSpec(()), denom="persist_denom", num="persist_num")
+    j = ents.join(dims(t), "contact_id")
+    return cohort_agg(j, COHORT, {"persist_denom": sum_long("persist_denom"),
+                                  "persist_num": sum_long("persist_num")})
 
 
 @register("persistence")
@@ -398,9 +403,9 @@ def persistence_q(t: Commerce) -> DataFrame:
 def exact_presence_q(t: Commerce) -> DataFrame:
     """Customers with exactly two finished orders over 1998Q1 and 1998Q3."""
     o = t.orders().filter(in_quarters("o_orderdate", [19981, 19983]))
-    rows = o.join(dims(t), "contact_id")
-    return exact_period_presence(rows, "contact_id", st() == "F", F.col("gterm").isin(19981, 19983),
-                                 2, COHORT, "ep_two_periods")
+    ents = period_presence_entities(o, "contact_id", st() == "F", F.col("gterm").isin(19981, 19983), 2)
+    return cohort_agg(ents.join(dims(t), "contact_id"), COHORT,
+                      {"ep_two_periods": F.count("contact_id")})
 
 
 # --------------------------------------------------------------- K16 / K17 / K20 / K23 / K30
@@ -452,7 +457,8 @@ def distinct_population_q(t: Commerce) -> DataFrame:
     """Distinct (customer, priority) of non-pending 1995 orders; on-track
     = priority not 4/5."""
     o = t.orders().filter(in_year("o_orderdate", 1995) & (st() != "P"))
-    rows = o.join(dims(t), "contact_id")
+    # distinct (customer, priority) first: a customer with many orders is one row per priority
+    rows = o.select("contact_id", "o_orderpriority").distinct().join(dims(t), "contact_id")
     return distinct_population(rows, "contact_id", ["o_orderpriority"], COHORT,
                                ~pr().isin(NOT_SPECIFIED, LOW), "dp_denom", "dp_on_track")
 
@@ -488,10 +494,10 @@ def projected_completion_q(t: Commerce) -> DataFrame:
 @register("distinct_entity_count")
 def distinct_count_q(t: Commerce) -> DataFrame:
     """Distinct customers with an URGENT order, beside the order count."""
-    o = t.orders().filter(pr() == URGENT).select("contact_id", "o_orderkey")
-    j = o.join(dims(t), "contact_id")
+    per = t.orders().filter(pr() == URGENT).groupBy("contact_id").agg(F.count(F.lit(1)).alias("n"))
+    j = per.join(dims(t), "contact_id")
     return distinct_entity_count(j, "contact_id", COHORT, "dc_urgent_customers",
-                                 extra={"dc_urgent_orders": F.count(F.lit(1))})
+                                 extra={"dc_urgent_orders": sum_long("n")})
 
 
 def nps_table(t: Commerce) -> DataFrame:
@@ -594,24 +600,126 @@ def registry_q(t: Commerce) -> DataFrame:
     return TWIN_REGISTRY.add_percent_columns(wide)
 
 
-def pipeline_teams(t: Commerce) -> dict[str, Callable[[], DataFrame]]:
-    return {
-        "indicators": lambda: k01_table(t),
-        "rates": lambda: k04_table(t),
-        "existence": lambda: k06_table(t),
-        "child_counts": lambda: k07_table(t),
-        "nps": lambda: nps_table(t),
-        "retention": lambda: k12_table(t),
-        "persistence": lambda: k13_table(t),
-        "open_records": lambda: open_records_table(t),
-    }
+# ---- K28: the nightly job on shared profiles --------------------------------
+# Every team table above re-reads its facts, which is right for one table on
+# its own.  The job that builds them all shares two fact profiles instead:
+# lineitem is reduced to order grain once and orders (with that) to customer
+# grain once, carrying every per-customer quantity the teams need.  With a
+# sink the customer profile is written and read back (lineage cut); without
+# one the same DataFrame is reused and Spark plans its exchanges once.
+
+EF_FLAGS = {
+    "ef_urgent_1998": lambda: (pr() == URGENT) & in_year("o_orderdate", 1998),
+    "ef_finished_high": lambda: (st() == "F") & (pr() == HIGH),
+    "ef_pending_low": lambda: (st() == "P") & (pr() == LOW),
+    "ef_open_2001": lambda: (st() == "O") & in_year("o_orderdate", 2001),
+}
+P_BASE, P_LATER = 19974, (19981, 19982, 19984)
+
+
+def line_profile(t: Commerce, as_of: str = AS_OF) -> DataFrame:
+    """Order grain: rate inputs and open-line counts from one lineitem pass."""
+    q = F.col("l_quantity")
+    is_open = (F.col("l_linestatus") == "O") & open_before(F.col("l_shipdate"), as_of)
+    return t.lineitem().groupBy("l_orderkey").agg(
+        F.sum(F.when(F.col("l_returnflag") != "R", q).otherwise(0)).alias("n"),
+        F.sum(q).alias("d"), F.sum(flag(is_open)).alias("open_lines"))
+
+
+def contact_profile(t: Commerce, as_of: str = AS_OF) -> DataFrame:
+    """Customer grain, one orders pass: everything the order-based teams use,
+    joined to the customer's cell."""
+    o = t.orders()
+    lp = line_profile(t, as_of)
+    j = o.join(lp, o["o_orderkey"] == lp["l_orderkey"], "left")
+    has_lines = F.col("l_orderkey").isNotNull()
+    base = F.col("gterm") == P_BASE
+    later = F.col("gterm").isin(*P_LATER)
+    ok = st() != "P"
+    prof = j.groupBy("contact_id").agg(
+        F.sum("n").alias("rr_n"), F.sum("d").alias("rr_d"), F.max(flag(has_lines)).alias("has_lines"),
+        *[F.max(flag(p())).alias(n) for n, p in EF_FLAGS.items()],
+        F.count(F.lit(1)).alias("cc_orders"), F.sum(flag(pr().isin(URGENT, HIGH))).alias("cc_urgent_high"),
+        F.max(flag(in_year("o_orderdate", 1997) & has_lines)).alias("ret_active_97"),
+        F.max(flag(in_year("o_orderdate", 1998))).alias("ret_active_98"),
+        F.max(F.when(base, flag(ok))).alias("p_group"),
+        F.sum(flag(later)).alias("p_n"), F.sum(flag(later & ok)).alias("p_k"),
+        F.sum("open_lines").alias("open_lines"))
+    return dims(t).join(prof, "contact_id", "left")
+
+
+def order_team_metrics(pc: DataFrame) -> DataFrame:
+    """All six order-based team tables in one cohort aggregate.
+
+    Each team's row filter becomes a conditional aggregate of the NULL kind
+    (``sum(when(p, x))``), so a cell where nobody qualifies keeps NULL, as
+    the team's own table (where the cell is absent) gives after the join.
+    """
+    rate = F.try_divide(F.col("rr_n"), F.col("rr_d"))
+    ef = {n: F.coalesce(F.col(n), F.lit(0)) for n in EF_FLAGS}
+    ef["ef_urgent_or_pending_low"] = F.greatest(ef["ef_urgent_1998"], ef["ef_pending_low"])
+    cc_ok = ((F.coalesce(F.col("cc_orders"), F.lit(0)) >= 12)
+             & (F.coalesce(F.col("cc_urgent_high"), F.lit(0)) >= 5))
+    ret = F.col("ret_active_97") == 1
+    grp = (F.col("p_group") == 1) & (F.col("p_n") > 0)
+    return cohort_agg(pc, COHORT, {
+        "rr_rated": F.count(rate),
+        "rr_above": sum_long(F.when(F.col("has_lines") == 1, flag(rate >= RATE_THRESHOLD))),
+        "rr_above_all": sum_long(flag(rate >= RATE_THRESHOLD)),
+        **{n: sum_long(c) for n, c in ef.items()},
+        "cc_num": sum_long(flag(cc_ok)), "cc_denom": F.count("contact_id"),
+        "ret_denom": sum_long(F.when(ret, 1)), "ret_num": sum_long(F.when(ret, F.col("ret_active_98"))),
+        "persist_denom": sum_long(F.when(grp, 1)),
+        "persist_num": sum_long(F.when(grp, flag(F.col("p_n") == F.col("p_k")))),
+        "or_open_records": sum_long(F.when(F.col("open_lines") > 0, F.col("open_lines"))),
+    })
+
+
+# team table = its columns of the shared cohort aggregate; the column named
+# second says whether the team has a row for the cell at all
+ORDER_TEAMS = {
+    "rates": (["rr_rated", "rr_above", "rr_above_all"], None),
+    "existence": ([*EF_FLAGS, "ef_urgent_or_pending_low"], None),
+    "child_counts": (["cc_num", "cc_denom"], None),
+    "retention": (["ret_denom", "ret_num"], "ret_denom"),
+    "persistence": (["persist_denom", "persist_num"], "persist_denom"),
+    "open_records": (["or_open_records"], "or_open_records"),
+}
+
+
+def order_team(name: str):
+    cols, present = ORDER_TEAMS[name]
+
+    def build(shared):
+        m = shared["order_metrics"]
+        if present:
+            m = m.filter(F.col(present).isNotNull())
+        return m.select(*KEYS, *cols)
+    return build
+
+
+def pipeline_teams(t: Commerce) -> list:
+    from kpiloom.plans.pipeline import Team
+    return [
+        Team("indicators", lambda shared: k01_table(t)),
+        *[Team(n, order_team(n), cadence="monthly" if n == "open_records" else "nightly")
+          for n in ORDER_TEAMS],
+        Team("nps", lambda shared: nps_table(t)),
+    ]
+
+
+def twin_pipeline(t: Commerce, as_of: str = AS_OF, sink: str | None = None) -> DataFrame:
+    """One pass over lineitem and orders for all order-based teams: the
+    customer profile feeds one cohort aggregate, which is materialised
+    (cohort grain: small) and projected into the team tables."""
+    from kpiloom.plans.pipeline import Pipeline
+    p = Pipeline(spine=lambda: join_prep_table(t), teams=pipeline_teams(t), cohort=COHORT,
+                 shared={"order_metrics": lambda: order_team_metrics(contact_profile(t, as_of))})
+    return p.run(as_of=as_of, sink=sink)
 
 
 @register("kpi_pipeline")
 def pipeline_q(t: Commerce) -> DataFrame:
-    """join_prep spine ⟕ eight team tables (no sink: lazy result)."""
-    from kpiloom.plans.pipeline import Pipeline, Team
-    teams = [Team(n, b, cadence="monthly" if n == "open_records" else "nightly")
-             for n, b in pipeline_teams(t).items()]
-    p = Pipeline(spine=lambda: join_prep_table(t), teams=teams, cohort=COHORT)
-    return p.run(as_of=AS_OF, sink=None)
+    """join_prep spine ⟕ eight team tables built from shared profiles
+    (no sink: lazy result)."""
+    return twin_pipeline(t)

@@ -11,19 +11,23 @@ the whole graph, and the assembly reads small cohort-grain files.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
 from kpiloom.operators.cohort import CohortSpec, assemble
+from kpiloom.session import ensure_checkpoint_dir
 from kpiloom.sources.sinks import write_table
 
 
 @dataclass(frozen=True)
 class Team:
+    """A team table.  ``build`` takes the mapping of shared (materialised)
+    tables, ``{name: DataFrame}``, and may ignore it."""
+
     name: str
-    build: Callable[[], DataFrame]
+    build: Callable[[Mapping[str, DataFrame]], DataFrame]
     cadence: str = "nightly"        # or "monthly"
     monthly_day: int = 5
 
@@ -36,6 +40,13 @@ class Pipeline:
     spine: Callable[[], DataFrame]
     teams: Sequence[Team]
     cohort: CohortSpec
+    # Shared stages (e.g. a per-entity profile of a fact table) built once,
+    # before the teams, and handed to every team builder.  With a sink they
+    # are written and read back; without one they are checkpointed into the
+    # shared ``spark.checkpoint.dir``.  Either way every team reads the same
+    # materialised rows: a lazy frame would be re-planned per team (each
+    # prunes different columns, so Spark could not reuse its exchanges).
+    shared: Mapping[str, Callable[[], DataFrame]] = field(default_factory=dict)
     spine_name: str = "join_prep"
     wide_name: str = "team_kpi_table"
     out_partitions: int = 1          # cohort-grain tables are small
@@ -46,6 +57,12 @@ class Pipeline:
         path = write_table(df, sink, name, self.out_partitions)
         return df.sparkSession.read.parquet(path)
 
+    def _materialise_shared(self, df: DataFrame, sink: str | None, name: str) -> DataFrame:
+        if sink is not None:
+            return self._materialise(df, sink, name)
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+
     def _existing(self, spark, sink: str, name: str) -> DataFrame | None:
         try:
             return spark.read.parquet(f"{sink.rstrip('/')}/{name}")
@@ -59,6 +76,7 @@ class Pipeline:
         no sink, or no snapshot yet, it is built.
         """
         day = as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of))
+        shared = {n: self._materialise_shared(b(), sink, f"_shared_{n}") for n, b in self.shared.items()}
         spine_df = self._materialise(self.spine(), sink, self.spine_name)
         tables = []
         for team in self.teams:
@@ -67,6 +85,6 @@ class Pipeline:
                 if old is not None:
                     tables.append(old)
                     continue
-            tables.append(self._materialise(team.build(), sink, team.name))
+            tables.append(self._materialise(team.build(shared), sink, team.name))
         wide = assemble(spine_df, tables, self.cohort)
         return self._materialise(wide, sink, self.wide_name)

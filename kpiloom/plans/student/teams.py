@@ -524,7 +524,7 @@ def student_pipeline(src: Source, p: StudentParams | None = None, sink: str | No
     """Nightly run: every team table written to ``sink``, then assembled;
     the open-records snapshot is rebuilt only on the 5th of the month."""
     p = p or StudentParams()
-    teams = [Team(name, (lambda fn=fn: fn(src, p)),
+    teams = [Team(name, (lambda shared, fn=fn: fn(src, p)),
                   cadence="monthly" if name == "om_incomplete_attendance" else "nightly")
              for name, fn in TEAMS.items()]
     return Pipeline(spine=lambda: join_prep(src, p), teams=teams, cohort=COHORT).run(p.as_of, sink)

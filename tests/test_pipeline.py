@@ -52,13 +52,14 @@ def test_pipeline_writes_tables_and_reuses_monthly(spark):
         return base.groupBy(*C.dims).agg(F.sum("v").cast("bigint").alias("om_records"))
 
     p = Pipeline(spine=lambda: base.select(*C.dims).distinct(),
-                 teams=[Team("t1", lambda: base.groupBy(*C.dims).agg(F.count("v").alias("t1_n"))),
-                        Team("om", monthly, cadence="monthly")], cohort=C)
+                 teams=[Team("t1", lambda sh: sh["base"].groupBy(*C.dims).agg(F.count("v").alias("t1_n"))),
+                        Team("om", lambda sh: monthly(), cadence="monthly")], cohort=C,
+                 shared={"base": lambda: base})
     sink = tempfile.mkdtemp(prefix="kpiloom-sink-", dir="/tmp")
     wide = p.run("2021-03-05", sink=sink)
     first = sorted(map(tuple, wide.collect()))         # run 2 overwrites these files
     assert len(first) == 2 and calls["monthly"] == 1
-    for name in ("join_prep", "t1", "om", "team_kpi_table"):
+    for name in ("join_prep", "t1", "om", "team_kpi_table", "_shared_base"):
         assert os.path.isdir(os.path.join(sink, name))
     wide2 = p.run("2021-03-06", sink=sink)                 # not the 5th: snapshot reused
     assert calls["monthly"] == 1
