@@ -37,6 +37,35 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
+                 target_partition_bytes: int = 256 << 20) -> dict:
+    """Partition sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    * scans: ``maxPartitionBytes`` = the target split, so one task reads
+      about ``target_partition_bytes`` of compressed columns;
+    * shuffles: AQE starts from enough partitions that the largest shuffle
+      (at most the input size) lands at the target size per partition, never
+      fewer than three waves of the cluster's cores, and coalesces small
+      ones at runtime (``advisoryPartitionSizeInBytes``);
+    * skew: a partition over 4x the median and the target size is split.
+
+    With 100 TB on 1,000 executors x 8 cores this gives ~400k initial
+    partitions coalesced by AQE; partial aggregation usually shrinks the
+    first shuffle far below the input size.
+    """
+    cores = max(1, executor_cores * executors)
+    initial = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder the cluster names.
 

@@ -73,3 +73,11 @@ def test_checkpoint_dir_is_shared_setting(spark):
     d = ensure_checkpoint_dir(spark)
     assert d
     assert shared_dir(spark, "x").endswith("/tables/x")
+
+
+def test_cluster_conf_sizes_partitions():
+    from kpiloom.session import cluster_conf
+    conf = cluster_conf(100 << 40, executor_cores=8, executors=1000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    small = cluster_conf(1 << 30, executor_cores=8, executors=10)
+    assert int(small["spark.sql.shuffle.partitions"]) == 240     # three waves of 80 cores
