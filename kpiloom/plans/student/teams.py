@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.functions.indicators import flag, flag_or_null, like_any, like_none, ratio_at_most
+from kpiloom.functions.indicators import flag, flag_or_null, like_any, ratio_at_most
 from kpiloom.functions.segments import segment
 from kpiloom.operators.cohort import CohortSpec, assemble, cohort_agg, spine, sum_long
 from kpiloom.operators.links import (activity_flags_any, child_count_threshold, existence_flags,
@@ -61,14 +61,58 @@ def contact_dims(src: Source) -> DataFrame:
     return src("contact_template").select(c_("contact_id"), *DIMS)
 
 
+def class_summary(src: Source) -> DataFrame:
+    """The session fact table reduced, in one pass, to what every consumer
+    needs: one row per (student, term, global term, department, workshop
+    and NSO flags, outcome, cancelled, deleted, month) with summed
+    numerators/denominators and counts.
+
+    Each team's session filter is a predicate on these keys, and each of its
+    sums is a sum of these partial sums, so the attendance rates, retention,
+    wellness sessions and open-record counts are exact on the summary.
+    """
+    cls = src("class_template")
+    num = c_("Attendance_Numerator_c")
+    return cls.groupBy(
+        "student_c", "Academic_Semester_c", "global_academic_semester_c", "department_c",
+        "Cancelled_c", like_any("workshop_display_name_c", CC_WORKSHOPS).alias("cc_workshop"),
+        c_("dosage_types_c").like("%NSO%").alias("nso"), "Outcome_c", "is_deleted",
+        F.trunc(c_("date_c"), "MM").alias("month_start"),
+    ).agg(F.sum(num).alias("num"), F.sum("Attendance_Denominator_c").alias("den"),
+          F.count("Class_Attendance_Id").alias("ids"),
+          F.sum(F.when(num > 0, num)).alias("pos_num"), F.sum(flag(num > 0)).alias("pos_rows"))
+
+
+DERIVED: dict[str, Callable[[Source], DataFrame]] = {"class_summary": class_summary}
+
+
+class Derived:
+    """A source that also serves derived tables: given (materialised by a
+    pipeline) or built on first use and then reused."""
+
+    def __init__(self, src: Source, given: dict[str, DataFrame] | None = None):
+        self.src = src.src if isinstance(src, Derived) else src
+        self.frames = dict(src.frames) if isinstance(src, Derived) else {}
+        self.frames.update(given or {})
+
+    def __call__(self, name: str) -> DataFrame:
+        if name not in self.frames and name in DERIVED:
+            self.frames[name] = DERIVED[name](self.src)
+        return self.frames[name] if name in self.frames else self.src(name)
+
+
+def session_summary(src: Source) -> DataFrame:
+    return Derived(src)("class_summary") if not isinstance(src, Derived) else src("class_summary")
+
+
 def term_weighted_attendance(src: Source, class_pred: Column, term_pred: Column) -> DataFrame:
     """Attendance rate per student where each session counts once per
     contact-term row of its global term passing ``term_pred`` (the
-    reference joins sessions to terms on the global term id alone)."""
-    cls = src("class_template").filter(class_pred)
+    reference joins sessions to terms on the global term id alone).
+    ``class_pred`` is a predicate on the session summary's keys."""
+    cls = session_summary(src).filter(class_pred)
     w = period_weights(src("contact_at_template").filter(term_pred), "global_academic_semester_c")
-    r = entity_rate(cls, "student_c", c_("Attendance_Numerator_c"), c_("Attendance_Denominator_c"),
-                    period="global_academic_semester_c", weights=w)
+    r = entity_rate(cls, "student_c", c_("num"), c_("den"), period="global_academic_semester_c", weights=w)
     return r.select(c_("student_c").alias("contact_id"), "rate")
 
 
@@ -151,7 +195,7 @@ def cc_hs(src: Source, p: StudentParams) -> DataFrame:
                                    "cc_hs_aspirations_denom": F.count(F.lit(1))})
     att = term_weighted_attendance(
         src, (c_("department_c") == "College Completion") & (c_("Cancelled_c") == False)  # noqa: E712
-        & like_any("workshop_display_name_c", CC_WORKSHOPS),
+        & c_("cc_workshop"),
         (c_("AY_Name") == p.ay) & (status() == ACTIVE_HS) & segment("senior"))
     seniors = hs.filter(segment("senior")).select("contact_id", *DIMS).join(att, "contact_id", "left")
     adm, applied, enrolled = c_("admission_status_c"), c_("College_Fit_Type_Applied_c"), c_("fit_type_enrolled_c")
@@ -294,10 +338,13 @@ def om(src: Source, p: StudentParams) -> DataFrame:
 
 def om_incomplete_attendance(src: Source, p: StudentParams) -> DataFrame:
     """Monthly snapshot: still-scheduled sessions dated before the as-of month."""
-    cls = src("class_template").filter(
-        (c_("Outcome_c") == "Scheduled") & open_before(c_("date_c"), p.as_of, p.open_records_year_aware)
+    # month_start < first-of-month and month(month_start) = month(date_c), so
+    # both date tests are exact on the summary's month
+    cls = session_summary(src).filter(
+        (c_("Outcome_c") == "Scheduled")
+        & open_before(c_("month_start"), p.as_of, p.open_records_year_aware)
         & (c_("is_deleted") == False))  # noqa: E712
-    per_term = cls.groupBy("Academic_Semester_c").agg(F.count("Class_Attendance_Id").alias("n"))
+    per_term = cls.groupBy("Academic_Semester_c").agg(F.sum("ids").alias("n"))
     cat = src("contact_at_template").filter(is_true("current_as_c")).select("AT_Id", *DIMS)
     j = per_term.join(cat, per_term["Academic_Semester_c"] == cat["AT_Id"])
     return cohort_agg(j, COHORT, {"OM_incomplete_wsa_records": sum_long("n")})
@@ -331,10 +378,9 @@ def red(src: Source, p: StudentParams) -> DataFrame:
         c_("Contact_Id").alias("gd_contact"),
         flag(gpa_ready & segment("test_opt_in") & segment("senior")).alias("ready_12"),
         flag(gpa_ready & segment("eleventh_grade")).alias("ready_11"))
-    sessions = src("class_template").filter(
-        (c_("Attendance_Numerator_c") > 0) & like_none("dosage_types_c", ["%NSO%"])
-        & (c_("Outcome_c") != "Cancelled"))
-    attended = sessions.select("student_c", "Academic_Semester_c").distinct()
+    attended = session_summary(src).filter(
+        (c_("pos_rows") > 0) & ~c_("nso") & (c_("Outcome_c") != "Cancelled")
+    ).select("student_c", "Academic_Semester_c").distinct()
     cat = at.filter((c_("AY_Name") == p.ay) & (grade() != "8th Grade")).select(
         "AT_Id", *DIMS, "college_track_status_c")
     act = attended.join(cat, attended["Academic_Semester_c"] == cat["AT_Id"])
@@ -471,10 +517,10 @@ def wellness(src: Source, p: StudentParams) -> DataFrame:
     ay_terms = at.filter((c_("AY_Name") == p.ay) & (status() == ACTIVE_HS))
     sess_terms = restrict_to_members(ay_terms.filter(grade() != "8th Grade").select(
         "AT_Id", c_("Contact_Id").alias("contact_id"), *DIMS), "contact_id", in_need)
-    cls = src("class_template").filter(
-        (c_("Attendance_Numerator_c") > 0) & (c_("department_c") == "Wellness")
-        & like_none("dosage_types_c", ["%NSO%"]) & (c_("Outcome_c") != "Cancelled"))
-    per_term = cls.groupBy("Academic_Semester_c").agg(F.sum("Attendance_Numerator_c").alias("s"))
+    cls = session_summary(src).filter(
+        (c_("pos_rows") > 0) & (c_("department_c") == "Wellness") & ~c_("nso")
+        & (c_("Outcome_c") != "Cancelled"))
+    per_term = cls.groupBy("Academic_Semester_c").agg(F.sum("pos_num").alias("s"))
     sessions = cohort_agg(per_term.join(sess_terms, per_term["Academic_Semester_c"] == sess_terms["AT_Id"]),
                           COHORT, {"sum_attended_wellness_sessions": F.sum("s")})
     note_terms = restrict_to_members(ay_terms.select("AT_Id", c_("Contact_Id").alias("contact_id"), *DIMS),
@@ -509,6 +555,7 @@ TEAMS: dict[str, Callable[[Source, StudentParams], DataFrame]] = {
 
 def build_all(src: Source, p: StudentParams | None = None) -> dict[str, DataFrame]:
     p = p or StudentParams()
+    src = Derived(src)                  # one session summary for every team
     out = {"join_prep": join_prep(src, p)}
     out.update({name: fn(src, p) for name, fn in TEAMS.items()})
     return out
@@ -517,14 +564,18 @@ def build_all(src: Source, p: StudentParams | None = None) -> dict[str, DataFram
 def team_kpi_table(src: Source, p: StudentParams | None = None) -> DataFrame:
     """join_prep ⟕ the eleven team tables on the cohort cell (plain '=')."""
     p = p or StudentParams()
+    src = Derived(src)
     return assemble(join_prep(src, p), [fn(src, p) for fn in TEAMS.values()], COHORT)
 
 
 def student_pipeline(src: Source, p: StudentParams | None = None, sink: str | None = None) -> DataFrame:
-    """Nightly run: every team table written to ``sink``, then assembled;
-    the open-records snapshot is rebuilt only on the 5th of the month."""
+    """Nightly run: the session summary is materialised once (one pass over
+    the largest table), every team table is written to ``sink``, then
+    assembled; the open-records snapshot is rebuilt only on the 5th."""
     p = p or StudentParams()
-    teams = [Team(name, (lambda shared, fn=fn: fn(src, p)),
+    teams = [Team(name, (lambda shared, fn=fn: fn(Derived(src, shared), p)),
                   cadence="monthly" if name == "om_incomplete_attendance" else "nightly")
              for name, fn in TEAMS.items()]
-    return Pipeline(spine=lambda: join_prep(src, p), teams=teams, cohort=COHORT).run(p.as_of, sink)
+    shared = {name: (lambda b=b: b(src)) for name, b in DERIVED.items()}
+    return Pipeline(spine=lambda: join_prep(src, p), teams=teams, cohort=COHORT,
+                    shared=shared).run(p.as_of, sink)

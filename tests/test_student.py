@@ -212,3 +212,5 @@ def test_team_kpi_table_and_pipeline(spark, tables):
     sink = tempfile.mkdtemp(prefix="kpiloom-student-", dir="/tmp")
     written = student_pipeline(src, StudentParams(), sink=sink)
     assert sorted(map(str, written.collect())) == sorted(map(str, wide.select(*written.columns).collect()))
+    import os
+    assert os.path.isdir(os.path.join(sink, "_shared_class_summary"))   # one pass over the sessions
