@@ -97,7 +97,8 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def assemble(spine_df: DataFrame, tables: Sequence[DataFrame], cohort: CohortSpec,
-             null_safe: bool = False, check_unique: bool = False) -> DataFrame:
+             null_safe: bool = False, check_unique: bool = False,
+             method: str = "joins") -> DataFrame:
     """Left-join KPI tables onto the spine on the cohort key.
 
     Plain ``=`` by default, as in the reference: a cell with a NULL dimension
@@ -106,13 +107,24 @@ def assemble(spine_df: DataFrame, tables: Sequence[DataFrame], cohort: CohortSpe
     no job).  Each KPI table is cohort-grain (bounded by the number of cells),
     so AQE turns these joins into broadcast hash joins at runtime; nothing is
     broadcast on a guess.
+
+    ``method="union"`` is the one-shuffle alternative for many tables: all
+    tables are stacked (``unionByName``, missing columns NULL), reduced to one
+    row per cell with MAX per metric, and joined onto the spine once.  Rows
+    with a NULL key are dropped first under plain ``=`` (they could never
+    match), so both methods give the same table.
     """
     keys = list(cohort.dims)
     _check_disjoint([spine_df, *tables], keys)
+    if check_unique:
+        for t in tables:
+            assert_unique(t, keys)
+    if method == "union":
+        return _assemble_union(spine_df, tables, keys, null_safe)
+    if method != "joins":
+        raise ValueError("method must be 'joins' or 'union'")
     out = spine_df
     for i, t in enumerate(tables):
-        if check_unique:
-            assert_unique(t, keys)
         if null_safe:
             renamed = t.withColumnsRenamed({k: f"__k{i}_{k}" for k in keys})
             cond = None
@@ -125,6 +137,28 @@ def assemble(spine_df: DataFrame, tables: Sequence[DataFrame], cohort: CohortSpe
     return out
 
 
+def _assemble_union(spine_df: DataFrame, tables: Sequence[DataFrame], keys: list[str],
+                    null_safe: bool) -> DataFrame:
+    metrics = [c for t in tables for c in t.columns if c not in keys]
+    stacked = None
+    for t in tables:
+        if not null_safe:
+            known = None
+            for k in keys:
+                known = F.col(k).isNotNull() if known is None else known & F.col(k).isNotNull()
+            t = t.filter(known)
+        stacked = t if stacked is None else stacked.unionByName(t, allowMissingColumns=True)
+    merged = stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in metrics])
+    if null_safe:
+        renamed = merged.withColumnsRenamed({k: f"__u_{k}" for k in keys})
+        cond = None
+        for k in keys:
+            term = F.col(k).eqNullSafe(F.col(f"__u_{k}"))
+            cond = term if cond is None else cond & term
+        return spine_df.join(renamed, cond, "left").drop(*[f"__u_{k}" for k in keys])
+    return spine_df.join(merged, keys, "left")
+
+
 def ratio_rollup(df: DataFrame, metrics: Mapping[str, tuple[str, str]],
                  levels: Sequence[str], top_label: str = "National",
                  level_names: Sequence[str] | None = None) -> DataFrame:

@@ -50,6 +50,7 @@ class Pipeline:
     spine_name: str = "join_prep"
     wide_name: str = "team_kpi_table"
     out_partitions: int = 1          # cohort-grain tables are small
+    check_unique: bool = True        # with a sink: assert each written table is unique on the cell
 
     def _materialise(self, df: DataFrame, sink: str | None, name: str) -> DataFrame:
         if sink is None:
@@ -86,5 +87,8 @@ class Pipeline:
                     tables.append(old)
                     continue
             tables.append(self._materialise(team.build(shared), sink, team.name))
-        wide = assemble(spine_df, tables, self.cohort)
+        # written tables are small cohort-grain files: the uniqueness check is
+        # cheap there and guards the assembly against a fan-out
+        wide = assemble(spine_df, tables, self.cohort,
+                        check_unique=self.check_unique and sink is not None)
         return self._materialise(wide, sink, self.wide_name)

@@ -80,6 +80,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local") and fallback is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage "
+                           "(a machine-local folder does not survive a lost executor)")
     path = fallback or tempfile.mkdtemp(prefix="kpiloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()

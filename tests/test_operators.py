@@ -335,3 +335,13 @@ def test_distinct_entity_count_and_survey_completion(spark):
                                  "site string, eth string, gender string, sc int, cc int")
     r = survey_completion(comp, C, {"den": "sc", "num": "cc"}).collect()[0]
     assert (r["den"], r["num"]) == (7, 5)
+
+
+def test_assemble_union_method_equals_joins(spark, contacts):
+    sp = spine(contacts, C)
+    a = cohort_agg(contacts, C, {"n": F.count("contact_id")})
+    b = cohort_agg(contacts.filter(F.col("gpa") >= 3), C, {"hi": F.count("contact_id")})
+    for safe in (False, True):
+        j = assemble(sp, [a, b], C, null_safe=safe)
+        u = assemble(sp, [a, b], C, null_safe=safe, method="union")
+        assert rows(j.select(*sorted(j.columns))) == rows(u.select(*sorted(u.columns)))

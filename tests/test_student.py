@@ -214,3 +214,14 @@ def test_team_kpi_table_and_pipeline(spark, tables):
     assert sorted(map(str, written.collect())) == sorted(map(str, wide.select(*written.columns).collect()))
     import os
     assert os.path.isdir(os.path.join(sink, "_shared_class_summary"))   # one pass over the sessions
+
+
+def test_dashboard_rollup_sums_before_dividing(tables):
+    from kpiloom.plans.student.dashboard import dashboard_rollup
+    wide = team_kpi_table(lambda n: tables[n])
+    out = {(r["level"], r["region_abrev"], r["site_short"]): r for r in dashboard_rollup(wide).collect()}
+    nat = out[("National", None, None)]
+    assert (nat["hs_survey_completion_num"], nat["hs_survey_completion_den"]) == (3, 5)
+    assert nat["hs_survey_completion_ratio"] == pytest.approx(0.6)       # 3/5, not mean(2/3, 1/2)
+    assert out[("site", "DC", "Ward 8")]["hs_survey_completion_ratio"] == pytest.approx(2 / 3)
+    assert out[("region", "LA", None)]["cc_hs_EFC_10th_ratio"] == pytest.approx(1.0)
