@@ -12,21 +12,25 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, root: str, name: str, suffix: str = ".parquet") -> DataFrame:
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}{suffix}")
 
 
 @dataclass
 class ParquetCatalog:
-    """``name -> DataFrame``; ``overrides`` lets tests bind in-memory frames."""
+    """``name -> DataFrame``; ``overrides`` lets tests bind in-memory frames.
+
+    Tables live at ``<root>/<name><suffix>`` (a file or a folder of parts).
+    """
 
     spark: SparkSession
     root: str
     overrides: dict[str, DataFrame] = field(default_factory=dict)
+    suffix: str = ".parquet"
 
     def table(self, name: str) -> DataFrame:
         if name in self.overrides:
             return self.overrides[name]
-        return read_table(self.spark, self.root, name)
+        return read_table(self.spark, self.root, name, self.suffix)
 
     __call__ = table

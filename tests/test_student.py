@@ -225,3 +225,15 @@ def test_dashboard_rollup_sums_before_dividing(tables):
     assert nat["hs_survey_completion_ratio"] == pytest.approx(0.6)       # 3/5, not mean(2/3, 1/2)
     assert out[("site", "DC", "Ward 8")]["hs_survey_completion_ratio"] == pytest.approx(2 / 3)
     assert out[("region", "LA", None)]["cc_hs_EFC_10th_ratio"] == pytest.approx(1.0)
+
+
+def test_nightly_cli_on_parquet_warehouse(spark, tables):
+    from kpiloom.plans.student.run import main
+    root = tempfile.mkdtemp(prefix="kpiloom-wh-", dir="/tmp")
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+    sink = main(["--root", root, "--sink", f"{root}/_out", "--as-of", "2021-03-05"], spark=spark)
+    wide = spark.read.parquet(f"{sink}/team_kpi_table")
+    assert wide.count() == 5
+    row = {tuple(r[k] for k in KEY): r for r in wide.collect()}[W8]
+    assert row["aa_composite_ready"] == 1 and row["wellness_avg_support"] == pytest.approx(4 / 3)
