@@ -72,16 +72,17 @@ def persistence_entities(terms: DataFrame, entity: str, base: Column, group_pred
     * persisted at any site is enough (MAX); entities without later rows
       never enter.
 
-    One scan: base and later rows come from a single filtered read and are
-    split by conditional aggregates.
+    One pass: a single conditional aggregate per (entity, cell, site) carries
+    both the base flag and the later-row counts; the entity's group flag is
+    a window MAX over its (few) groups — no second scan, no join.
     """
     site_keys = [site] if site and site not in cohort.dims else []
-    rows = terms.filter(base | later)
-    group = (rows.filter(base).groupBy(F.col(entity).alias("__e"))
-             .agg(F.max(flag(group_pred)).alias("__in_group")))
-    per = (rows.filter(later).groupBy(entity, *cohort.dims, *site_keys)
-           .agg(F.count(F.lit(1)).alias("__n"), F.sum(flag(persisted_pred)).alias("__k")))
-    per = per.join(group, per[entity] == group["__e"], "inner").filter(F.col("__in_group") == 1)
+    per = terms.filter(base | later).groupBy(entity, *cohort.dims, *site_keys).agg(
+        F.max(F.when(base, flag(group_pred))).alias("__base"),
+        F.sum(flag(later)).alias("__n"),
+        F.sum(flag(later & persisted_pred)).alias("__k"))
+    in_group = F.max("__base").over(Window.partitionBy(entity))
+    per = per.withColumn("__in_group", in_group).filter((F.col("__in_group") == 1) & (F.col("__n") > 0))
     return per.groupBy(entity, *cohort.dims).agg(
         F.max(F.col("__in_group")).alias(denom),
         F.max(flag(F.col("__n") == F.col("__k"))).alias(num))

@@ -1,2 +1,2 @@
 """Plans: KPI tables built from the operators, the metric registry and the
-batch pipeline that writes and assembles them."""
+batch job that writes and assembles them."""

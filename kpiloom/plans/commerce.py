@@ -698,8 +698,8 @@ def order_team(name: str):
     return build
 
 
-def pipeline_teams(t: Commerce) -> list:
-    from kpiloom.plans.pipeline import Team
+def job_teams(t: Commerce) -> list:
+    from kpiloom.plans.job import Team
     return [
         Team("indicators", lambda shared: k01_table(t)),
         *[Team(n, order_team(n), cadence="monthly" if n == "open_records" else "nightly")
@@ -708,18 +708,18 @@ def pipeline_teams(t: Commerce) -> list:
     ]
 
 
-def twin_pipeline(t: Commerce, as_of: str = AS_OF, sink: str | None = None) -> DataFrame:
+def twin_nightly_job(t: Commerce, as_of: str = AS_OF, sink: str | None = None) -> DataFrame:
     """One pass over lineitem and orders for all order-based teams: the
     customer profile feeds one cohort aggregate, which is materialised
     (cohort grain: small) and projected into the team tables."""
-    from kpiloom.plans.pipeline import Pipeline
-    p = Pipeline(spine=lambda: join_prep_table(t), teams=pipeline_teams(t), cohort=COHORT,
+    from kpiloom.plans.job import KpiJob
+    p = KpiJob(spine=lambda: join_prep_table(t), teams=job_teams(t), cohort=COHORT,
                  shared={"order_metrics": lambda: order_team_metrics(contact_profile(t, as_of))})
     return p.run(as_of=as_of, sink=sink)
 
 
-@register("kpi_pipeline")
-def pipeline_q(t: Commerce) -> DataFrame:
+@register("kpi_nightly_job")
+def nightly_job_q(t: Commerce) -> DataFrame:
     """join_prep spine ⟕ eight team tables built from shared profiles
     (no sink: lazy result)."""
-    return twin_pipeline(t)
+    return twin_nightly_job(t)

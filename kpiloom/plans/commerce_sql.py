@@ -492,7 +492,7 @@ SELECT *,
   ROUND(CAST(ret_num AS DOUBLE) / NULLIF(ret_denom, 0), 6) AS ret_num_percent
 FROM ({SQL['wide_assembly']}) w"""
 
-PIPELINE_PARTS = ["indicator_cohort_sum", "ratio_rate_threshold", "existence_flags",
+JOB_PARTS = ["indicator_cohort_sum", "ratio_rate_threshold", "existence_flags",
                   "child_count_threshold", "nps", "retention", "persistence",
                   "open_records_snapshot"]
-SQL["kpi_pipeline"] = assemble_sql(SQL["survey_completion_join"], [SQL[n] for n in PIPELINE_PARTS])
+SQL["kpi_nightly_job"] = assemble_sql(SQL["survey_completion_join"], [SQL[n] for n in JOB_PARTS])

@@ -36,7 +36,7 @@ class Team:
 
 
 @dataclass
-class Pipeline:
+class KpiJob:
     spine: Callable[[], DataFrame]
     teams: Sequence[Team]
     cohort: CohortSpec

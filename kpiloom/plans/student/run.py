@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from kpiloom.plans.student.params import StudentParams
-from kpiloom.plans.student.teams import student_pipeline
+from kpiloom.plans.student.teams import student_nightly_job
 from kpiloom.session import DEFAULT_CONF, shared_dir
 from kpiloom.sources.catalog import ParquetCatalog
 
@@ -38,7 +38,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()
     params = dataclasses.replace(StudentParams(), as_of=as_of, support_grain=args.support_grain)
     sink = args.sink or shared_dir(spark, "kpi_dashboard")
-    student_pipeline(ParquetCatalog(spark, args.root, suffix=""), params, sink)
+    student_nightly_job(ParquetCatalog(spark, args.root, suffix=""), params, sink)
     return sink
 
 

@@ -27,7 +27,7 @@ from kpiloom.operators.periods import (as_of_switch, distinct_population, exact_
 from kpiloom.operators.rates import (average_support, count_cube, entity_rate, period_weights,
                                      shared_denominators, three_state_rate)
 from kpiloom.operators.surveys import distinct_entity_count, likert_agree, nps_flags, survey_completion
-from kpiloom.plans.pipeline import Pipeline, Team
+from kpiloom.plans.job import KpiJob, Team
 from kpiloom.plans.student.params import (
     ACTIVE_HS, ACTIVE_PS, AFFORDABLE_FITS, AFFORDABLE_OR_SITUATIONAL, AGREE, AGREE_BILINGUAL,
     AGREE_WITH_MISSPELLING, ALUMNI_EXCLUDED_SITE, BACHELORS_SCHOOL, BEST_GOOD,
@@ -88,7 +88,7 @@ DERIVED: dict[str, Callable[[Source], DataFrame]] = {"class_summary": class_summ
 
 class Derived:
     """A source that also serves derived tables: given (materialised by a
-    pipeline) or built on first use and then reused."""
+    nightly job) or built on first use and then reused."""
 
     def __init__(self, src: Source, given: dict[str, DataFrame] | None = None):
         self.src = src.src if isinstance(src, Derived) else src
@@ -568,7 +568,7 @@ def team_kpi_table(src: Source, p: StudentParams | None = None) -> DataFrame:
     return assemble(join_prep(src, p), [fn(src, p) for fn in TEAMS.values()], COHORT)
 
 
-def student_pipeline(src: Source, p: StudentParams | None = None, sink: str | None = None) -> DataFrame:
+def student_nightly_job(src: Source, p: StudentParams | None = None, sink: str | None = None) -> DataFrame:
     """Nightly run: the session summary is materialised once (one pass over
     the largest table), every team table is written to ``sink``, then
     assembled; the open-records snapshot is rebuilt only on the 5th."""
@@ -577,5 +577,5 @@ def student_pipeline(src: Source, p: StudentParams | None = None, sink: str | No
                   cadence="monthly" if name == "om_incomplete_attendance" else "nightly")
              for name, fn in TEAMS.items()]
     shared = {name: (lambda b=b: b(src)) for name, b in DERIVED.items()}
-    return Pipeline(spine=lambda: join_prep(src, p), teams=teams, cohort=COHORT,
+    return KpiJob(spine=lambda: join_prep(src, p), teams=teams, cohort=COHORT,
                     shared=shared).run(p.as_of, sink)

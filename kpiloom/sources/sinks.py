@@ -10,7 +10,7 @@ def write_table(df: DataFrame, root: str, name: str, partitions: int | None = No
 
     Cohort-grain KPI tables are small; ``partitions`` coalesces them so the
     sink is not a swarm of tiny files.  Writing is also the lineage cut the
-    pipeline relies on: later stages read the written table back.
+    nightly job relies on: later stages read the written table back.
     """
     path = f"{root.rstrip('/')}/{name}"
     out = df.coalesce(partitions) if partitions else df

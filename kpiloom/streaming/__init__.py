@@ -2,6 +2,6 @@
 
 The reference has no streams, watermarks or stateful operators; its tables
 are refreshed by scheduled batch runs (nightly, one monthly).  That cadence
-is modelled by ``kpiloom.plans.pipeline`` (``Team.cadence``), not by a
+is modelled by ``kpiloom.plans.job`` (``Team.cadence``), not by a
 streaming query.
 """

@@ -1,4 +1,4 @@
-"""Registry (K27) and pipeline (K28) behaviour, including sinks and cadence."""
+"""Registry (K27) and nightly job (K28) behaviour, including sinks and cadence."""
 
 import os
 import tempfile
@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kpiloom.operators.cohort import CohortSpec
-from kpiloom.plans.pipeline import Pipeline, Team
+from kpiloom.plans.job import KpiJob, Team
 from kpiloom.plans.registry import STATUSES, MetricRegistry, MetricSpec, TWIN_REGISTRY
 
 C = CohortSpec(("site", "eth", "gender"))
@@ -41,7 +41,7 @@ def test_registry_percent_columns(spark):
     assert TWIN_REGISTRY.validate(strict=False) == []
 
 
-def test_pipeline_writes_tables_and_reuses_monthly(spark):
+def test_job_writes_tables_and_reuses_monthly(spark):
     rows = [("X", "A", "M", 1), ("X", "A", "F", 2)]
     schema = "site string, eth string, gender string, v int"
     base = spark.createDataFrame(rows, schema)
@@ -51,7 +51,7 @@ def test_pipeline_writes_tables_and_reuses_monthly(spark):
         calls["monthly"] += 1
         return base.groupBy(*C.dims).agg(F.sum("v").cast("bigint").alias("om_records"))
 
-    p = Pipeline(spine=lambda: base.select(*C.dims).distinct(),
+    p = KpiJob(spine=lambda: base.select(*C.dims).distinct(),
                  teams=[Team("t1", lambda sh: sh["base"].groupBy(*C.dims).agg(F.count("v").alias("t1_n"))),
                         Team("om", lambda sh: monthly(), cadence="monthly")], cohort=C,
                  shared={"base": lambda: base})

@@ -44,3 +44,13 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "jp_contact_count" in df.columns and "persist_num" in df.columns
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_column_types_match_oracle(spark, duck, name):
+    spark_types = dict(E.queries()[name](spark, SF01).dtypes)     # schema only, no job
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in spark_types.items()} == duck_types

@@ -9,7 +9,7 @@ import tempfile
 
 import pytest
 
-from kpiloom.plans.student import StudentParams, build_all, student_pipeline, team_kpi_table
+from kpiloom.plans.student import StudentParams, build_all, student_nightly_job, team_kpi_table
 from kpiloom.plans.student.teams import wellness
 from tests import student_fixture as fx
 
@@ -202,7 +202,7 @@ def test_as_of_after_cutoff_uses_previous_term(tables):
     assert cc[CREN]["cc_ps_fasfa_complete"] is None              # cut-off day: neither term
 
 
-def test_team_kpi_table_and_pipeline(spark, tables):
+def test_team_kpi_table_and_nightly_job(spark, tables):
     src = lambda n: tables[n]
     wide = team_kpi_table(src)
     jp = build_all(src)["join_prep"]
@@ -210,7 +210,7 @@ def test_team_kpi_table_and_pipeline(spark, tables):
     expected = set().union(*COLUMNS.values()) | set(KEY)
     assert set(wide.columns) == expected
     sink = tempfile.mkdtemp(prefix="kpiloom-student-", dir="/tmp")
-    written = student_pipeline(src, StudentParams(), sink=sink)
+    written = student_nightly_job(src, StudentParams(), sink=sink)
     assert sorted(map(str, written.collect())) == sorted(map(str, wide.select(*written.columns).collect()))
     import os
     assert os.path.isdir(os.path.join(sink, "_shared_class_summary"))   # one pass over the sessions
