@@ -86,7 +86,7 @@ def lines_to_contacts(t: Commerce, per_order: DataFrame, sums: dict[str, Column]
 # --------------------------------------------------------------- K01 / K21 / K22
 def k01_table(t: Commerce, extra_keys=()) -> DataFrame:
     bal, seg = F.col("c_acctbal"), F.col("c_mktsegment")
-    return indicator_cohort_sum(t.contacts(), COHORT, {
+    return indicator_cohort_sum(t.contacts(region="r_name" in extra_keys), COHORT, {
         "ind_high_balance": bal >= 7500,
         "ind_negative_balance": bal < 0,
         "ind_building_high": (seg == "BUILDING") & (bal >= 5000),
@@ -154,7 +154,7 @@ def shared_denominators_q(t: Commerce) -> DataFrame:
 
 def join_prep_table(t: Commerce) -> DataFrame:
     """Spine with shared denominators over all contacts, plus survey totals."""
-    c = t.contacts().withColumn("national", F.lit("National")).withColumn(
+    c = t.contacts(region=True).withColumn("national", F.lit("National")).withColumn(
         "tier", F.floor(F.col("c_acctbal") / 2500).cast("int"))
     cube = count_cube(c, ["national", "r_name", *KEYS, "tier"], "contact_id", "n")
     tier = F.col("tier")

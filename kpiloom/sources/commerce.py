@@ -72,15 +72,21 @@ class Commerce:
         self.spark = spark
         self.cat = ParquetCatalog(spark, root)
 
-    def contacts(self) -> DataFrame:
+    def contacts(self, region: bool = False) -> DataFrame:
+        """Contacts with their cell; ``region=True`` adds ``r_name`` (the
+        roll-up level).  A left join cannot be pruned by the optimizer (it
+        does not know the key is unique), so it is only added when used."""
         c = self.cat("customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
         n = self.cat("nation").select("n_nationkey", "n_name", "n_regionkey")
-        r = self.cat("region").select("r_regionkey", "r_name")
         # nation/region are fixed-size dimensions (25 and 5 rows); Spark's
         # size-checked auto-broadcast picks them up from the file statistics.
-        j = (c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
-              .join(r, n["n_regionkey"] == r["r_regionkey"], "left"))
-        return j.select(F.col("c_custkey").alias("contact_id"), "c_nationkey", "r_name", "n_name",
+        j = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
+        extra = []
+        if region:
+            r = self.cat("region").select("r_regionkey", "r_name")
+            j = j.join(r, n["n_regionkey"] == r["r_regionkey"], "left")
+            extra = ["r_name"]
+        return j.select(F.col("c_custkey").alias("contact_id"), "c_nationkey", *extra, "n_name",
                         "c_mktsegment", band_expr(F.col("c_acctbal")).alias("band"), "c_acctbal")
 
     def orders(self) -> DataFrame:
