@@ -1,4 +1,4 @@
-"""The reference's team KPI tables on its own (Salesforce-shaped) tables.
+"""The reference's team KPI tables on its own (CRM-shaped) tables.
 
 ``build_all(src, params)`` returns every team table lazily; ``team_kpi_table``
 assembles them onto ``join_prep``; ``student_nightly_job`` writes them.

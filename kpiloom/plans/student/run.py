@@ -37,7 +37,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
         spark = builder.getOrCreate()
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()
     params = dataclasses.replace(StudentParams(), as_of=as_of, support_grain=args.support_grain)
-    sink = args.sink or shared_dir(spark, "kpi_dashboard")
+    sink = args.sink or shared_dir(spark, "team_kpis")
     student_nightly_job(ParquetCatalog(spark, args.root, suffix=""), params, sink)
     return sink
 
