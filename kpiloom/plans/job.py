@@ -49,18 +49,24 @@ class KpiJob:
     shared: Mapping[str, Callable[[], DataFrame]] = field(default_factory=dict)
     spine_name: str = "join_prep"
     wide_name: str = "team_kpi_table"
-    out_partitions: int = 1          # cohort-grain tables are small
+    out_partitions: int | None = None  # None: AQE sizes the (small) cohort-grain outputs
     check_unique: bool = True        # with a sink: assert each written table is unique on the cell
 
-    def _materialise(self, df: DataFrame, sink: str | None, name: str) -> DataFrame:
+    def _materialise(self, df: DataFrame, sink: str | None, name: str,
+                     partitions: int | None = -1) -> DataFrame:
+        """Write (overwrite) and read back.  Team tables use
+        ``out_partitions`` (default: whatever AQE coalesced to); shared
+        stages pass ``partitions=None`` and always keep the plan's own
+        partitioning (fact-sized data must not funnel into a few tasks)."""
         if sink is None:
             return df
-        path = write_table(df, sink, name, self.out_partitions)
+        n = self.out_partitions if partitions == -1 else partitions
+        path = write_table(df, sink, name, n)
         return df.sparkSession.read.parquet(path)
 
     def _materialise_shared(self, df: DataFrame, sink: str | None, name: str) -> DataFrame:
         if sink is not None:
-            return self._materialise(df, sink, name)
+            return self._materialise(df, sink, name, partitions=None)
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
 

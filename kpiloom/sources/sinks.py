@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 def write_table(df: DataFrame, root: str, name: str, partitions: int | None = None) -> str:
     """Overwrite ``<root>/<name>`` and return the path.
 
-    Cohort-grain KPI tables are small; ``partitions`` coalesces them so the
-    sink is not a swarm of tiny files.  Writing is also the lineage cut the
-    nightly job relies on: later stages read the written table back.
+    ``partitions`` fixes the file count with a ``repartition`` — a shuffle of
+    the (small) final rows.  ``coalesce`` would instead narrow the final
+    stage itself, running e.g. a whole aggregation's reduce side in one
+    task.  Left unset, AQE's partition coalescing already keeps a small
+    result to a few files.  Writing is also the lineage cut the nightly job
+    relies on: later stages read the written table back.
     """
     path = f"{root.rstrip('/')}/{name}"
-    out = df.coalesce(partitions) if partitions else df
+    out = df.repartition(partitions) if partitions else df
     out.write.mode("overwrite").parquet(path)
     return path
 

@@ -81,3 +81,14 @@ def test_cluster_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     small = cluster_conf(1 << 30, executor_cores=8, executors=10)
     assert int(small["spark.sql.shuffle.partitions"]) == 240     # three waves of 80 cores
+
+
+def test_shared_stage_keeps_its_partitioning(spark):
+    big = spark.range(0, 4000, numPartitions=4).withColumn("k", F.col("id") % 7)
+    p = KpiJob(spine=lambda: big.select(F.lit("X").alias("site"), F.lit("A").alias("eth"),
+                                        F.lit("M").alias("gender")).distinct(),
+               teams=[], cohort=C, shared={"facts": lambda: big})
+    sink = tempfile.mkdtemp(prefix="kpiloom-sink-", dir="/tmp")
+    p.run("2021-03-06", sink=sink)
+    files = [f for f in os.listdir(os.path.join(sink, "_shared_facts")) if f.endswith(".parquet")]
+    assert len(files) == 4                       # not coalesced to one file
