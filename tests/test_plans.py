@@ -40,3 +40,30 @@ def test_weighted_term_rate_does_not_explode(spark):
     # the literal term join would join lineitem-derived rows to orders on gterm alone
     p = plan(Q.rate_threshold_term_q(Commerce(spark, SF001)))
     assert "SortMergeJoin" not in p or "gterm" not in p.split("SortMergeJoin")[1][:80]
+
+
+def _exchange_children(plan_text: str, key_prefix: str) -> list[str]:
+    """Child operator line under each hash exchange on a key starting with ``key_prefix``."""
+    lines = plan_text.split("\n")
+    out = []
+    for i, line in enumerate(lines):
+        if f"Exchange hashpartitioning({key_prefix}" in line and i + 1 < len(lines):
+            out.append(lines[i + 1])
+    return out
+
+
+@pytest.mark.parametrize("name,key", [
+    ("ratio_rate_threshold", "l_orderkey"),      # lineitem -> order grain
+    ("open_records_snapshot", "l_orderkey"),
+    ("existence_flags", "contact_id"),           # orders -> customer grain
+    ("child_count_threshold", "contact_id"),
+    ("nps", "contact_id"),                       # events -> respondent grain
+    ("cohort_projected_completion", "contact_id"),
+    ("distinct_entity_count", "contact_id"),
+])
+def test_facts_are_partially_aggregated_before_the_shuffle(spark, name, key):
+    # the fact side's exchange on the key is fed by a partial aggregate; a
+    # dimension side (one row per key already) may be shuffled as it is
+    children = _exchange_children(plan(E.queries()[name](spark, SF001)), key)
+    assert children, f"no exchange on {key}"
+    assert any("HashAggregate" in c and "partial_" in c for c in children), children
