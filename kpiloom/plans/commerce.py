@@ -69,7 +69,7 @@ pr = lambda: F.col("o_orderpriority")     # noqa: E731
 
 
 def dims(t: Commerce) -> DataFrame:
-    return t.contacts().select("contact_id", *KEYS)
+    return t.memo("dims", lambda: t.contacts().select("contact_id", *KEYS))
 
 
 def order_keys(t: Commerce, *extra: str) -> DataFrame:

@@ -27,10 +27,15 @@ class ParquetCatalog:
     root: str
     overrides: dict[str, DataFrame] = field(default_factory=dict)
     suffix: str = ".parquet"
+    _read: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
+        """One read per table and catalog: listing files and reading the
+        footer happen once, and every use shares the same relation."""
         if name in self.overrides:
             return self.overrides[name]
-        return read_table(self.spark, self.root, name, self.suffix)
+        if name not in self._read:
+            self._read[name] = read_table(self.spark, self.root, name, self.suffix)
+        return self._read[name]
 
     __call__ = table

@@ -71,11 +71,21 @@ class Commerce:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.cat = ParquetCatalog(spark, root)
+        self._memo: dict = {}
+
+    def memo(self, key, build):
+        """Build a derived relation once per instance and reuse the object."""
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]
 
     def contacts(self, region: bool = False) -> DataFrame:
         """Contacts with their cell; ``region=True`` adds ``r_name`` (the
         roll-up level).  A left join cannot be pruned by the optimizer (it
         does not know the key is unique), so it is only added when used."""
+        return self.memo(("contacts", region), lambda: self._contacts(region))
+
+    def _contacts(self, region: bool) -> DataFrame:
         c = self.cat("customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
         n = self.cat("nation").select("n_nationkey", "n_name", "n_regionkey")
         # nation/region are fixed-size dimensions (25 and 5 rows); Spark's
@@ -90,6 +100,9 @@ class Commerce:
                         "c_mktsegment", band_expr(F.col("c_acctbal")).alias("band"), "c_acctbal")
 
     def orders(self) -> DataFrame:
+        return self.memo("orders", self._orders)
+
+    def _orders(self) -> DataFrame:
         o = self.cat("orders")
         d = F.col("o_orderdate")
         return o.select("o_orderkey", F.col("o_custkey").alias("contact_id"), "o_orderstatus",
