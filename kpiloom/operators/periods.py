@@ -19,7 +19,8 @@ def _date(d) -> dt.date:
 
 
 def score_growth(scores: DataFrame, entity: str, period: str, score: Column,
-                 cohort: CohortSpec, grew: str = "grew", pairs: str = "pairs") -> DataFrame:
+                 cohort: CohortSpec, grew: str = "grew", pairs: str = "pairs",
+                 extra: Sequence[str] = ()) -> DataFrame:
     """MIN score per (entity, cell, period), growth = x - lag(x).
 
     The window runs over each entity's periods ordered by ``period`` (a
@@ -29,12 +30,15 @@ def score_growth(scores: DataFrame, entity: str, period: str, score: Column,
     ``pairs`` = number of growth pairs.  Ties (same entity and period in two
     cells) are ordered by the cell key to keep the result deterministic.
 
+    ``extra`` columns join the MIN's group key (e.g. a term name next to its
+    start date) and break ties after the cell.
+
     Scale: the MIN aggregate runs first (partial + final), so each window
     partition holds one row per period of one entity, whatever the input.
     """
-    keys = [entity, *cohort.dims, period]
+    keys = [entity, *cohort.dims, period, *extra]
     per = scores.groupBy(*keys).agg(F.min(score).alias("__score"))
-    w = Window.partitionBy(entity).orderBy(F.col(period), *cohort.cols)
+    w = Window.partitionBy(entity).orderBy(F.col(period), *cohort.cols, *[F.col(e) for e in extra])
     growth = per.withColumn("__growth", F.col("__score") - F.lag("__score").over(w))
     growth = growth.filter(F.col("__growth").isNotNull())
     return growth.groupBy(*cohort.dims).agg(sum_long(flag(F.col("__growth") > 0)).alias(grew),

@@ -480,9 +480,9 @@ def student_life(src: Source, p: StudentParams) -> DataFrame:
     s = src("fy21_hs_survey").select("contact_id", likert_agree({HOBBY_Q: AGREE}).alias("hobby"))
     hobby = cohort_agg(s.join(contact_dims(src), "contact_id", "left"), COHORT,
                        {"sl_agree_they_have_hobby": sum_long("hobby")})
-    covi = score_growth(covi_tests(src, p, "start_date_c"), "contact_name_c", "start_date_c",
+    covi = score_growth(covi_tests(src, p, "start_date_c", "AT_Name"), "contact_name_c", "start_date_c",
                         c_("belief_in_self_raw_score_c"), COHORT,
-                        "SL_covi_belief_student_grew", "SL_covi_belief_denominator")
+                        "SL_covi_belief_student_grew", "SL_covi_belief_denominator", extra=["AT_Name"])
     return assemble(spine(c, COHORT), [dream, attendance, mse, mse_group, hobby, covi], COHORT)
 
 

@@ -345,3 +345,15 @@ def test_assemble_union_method_equals_joins(spark, contacts):
         j = assemble(sp, [a, b], C, null_safe=safe)
         u = assemble(sp, [a, b], C, null_safe=safe, method="union")
         assert rows(j.select(*sorted(j.columns))) == rows(u.select(*sorted(u.columns)))
+
+
+def test_score_growth_extra_group_keys(spark):
+    # two terms starting the same day stay two periods when the name is a key
+    df = spark.createDataFrame([("s1", "X", "A", "M", "2020-01-01", "Spring", 5.0),
+                                ("s1", "X", "A", "M", "2020-01-01", "Summer", 7.0),
+                                ("s1", "X", "A", "M", "2020-06-01", "Fall", 6.0)],
+                               "s string, site string, eth string, gender string, d string, t string, v double")
+    merged = score_growth(df, "s", "d", F.col("v"), C, "grew", "pairs").collect()[0]
+    split = score_growth(df, "s", "d", F.col("v"), C, "grew", "pairs", extra=["t"]).collect()[0]
+    assert (merged["pairs"], merged["grew"]) == (1, 1)      # min(5,7)=5 -> 6
+    assert (split["pairs"], split["grew"]) == (2, 1)        # 5 -> 7 grew, 7 -> 6 fell
