@@ -177,9 +177,8 @@ def ratio_rollup(df: DataFrame, metrics: Mapping[str, tuple[str, str]],
     level = F.lit(top_label)
     for l, n in zip(levels, names):
         level = F.when(F.col(f"__g_{l}") == 0, F.lit(n)).otherwise(level)
-    out = grouped.withColumn("level", level)
-    for m in metrics:
-        out = out.withColumn(f"{m}_ratio", F.round(ratio(f"{m}_num", f"{m}_den"), 6))
+    out = grouped.withColumns({"level": level, **{
+        f"{m}_ratio": F.round(ratio(f"{m}_num", f"{m}_den"), 6) for m in metrics}})
     return out.drop(*[f"__g_{l}" for l in levels])
 
 

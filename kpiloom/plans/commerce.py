@@ -591,6 +591,14 @@ def wide_q(t: Commerce) -> DataFrame:
     return assemble(spine(t.contacts(), COHORT), wide_tables(t), COHORT)
 
 
+@register("wide_assembly_null_safe")
+def wide_null_safe_q(t: Commerce) -> DataFrame:
+    """K18 options: NULL-safe keys (a NULL-band cell gets its values) on the
+    one-shuffle union plan (stack, MAX per cell, one join)."""
+    return assemble(spine(t.contacts(), COHORT), wide_tables(t), COHORT, null_safe=True,
+                    method="union")
+
+
 @register("metric_registry")
 def registry_q(t: Commerce) -> DataFrame:
     """Validate the wide table against the registry, add _percent columns."""

@@ -470,13 +470,15 @@ SQL["average_support_per_entity"] = _support_sql(False)
 SQL["average_support_per_entity_site"] = _support_sql(True)
 
 
-def assemble_sql(spine_sql: str, parts: list[str]) -> str:
+def assemble_sql(spine_sql: str, parts: list[str], null_safe: bool = False) -> str:
     """Left-join the oracle tables onto a spine query, keys kept once."""
+    eq = "IS NOT DISTINCT FROM" if null_safe else "="
     sql = f"SELECT * FROM ({spine_sql}) s"
     for i, p in enumerate(parts):
         sql += (f"\nLEFT JOIN (SELECT * RENAME (n_name AS k{i}_n, c_mktsegment AS k{i}_s, "
                 f"band AS k{i}_b) FROM ({p})) t{i}"
-                f" ON s.n_name = t{i}.k{i}_n AND s.c_mktsegment = t{i}.k{i}_s AND s.band = t{i}.k{i}_b")
+                f" ON s.n_name {eq} t{i}.k{i}_n AND s.c_mktsegment {eq} t{i}.k{i}_s"
+                f" AND s.band {eq} t{i}.k{i}_b")
     drops = ", ".join(f"k{i}_n, k{i}_s, k{i}_b" for i in range(len(parts)))
     return f"SELECT * EXCLUDE ({drops}) FROM ({sql})"
 
@@ -484,6 +486,7 @@ def assemble_sql(spine_sql: str, parts: list[str]) -> str:
 SPINE = with_(CONTACTS) + f"SELECT DISTINCT {KEYS} FROM contacts"
 WIDE_PARTS = ["indicator_cohort_sum", "existence_flags", "child_count_threshold", "retention"]
 SQL["wide_assembly"] = assemble_sql(SPINE, [SQL[n] for n in WIDE_PARTS])
+SQL["wide_assembly_null_safe"] = assemble_sql(SPINE, [SQL[n] for n in WIDE_PARTS], null_safe=True)
 SQL["metric_registry"] = f"""
 SELECT *,
   ROUND(CAST(ind_high_balance AS DOUBLE) / NULLIF(ind_contact_count, 0), 6) AS ind_high_balance_percent,
