@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -51,6 +52,9 @@ class KpiJob:
     wide_name: str = "team_kpi_table"
     out_partitions: int | None = None  # None: AQE sizes the (small) cohort-grain outputs
     check_unique: bool = True        # with a sink: assert each written table is unique on the cell
+    # With a sink, team tables are independent Spark jobs: up to this many are
+    # submitted at once from driver threads (the threads only wait on Spark).
+    parallel_teams: int = 4
 
     def _materialise(self, df: DataFrame, sink: str | None, name: str,
                      partitions: int | None = -1) -> DataFrame:
@@ -85,14 +89,19 @@ class KpiJob:
         day = as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of))
         shared = {n: self._materialise_shared(b(), sink, f"_shared_{n}") for n, b in self.shared.items()}
         spine_df = self._materialise(self.spine(), sink, self.spine_name)
-        tables = []
-        for team in self.teams:
+
+        def one(team: Team) -> DataFrame:
             if not team.due(day) and sink is not None:
                 old = self._existing(spine_df.sparkSession, sink, team.name)
                 if old is not None:
-                    tables.append(old)
-                    continue
-            tables.append(self._materialise(team.build(shared), sink, team.name))
+                    return old
+            return self._materialise(team.build(shared), sink, team.name)
+
+        if sink is not None and self.parallel_teams > 1 and len(self.teams) > 1:
+            with ThreadPoolExecutor(max_workers=self.parallel_teams) as pool:
+                tables = list(pool.map(one, self.teams))       # order kept
+        else:
+            tables = [one(team) for team in self.teams]
         # written tables are small cohort-grain files: the uniqueness check is
         # cheap there and guards the assembly against a fan-out
         wide = assemble(spine_df, tables, self.cohort,

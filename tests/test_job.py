@@ -92,3 +92,15 @@ def test_shared_stage_keeps_its_partitioning(spark):
     p.run("2021-03-06", sink=sink)
     files = [f for f in os.listdir(os.path.join(sink, "_shared_facts")) if f.endswith(".parquet")]
     assert len(files) == 4                       # not coalesced to one file
+
+
+def test_parallel_team_writes_equal_sequential(spark):
+    from kpiloom.plans.commerce import twin_nightly_job
+    from kpiloom.sources.commerce import Commerce
+    from tests.conftest import SF001
+    t = Commerce(spark, SF001)
+    a = tempfile.mkdtemp(prefix="kpiloom-par-", dir="/tmp")
+    par = twin_nightly_job(t, sink=a)
+    lazy = twin_nightly_job(Commerce(spark, SF001))
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(key, par.select(*lazy.columns).collect())) == sorted(map(key, lazy.collect()))
