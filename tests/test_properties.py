@@ -97,3 +97,53 @@ def test_persistence_equals_literal(spark, rows):
            .agg(F.count(F.lit(1)).alias("n"), F.sum(flag(F.col("ok"))).alias("k"), F.max("inc").alias("inc")))
     want = {r["c"]: (1, 1 if r["n"] == r["k"] else 0) for r in pat.filter("inc = 1").collect()}
     assert got == want
+
+
+answers = st.sampled_from(["10 - extremely likely", "9", "8", "7", "6", "0", None])
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(answers), min_size=1, max_size=20))
+def test_nps_flags_equal_literal_not_equal_chain(spark, rows):
+    from kpiloom.operators.surveys import nps_flags
+    df = spark.createDataFrame(rows, "a string")
+    fl = nps_flags(F.col("a"), ["10 - extremely likely", "9"], ["8", "7"])
+    got = sorted((tuple(r) for r in df.select("a", fl["promoter"].alias("p"),
+                                              fl["detractor"].alias("d")).collect()), key=repr)
+    df.createOrReplaceTempView("nps_rows")
+    want = sorted(tuple(r) for r in spark.sql("""
+        SELECT a,
+          CASE WHEN (a = '10 - extremely likely' OR a = '9') THEN 1 ELSE 0 END AS p,
+          CASE WHEN (a != '10 - extremely likely' AND a != '9' AND a != '8' AND a != '7') THEN 1 ELSE 0 END AS d
+        FROM nps_rows""").collect(), key=repr)
+    assert got == want
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 10).map(float)),
+                               st.one_of(st.none(), st.integers(0, 10).map(float))), min_size=1, max_size=20))
+def test_three_state_equals_literal_case(spark, rows):
+    from kpiloom.functions.indicators import three_state
+    df = spark.createDataFrame(rows, "n double, d double")
+    got = sorted((tuple(r) for r in df.select("n", "d", three_state("n", "d", 0.8).alias("f")).collect()), key=repr)
+    df.createOrReplaceTempView("ts_rows")
+    want = sorted((tuple(r) for r in spark.sql("""
+        SELECT n, d, CASE WHEN d = 0 THEN NULL WHEN try_divide(n, d) >= 0.8 THEN 1 ELSE 0 END AS f
+        FROM ts_rows""").collect()), key=repr)
+    assert got == want
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["X", "Y"]), st.sampled_from(["9th Grade", "12th Grade", "Year 1"]),
+                               st.sampled_from([0, 1, None]), st.sampled_from(["c1", "c2", "c3", None])),
+                     min_size=1, max_size=20))
+def test_shared_denominators_cube_equals_rows(spark, rows):
+    from kpiloom.functions.segments import segment
+    from kpiloom.operators.rates import count_cube, shared_denominators
+    df = spark.createDataFrame(rows, "site string, grade_c string, indicator_years_since_hs_graduation_c int, cid string")
+    spec = CohortSpec(("site",))
+    preds = {"senior": segment("senior"), "ninth": segment("ninth_grade")}
+    cube = count_cube(df, ["site", "grade_c", "indicator_years_since_hs_graduation_c"], "cid", "n")
+    a = sorted((tuple(r) for r in shared_denominators(cube, spec, preds, weight="n").collect()), key=repr)
+    b = sorted((tuple(r) for r in shared_denominators(df, spec, preds, entity="cid").collect()), key=repr)
+    assert a == b
