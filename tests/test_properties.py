@@ -111,11 +111,11 @@ def test_nps_flags_equal_literal_not_equal_chain(spark, rows):
     got = sorted((tuple(r) for r in df.select("a", fl["promoter"].alias("p"),
                                               fl["detractor"].alias("d")).collect()), key=repr)
     df.createOrReplaceTempView("nps_rows")
-    want = sorted(tuple(r) for r in spark.sql("""
+    want = sorted((tuple(r) for r in spark.sql("""
         SELECT a,
           CASE WHEN (a = '10 - extremely likely' OR a = '9') THEN 1 ELSE 0 END AS p,
           CASE WHEN (a != '10 - extremely likely' AND a != '9' AND a != '8' AND a != '7') THEN 1 ELSE 0 END AS d
-        FROM nps_rows""").collect(), key=repr)
+        FROM nps_rows""").collect()), key=repr)
     assert got == want
 
 
