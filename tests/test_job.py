@@ -104,3 +104,14 @@ def test_parallel_team_writes_equal_sequential(spark):
     lazy = twin_nightly_job(Commerce(spark, SF001))
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(map(key, par.select(*lazy.columns).collect())) == sorted(map(key, lazy.collect()))
+
+
+def test_catalog_reads_each_table_once_per_session_and_refreshes(spark):
+    from kpiloom.sources.catalog import ParquetCatalog
+    root = tempfile.mkdtemp(prefix="kpiloom-cat-", dir="/tmp")
+    spark.range(3).write.parquet(f"{root}/t")
+    a = ParquetCatalog(spark, root, suffix="")
+    assert a.table("t") is ParquetCatalog(spark, root, suffix="").table("t")   # shared relation
+    spark.range(5).write.mode("overwrite").parquet(f"{root}/t")
+    a.refresh()
+    assert ParquetCatalog(spark, root, suffix="").table("t").count() == 5
