@@ -721,6 +721,7 @@ def twin_nightly_job(t: Commerce, as_of: str = AS_OF, sink: str | None = None) -
     customer profile feeds one cohort aggregate, which is materialised
     (cohort grain: small) and projected into the team tables."""
     from kpiloom.plans.job import KpiJob
+    t.refresh()                         # a nightly run must see files that landed since the last
     p = KpiJob(spine=lambda: join_prep_table(t), teams=job_teams(t), cohort=COHORT,
                  shared={"order_metrics": lambda: order_team_metrics(contact_profile(t, as_of))})
     return p.run(as_of=as_of, sink=sink)
