@@ -25,10 +25,9 @@ def test_existence_flags_scan_orders_once(spark):
 
 
 def test_year_filters_reach_parquet(spark):
-    df = Q.projected_completion_q(Commerce(spark, SF001))
-    df.collect()
-    p = df._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(o_orderdate" in p or "o_orderdate" in p
+    p = plan(Q.projected_completion_q(Commerce(spark, SF001)))
+    assert "GreaterThanOrEqual(o_orderdate,2000-01-01T00:00)" in p
+    assert "LessThan(o_orderdate,2001-01-01T00:00)" in p
 
 
 def test_column_pruning_on_lineitem(spark):
