@@ -152,8 +152,31 @@ def shared_denominators_q(t: Commerce) -> DataFrame:
     }, weight="n")
 
 
-def join_prep_table(t: Commerce) -> DataFrame:
-    """Spine with shared denominators over all contacts, plus survey totals."""
+def event_profile(t: Commerce) -> DataFrame:
+    """Respondent grain, one events pass: NPS flags and survey completion."""
+    ans = F.least(F.floor(F.col("value") / 10), F.lit(10))
+    label = F.when(ans == 10, NPS_PROMOTERS[0]).otherwise(ans.cast("string"))
+    fl = nps_flags(label, NPS_PROMOTERS, NPS_PASSIVES)
+    return t.events().groupBy(F.col("user_id").alias("contact_id")).agg(
+        F.sum(fl["promoter"]).alias("p"), F.sum(fl["detractor"]).alias("d"),
+        F.count(label).alias("n"),
+        F.sum(flag(F.col("event_type") == "purchase")).alias("completed_survey_count"))
+
+
+def event_metrics(t: Commerce) -> DataFrame:
+    """Cell grain: NPS counts and survey-completion totals from one events
+    pass (respondents outside the contact table land in the NULL cell,
+    which never joins the spine)."""
+    j = event_profile(t).join(dims(t), "contact_id", "left")
+    return cohort_agg(j, COHORT, {
+        "nps_promoters": sum_long("p"), "nps_detractors": sum_long("d"), "nps_respondents": sum_long("n"),
+        "sc_denominator": F.count("contact_id"), "sc_count": sum_long("completed_survey_count")})
+
+
+def join_prep_table(t: Commerce, events: DataFrame | None = None) -> DataFrame:
+    """Spine with shared denominators over all contacts, plus survey totals.
+
+    ``events`` is the cell-grain event aggregate when a job shares one."""
     c = t.contacts(region=True).withColumn("national", F.lit("National")).withColumn(
         "tier", F.floor(F.col("c_acctbal") / 2500).cast("int"))
     cube = count_cube(c, ["national", "r_name", *KEYS, "tier"], "contact_id", "n")
@@ -163,12 +186,13 @@ def join_prep_table(t: Commerce) -> DataFrame:
         "jp_top_tier": tier >= 3,
         "jp_negative": tier < 0,
     }, weight="n")
+    if events is not None:
+        sc = events.select(*KEYS, "sc_denominator", "sc_count")
+        return denoms.join(sc, KEYS, "left")
     # The survey-completion table arrives pre-counted per cell (one row per
     # respondent summed by the survey system); K29 sums it and joins it on.
-    e = t.events()
-    per_user = e.groupBy(F.col("user_id").alias("contact_id")).agg(
-        F.lit(1).alias("student_count"),
-        F.sum(flag(F.col("event_type") == "purchase")).alias("completed_survey_count"))
+    per_user = event_profile(t).select("contact_id", F.lit(1).alias("student_count"),
+                                       "completed_survey_count")
     completion = per_user.join(dims(t), "contact_id").groupBy(*KEYS).agg(
         F.sum("student_count").alias("student_count"),
         F.sum("completed_survey_count").alias("completed_survey_count"))
@@ -500,21 +524,17 @@ def distinct_count_q(t: Commerce) -> DataFrame:
                                  extra={"dc_urgent_orders": sum_long("n")})
 
 
-def nps_table(t: Commerce) -> DataFrame:
-    ans = F.least(F.floor(F.col("value") / 10), F.lit(10))
-    label = F.when(ans == 10, NPS_PROMOTERS[0]).otherwise(ans.cast("string"))
-    r = t.events().select(F.col("user_id").alias("contact_id"), label.alias("answer"))
-    fl = nps_flags(F.col("answer"), NPS_PROMOTERS, NPS_PASSIVES)
-    per = r.groupBy("contact_id").agg(F.sum(fl["promoter"]).alias("p"),
-                                      F.sum(fl["detractor"]).alias("d"),
-                                      F.count("answer").alias("n"))
-    j = per.join(dims(t), "contact_id", "left")
-    out = cohort_agg(j, COHORT, {"nps_promoters": sum_long("p"), "nps_detractors": sum_long("d"),
-                                 "nps_respondents": sum_long("n")})
+def nps_from_cells(cells: DataFrame) -> DataFrame:
+    out = cells.filter(F.col("nps_respondents").isNotNull()).select(
+        *KEYS, "nps_promoters", "nps_detractors", "nps_respondents")
     return out.withColumn("nps_score", F.round(nps_score("nps_promoters", "nps_detractors",
                                                          "nps_respondents"), 6))
 
 
+def nps_table(t: Commerce) -> DataFrame:
+    return nps_from_cells(event_metrics(t))
+
+
 @register("nps")
 def nps_q(t: Commerce) -> DataFrame:
     """answer = least(floor(value/10), 10); 9-10 promote, 0-6 detract."""
@@ -712,7 +732,7 @@ def job_teams(t: Commerce) -> list:
         Team("indicators", lambda shared: k01_table(t)),
         *[Team(n, order_team(n), cadence="monthly" if n == "open_records" else "nightly")
           for n in ORDER_TEAMS],
-        Team("nps", lambda shared: nps_table(t)),
+        Team("nps", lambda shared: nps_from_cells(shared["event_metrics"])),
     ]
 
 
@@ -722,8 +742,10 @@ def twin_nightly_job(t: Commerce, as_of: str = AS_OF, sink: str | None = None) -
     (cohort grain: small) and projected into the team tables."""
     from kpiloom.plans.job import KpiJob
     t.refresh()                         # a nightly run must see files that landed since the last
-    p = KpiJob(spine=lambda: join_prep_table(t), teams=job_teams(t), cohort=COHORT,
-                 shared={"order_metrics": lambda: order_team_metrics(contact_profile(t, as_of))})
+    p = KpiJob(spine=lambda shared: join_prep_table(t, shared["event_metrics"]), teams=job_teams(t),
+               cohort=COHORT,
+               shared={"order_metrics": lambda: order_team_metrics(contact_profile(t, as_of)),
+                       "event_metrics": lambda: event_metrics(t)})
     return p.run(as_of=as_of, sink=sink)
 
 

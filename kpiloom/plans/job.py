@@ -38,7 +38,7 @@ class Team:
 
 @dataclass
 class KpiJob:
-    spine: Callable[[], DataFrame]
+    spine: Callable[[Mapping[str, DataFrame]], DataFrame]   # gets the shared stages too
     teams: Sequence[Team]
     cohort: CohortSpec
     # Shared stages (e.g. a per-entity profile of a fact table) built once,
@@ -88,7 +88,7 @@ class KpiJob:
         """
         day = as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of))
         shared = {n: self._materialise_shared(b(), sink, f"_shared_{n}") for n, b in self.shared.items()}
-        spine_df = self._materialise(self.spine(), sink, self.spine_name)
+        spine_df = self._materialise(self.spine(shared), sink, self.spine_name)
 
         def one(team: Team) -> DataFrame:
             if not team.due(day) and sink is not None:

@@ -579,5 +579,5 @@ def student_nightly_job(src: Source, p: StudentParams | None = None, sink: str |
                   cadence="monthly" if name == "om_incomplete_attendance" else "nightly")
              for name, fn in TEAMS.items()]
     shared = {name: (lambda b=b: b(src)) for name, b in DERIVED.items()}
-    return KpiJob(spine=lambda: join_prep(src, p), teams=teams, cohort=COHORT,
+    return KpiJob(spine=lambda shared: join_prep(src, p), teams=teams, cohort=COHORT,
                     shared=shared).run(p.as_of, sink)

@@ -51,7 +51,7 @@ def test_job_writes_tables_and_reuses_monthly(spark):
         calls["monthly"] += 1
         return base.groupBy(*C.dims).agg(F.sum("v").cast("bigint").alias("om_records"))
 
-    p = KpiJob(spine=lambda: base.select(*C.dims).distinct(),
+    p = KpiJob(spine=lambda sh: base.select(*C.dims).distinct(),
                  teams=[Team("t1", lambda sh: sh["base"].groupBy(*C.dims).agg(F.count("v").alias("t1_n"))),
                         Team("om", lambda sh: monthly(), cadence="monthly")], cohort=C,
                  shared={"base": lambda: base})
@@ -85,7 +85,7 @@ def test_cluster_conf_sizes_partitions():
 
 def test_shared_stage_keeps_its_partitioning(spark):
     big = spark.range(0, 4000, numPartitions=4).withColumn("k", F.col("id") % 7)
-    p = KpiJob(spine=lambda: big.select(F.lit("X").alias("site"), F.lit("A").alias("eth"),
+    p = KpiJob(spine=lambda sh: big.select(F.lit("X").alias("site"), F.lit("A").alias("eth"),
                                         F.lit("M").alias("gender")).distinct(),
                teams=[], cohort=C, shared={"facts": lambda: big})
     sink = tempfile.mkdtemp(prefix="kpiloom-sink-", dir="/tmp")
