@@ -56,7 +56,7 @@ def _exchange_children(plan_text: str, key_prefix: str) -> list[str]:
     ("open_records_snapshot", "l_orderkey"),
     ("existence_flags", "contact_id"),           # orders -> customer grain
     ("child_count_threshold", "contact_id"),
-    ("nps", "contact_id"),                       # events -> respondent grain
+    ("nps", "user_id"),                          # events -> respondent grain
     ("cohort_projected_completion", "contact_id"),
     ("distinct_entity_count", "contact_id"),
 ])
