@@ -237,3 +237,20 @@ def test_nightly_cli_on_parquet_warehouse(spark, tables):
     assert wide.count() == 5
     row = {tuple(r[k] for k in KEY): r for r in wide.collect()}[W8]
     assert row["aa_composite_ready"] == 1 and row["wellness_avg_support"] == pytest.approx(4 / 3)
+
+
+def test_session_consumers_read_the_materialised_summary(spark, tables):
+    from kpiloom.plans.student.teams import (Derived, academic_affairs, cc_hs, class_summary,
+                                             om_incomplete_attendance, red, student_life)
+    from kpiloom.plans.student.teams import wellness as wellness_team
+    from kpiloom.sources.catalog import ParquetCatalog
+    root = tempfile.mkdtemp(prefix="kpiloom-wh2-", dir="/tmp")
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+    src = ParquetCatalog(spark, root, suffix="")
+    class_summary(src).write.mode("overwrite").parquet(f"{root}/_summary")
+    shared = Derived(src, {"class_summary": spark.read.parquet(f"{root}/_summary")})
+    p = StudentParams()
+    for build in (academic_affairs, cc_hs, student_life, red, wellness_team, om_incomplete_attendance):
+        text = build(shared, p)._jdf.queryExecution().executedPlan().toString()
+        assert "class_template" not in text and "_summary" in text, build.__name__
