@@ -66,3 +66,9 @@ def test_facts_are_partially_aggregated_before_the_shuffle(spark, name, key):
     children = _exchange_children(plan(E.queries()[name](spark, SF001)), key)
     assert children, f"no exchange on {key}"
     assert any("HashAggregate" in c and "partial_" in c for c in children), children
+
+
+def test_nightly_job_reads_facts_only_in_its_shared_stages(spark):
+    p = plan(E.queries()["kpi_nightly_job"](spark, SF001))
+    for fact in ("lineitem.parquet", "orders.parquet", "events.parquet"):
+        assert fact not in p, fact           # read once, in the checkpointed shared stages
