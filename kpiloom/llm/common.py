@@ -42,3 +42,23 @@ def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row (bound as a lambda
     variable, so it is not recomputed inside nested higher-order functions)."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+class Recent(dict):
+    """``compute(key)`` remembered for the keys used of late, in at most twice
+    ``limit`` entries: when the newer half is full it becomes the older one."""
+
+    def __init__(self, compute, limit: int, longest: int = 64):
+        super().__init__()
+        self.compute, self.limit, self.longest, self.older = compute, limit, longest, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kpiloom.llm import byte_bpe, packing
 from kpiloom.llm.common import read
 from kpiloom.llm.quality_rules import quality_rules
 
@@ -15,7 +16,31 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
 
 
+def tokenizer_file(name: str) -> str:
+    """A public vocabulary, installed on the driver and every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.encode(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"),
+                           public_tokenizers.PATTERN)
+
+
+def word_ids(path: str) -> Callable[[str], bytes]:
+    return lambda text: packing.tokenizer(path).ids(text)
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_pack(read(spark, sf_dir, "documents"), word_ids(tokenizer_file("word_bpe_49k.json")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_byte_bpe": op3_byte_bpe,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
 }
 
