@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kpiloom.llm import byte_bpe, packing
 from kpiloom.llm.common import read
 from kpiloom.llm.quality_rules import quality_rules
+from kpiloom.llm.url_filter import DEFAULT_BLOCKS, UrlRule, rule_table, url_filter
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                            public_tokenizers.PATTERN)
 
 
+URL_RULES = (UrlRule("net/", "block"), UrlRule("example.net/en/", "allow"),
+             UrlRule("example.com/de/", "block"), UrlRule("org/fr/", "allow"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(read(spark, sf_dir, "pages"), rule_table(spark, [*URL_RULES, *DEFAULT_BLOCKS]))
+
+
 def word_ids(path: str) -> Callable[[str], bytes]:
     return lambda text: packing.tokenizer(path).ids(text)
 
@@ -40,8 +49,66 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_url_filter": op4_url_filter,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_url_filter": """
+        WITH cut AS (
+            SELECT page_id, coalesce(substr(url, nullif(strpos(url, '://'), 0) + 3), '') AS rest FROM pages),
+        parts AS (
+            SELECT page_id,
+                   translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+        ruled AS (
+            SELECT page_id, host, path,
+                   CASE WHEN '.' || host LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+                        WHEN '.' || host LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+                        WHEN '.' || host LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+                        WHEN '.' || host LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule,
+                   CASE WHEN host || path LIKE '%/wp-login.php%' THEN '*/wp-login.php'
+                        WHEN '.' || host LIKE '%.cheap-pills.%' THEN 'cheap-pills.'
+                        WHEN '.' || host LIKE '%.casino-win.%' THEN 'casino-win.'
+                        WHEN '.' || host LIKE '%.spam-farm.%' THEN 'spam-farm.'
+                        WHEN '.' || host LIKE '%.free-bets.%' THEN 'free-bets.'
+                        WHEN '.' || host LIKE '%.ads-track.%' THEN 'ads-track.'
+                        WHEN host || path LIKE '%/cgi-bin/%' THEN '*/cgi-bin/'
+                        WHEN '.' || host LIKE '%.adult-x.%' THEN 'adult-x.' END AS blocked
+            FROM parts)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+                    WHEN blocked IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
+               CASE WHEN rule IS NULL THEN blocked END AS method_rule
+        FROM ruled""",
+    "op6_quality_rules": r"""
+        WITH split AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS words,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents),
+        positions AS (SELECT doc_id, len(words) AS n, words, unnest(range(1, len(words) - 6)) AS i FROM split WHERE len(words) > 8),
+        windows AS (SELECT doc_id, n, i, count(*) OVER (PARTITION BY doc_id, words[i : i + 7]) AS times FROM positions),
+        covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 8)) AS word FROM windows WHERE times > 1),
+        repeats AS (SELECT doc_id, count(*) AS n_repeat_words FROM covered GROUP BY doc_id),
+        base AS (
+            SELECT s.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+                   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+                   coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines,
+                   length(regexp_replace(text, '[^!]', '', 'g'))::BIGINT AS n_bangs
+            FROM split s LEFT JOIN repeats r ON s.doc_id = r.doc_id),
+        bits AS (
+            SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END
+                       + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
+                       + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END
+                       + CASE WHEN n_dup_lines >= 5 AND 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
+                       + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END
+                       + CASE WHEN word_chars > 15 * n_words THEN 32 ELSE 0 END
+                       + CASE WHEN 10 * n_bangs > 5 * n_words THEN 64 ELSE 0 END)::BIGINT AS fail_bits
+            FROM base)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed,
+               fail_bits = 0 AS kept, n_lines, n_bangs, fail_bits, fail_bits AS policy_bits
+        FROM bits""",
+}
