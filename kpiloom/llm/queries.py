@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import byte_bpe, packing
+from kpiloom.llm import byte_bpe, order_minhash, packing
 from kpiloom.llm.common import read
 from kpiloom.llm.quality_rules import quality_rules
 from kpiloom.llm.url_filter import DEFAULT_BLOCKS, UrlRule, rule_table, url_filter
@@ -24,6 +24,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints_of_edits(read(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -48,6 +52,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_order_minhash": op2_order_minhash,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_url_filter": op4_url_filter,
     "op8_best_fit_packing": op8_best_fit_packing,
@@ -85,8 +90,8 @@ SQL: dict[str, str] = {
     "op6_quality_rules": r"""
         WITH split AS (
             SELECT doc_id, coalesce(text, '') AS text,
-                   list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS words,
-                   list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
             FROM documents),
         positions AS (SELECT doc_id, len(words) AS n, words, unnest(range(1, len(words) - 6)) AS i FROM split WHERE len(words) > 8),
         windows AS (SELECT doc_id, n, i, count(*) OVER (PARTITION BY doc_id, words[i : i + 7]) AS times FROM positions),
