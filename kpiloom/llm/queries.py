@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import byte_bpe, order_minhash, packing
+from kpiloom.llm import byte_bpe, language_id, order_minhash, packing
 from kpiloom.llm.common import read
 from kpiloom.llm.quality_rules import quality_rules
 from kpiloom.llm.url_filter import DEFAULT_BLOCKS, UrlRule, rule_table, url_filter
@@ -24,6 +24,14 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language_id.train(docs.where(~held_out))
+    return language_id.predict(docs, model, carry=(F.col("doc_id"), held_out.alias("held_out"))).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints_of_edits(read(spark, sf_dir, "documents"))
 
@@ -52,6 +60,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_order_minhash": op2_order_minhash,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_url_filter": op4_url_filter,
