@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import byte_bpe, language_id, order_minhash, packing
+from kpiloom.llm import byte_bpe, language_id, ngram_jaccard, order_minhash, packing
 from kpiloom.llm.common import read
 from kpiloom.llm.quality_rules import quality_rules
 from kpiloom.llm.url_filter import DEFAULT_BLOCKS, UrlRule, rule_table, url_filter
@@ -51,6 +51,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(read(spark, sf_dir, "pages"), rule_table(spark, [*URL_RULES, *DEFAULT_BLOCKS]))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def word_ids(path: str) -> Callable[[str], bytes]:
     return lambda text: packing.tokenizer(path).ids(text)
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_order_minhash": op2_order_minhash,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_url_filter": op4_url_filter,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
 }
