@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm import byte_bpe, language_id, ngram_jaccard, order_minhash, packing
 from kpiloom.llm.common import read
+from kpiloom.llm.importance_resampling import resample
+from kpiloom.llm.license_scan import license_scan
 from kpiloom.llm.quality_rules import quality_rules
 from kpiloom.llm.url_filter import DEFAULT_BLOCKS, UrlRule, rule_table, url_filter
 
@@ -55,6 +57,14 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(read(spark, sf_dir, "documents"))
+
+
 def word_ids(path: str) -> Callable[[str], bytes]:
     return lambda text: packing.tokenizer(path).ids(text)
 
@@ -69,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_url_filter": op4_url_filter,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op7_importance_resampling": op7_importance_resampling,
+    "op10_license_scan": op10_license_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
 }
