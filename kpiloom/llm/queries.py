@@ -12,6 +12,7 @@ from kpiloom.llm.common import read
 from kpiloom.llm.importance_resampling import resample
 from kpiloom.llm.license_scan import license_scan
 from kpiloom.llm.quality_rules import quality_rules
+from kpiloom.llm.surrogates import replace_entities
 from kpiloom.llm.url_filter import DEFAULT_BLOCKS, UrlRule, rule_table, url_filter
 
 
@@ -61,6 +62,14 @@ def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+#: Key of the registered query; a deployment passes its own.
+SURROGATE_KEY = "kpiloom-surrogates"
+
+
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_entities(read(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read(spark, sf_dir, "documents"))
 
@@ -80,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op7_importance_resampling": op7_importance_resampling,
+    "op9_surrogates": op9_surrogates,
     "op10_license_scan": op10_license_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
