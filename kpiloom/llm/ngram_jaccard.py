@@ -346,3 +346,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined = components(ties if links is None else links.union(ties))
     return (classes.join(first, "sig", "left").join(joined, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node", "doc_id").alias("component_id")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: JaccardConfig | None = None) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates: the one of
+    the smallest id; of rows that share an id, the least row.  Rows without an
+    id stay.
+
+    Most rows are kept without moving: a bitmap of the ids in question lets
+    them pass, and only rows that it holds back are joined with the exact ids.
+    """
+    found = stored(near_duplicates(docs, id_col, text_col, config), "components").where("doc_id is not null")
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    asked = stored(gone.union(again), "asked")
+    bits = (config or JaccardConfig()).bits_for(max(1, asked.count()))
+    sent = docs.sparkSession.sparkContext.broadcast(Bitmap(asked, bits, 3))
+
+    @F.pandas_udf("boolean")
+    def held_back(ids):
+        import pandas as pd
+
+        return pd.Series(sent.value.has(ids.to_numpy()))
+
+    own = F.col(id_col).cast("long")
+    marked = docs.withColumn("held_back", own.isNotNull() & held_back(F.coalesce(own, F.lit(0))))
+    free = marked.where("not held_back").drop("held_back")
+    held = marked.where("held_back").drop("held_back")
+    held = held.join(gone, held[id_col].cast("long") == gone["doc_id"], "left_anti")
+    others = [c for c in docs.columns if c != id_col]
+    least = held.groupBy(id_col).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in others])).alias("row"))
+    return free.unionByName(least.select(id_col, *[F.col(f"row.`{c}`") for c in others]))
