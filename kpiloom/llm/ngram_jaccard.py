@@ -48,11 +48,11 @@ class JaccardConfig:
     percent: int = 80
     #: A token in the prefixes of more sets than this is frequent.
     frequent: int = 24
-    #: Bits of a bitmap, at most; it has 64 for each row if that is fewer.
+    #: Bits of a bitmap, at most; it has 256 for each row if that is fewer.
     bits: int = 1 << 27
 
     def bits_for(self, rows: int) -> int:
-        return min(self.bits, max(1 << 20, 1 << (64 * rows).bit_length()))
+        return min(self.bits, max(1 << 20, 1 << (256 * rows).bit_length()))
 
     def lacking(self, n: int) -> int:
         """Tokens that a set of ``n`` may lack in a similar set, at most."""
@@ -126,40 +126,83 @@ class Bitmap:
         return out
 
 
+#: Rows handled at once in a task: bounds what a worker holds.
+SLICE = 512
+
+
+def _slices(batches):
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE):
+            yield b.slice(at, SLICE)
+
+
+def _lists(tokens: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0] + [len(t) for t in tokens]).astype(np.int32)
+    values = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
+
+
+def _ids(batch, name: str) -> np.ndarray:
+    return batch.column(name).fill_null(0).to_numpy(zero_copy_only=False)
+
+
 def _classes(rows: DataFrame, config: JaccardConfig) -> DataFrame:
-    """``doc_id, n, sig`` of every row; equal sets have equal ``sig``."""
+    """``doc_id, n, sig, first`` of every row: size, digest and first tokens by
+    hash of its set, twice as many as it files if they are rare."""
     def run(batches):
-        for b in batches:
+        for b in _slices(batches):
             sets = [tokens_of(text, config.words) for text in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([len(t) for t in sets], pa.int64()),
-                 pa.array([xxhash.xxh3_128_digest(t.tobytes()) if len(t) else None for t in sets], pa.binary())],
-                ["doc_id", "n", "sig"])
+                 pa.array([xxhash.xxh3_128_digest(t.tobytes()) if len(t) else None for t in sets], pa.binary()),
+                 _lists([t[:2 * config.lacking(len(t)) + 2] for t in sets])], ["doc_id", "n", "sig", "first"])
 
-    return rows.mapInArrow(run, "doc_id long, n long, sig binary")
+    return rows.mapInArrow(run, "doc_id long, n long, sig binary, first array<long>")
 
 
-def _sets(rows: DataFrame, config: JaccardConfig, only: Bitmap, shared: Bitmap | None = None) -> DataFrame:
-    """``node, n, tokens`` of the rows that ``only`` lets pass: the first tokens
-    by hash; with ``shared``, all tokens of those with one of ``shared`` there."""
-    sent = rows.sparkSession.sparkContext.broadcast((only, shared))
+def _over(classes: DataFrame, chosen: Bitmap, more, config: JaccardConfig, pick) -> DataFrame:
+    """``pick(n, first, more)`` of each class that ``chosen`` lets pass: tokens,
+    or None if only the whole set can tell (``keys`` is null then)."""
+    sent = classes.sparkSession.sparkContext.broadcast((chosen, more))
 
     def run(batches):
-        allowed, among = sent.value
-        for b in batches:
-            ids = b.column("doc_id").to_numpy(zero_copy_only=False)
-            kept, out = [], []
-            for i in np.flatnonzero(allowed.has(ids)) if len(ids) else ():
-                tokens = tokens_of(b.column("text")[i].as_py(), config.words)
-                first = tokens[:config.lacking(len(tokens)) + 1]
-                if len(tokens) and (among is None or among.has(first).any()):
-                    kept.append((ids[i], len(tokens)))
-                    out.append(first if among is None else tokens)
+        allowed, given = sent.value
+        for b in _slices(batches):
+            ids, sizes = _ids(b, "doc_id"), _ids(b, "n")
+            at, out = [], []
+            for i in np.flatnonzero(allowed.has(ids) & (sizes > 0)):
+                keys = pick(int(sizes[i]), b.column("first")[i].values.to_numpy(zero_copy_only=False), given)
+                if keys is None or len(keys):
+                    at.append(i)
+                    out.append(None if keys is None else keys)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.int64()),
-                 pa.array(out, pa.list_(pa.int64()))], ["node", "n", "tokens"])
+                [pa.array(ids[at], pa.int64()), pa.array(sizes[at], pa.int64()),
+                 pa.array(out, pa.list_(pa.int64()))], ["node", "n", "keys"])
+
+    return (classes.where("doc_id is not null").select("doc_id", "n", "first")
+            .mapInArrow(run, "node long, n long, keys array<long>"))
+
+
+def _whole(texts: DataFrame, wanted: Bitmap, config: JaccardConfig, frequent: Bitmap | None = None) -> DataFrame:
+    """``node, n, keys``: whole sets of the rows in ``wanted``, read from their
+    texts again; with ``frequent``, what they are filed under."""
+    sent = texts.sparkSession.sparkContext.broadcast((wanted, frequent))
+
+    def run(batches):
+        allowed, often = sent.value
+        for b in _slices(batches):
+            ids = _ids(b, "doc_id")
+            at, n, out = [], [], []
+            for i in np.flatnonzero(allowed.has(ids)):
+                tokens = tokens_of(b.column("text")[i].as_py(), config.words)
+                if len(tokens):
+                    at.append(i)
+                    n.append(len(tokens))
+                    out.append(tokens if often is None else filed(tokens, often.has(tokens), config))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at], pa.int64()), pa.array(n, pa.int64()), _lists(out)],
+                                             ["node", "n", "keys"])
 
-    return rows.mapInArrow(run, "node long, n long, tokens array<long>")
+    return texts.mapInArrow(run, "node long, n long, keys array<long>")
 
 
 def filed(tokens: np.ndarray, frequent: np.ndarray, config: JaccardConfig) -> np.ndarray:
@@ -176,56 +219,16 @@ def filed(tokens: np.ndarray, frequent: np.ndarray, config: JaccardConfig) -> np
     return np.concatenate([rare, pairs])
 
 
-def _filed(sets: DataFrame, frequent: Bitmap, config: JaccardConfig) -> DataFrame:
-    sent = sets.sparkSession.sparkContext.broadcast(frequent)
-
-    def run(batches):
-        for b in batches:
-            out = []
-            for t in b.column("tokens"):
-                tokens = t.values.to_numpy(zero_copy_only=False)
-                out.append(filed(tokens, sent.value.has(tokens), config))
-            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("n"), pa.array(out, pa.list_(pa.int64()))],
-                                             ["node", "n", "keys"])
-
-    rows = sets.select("node", "n", "tokens").mapInArrow(run, "node long, n long, keys array<long>")
-    return rows.select("node", "n", F.explode("keys").alias("key"))
-
-
-def _reach(sets: DataFrame, frequent: Bitmap, config: JaccardConfig) -> DataFrame:
-    """Tokens that may move up into a prefix once the frequent ones known so
-    far have left it: for sets that lose any, the next three prefixes' worth."""
-    sent = sets.sparkSession.sparkContext.broadcast(frequent)
-
-    def run(batches):
-        for b in batches:
-            out = []
-            for t in b.column("tokens"):
-                tokens = t.values.to_numpy(zero_copy_only=False)
-                size = config.lacking(len(tokens)) + 1
-                hit = sent.value.has(tokens)
-                out.append(tokens[:4 * size][~hit[:4 * size]] if hit[:size].any() else tokens[:0])
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], ["keys"])
-
-    return sets.select("tokens").mapInArrow(run, "keys array<long>").select(F.explode("keys").alias("token"))
-
-
 def _often(tokens: DataFrame, more_than: int) -> DataFrame:
     return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > more_than)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, config: JaccardConfig, bits: int) -> DataFrame:
+def _linked(pairs: DataFrame, texts: DataFrame, config: JaccardConfig, bits: int) -> DataFrame:
     """Those of the distinct pairs ``a, b`` that reach the threshold."""
-    nodes = pairs.select("a").union(pairs.select("b"))
-    sent = pairs.sparkSession.sparkContext.broadcast(Bitmap(nodes, bits))
-
-    def run(batches):
-        for b in batches:
-            yield b.filter(pa.array(sent.value.has(b.column("node").to_numpy(zero_copy_only=False))))
-
-    few = sets.select("node", "n", "tokens").mapInArrow(run, "node long, n long, tokens array<long>")
-    left = few.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("t_a"))
-    right = few.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("t_b"))
+    wanted = Bitmap(pairs.select("a").union(pairs.select("b")).distinct(), bits)
+    sets = stored(_whole(texts, wanted, config).distinct(), "sets")
+    left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("keys").alias("t_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("keys").alias("t_b"))
     common = F.size(F.array_intersect("t_a", "t_b"))
     return (pairs.join(left, "a").join(right, "b")
             .where(100 * common >= config.percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b"))
@@ -302,27 +305,63 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     without an id get a null component.  An empty table gives an empty result;
     other columns are left out, so none can clash.
 
-    Texts are read three times instead of moving or storing every set: for the
-    classes, for the first tokens of each class, and for whole sets where a
-    first token is shared.
+    Texts are read for the classes, again where a set has too few rare tokens
+    among its first ones, and again for the sets of candidate pairs; whole
+    sets are neither moved nor stored otherwise.
     """
     config = config or JaccardConfig()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     classes = stored(_classes(rows, config), "classes")
     bits = config.bits_for(classes.count())
-    known = classes.where("doc_id is not null and n > 0")
-    first = known.groupBy("sig").agg(F.min("doc_id").alias("node"))
+    known = classes.where("doc_id is not null and n > 0").select("doc_id", "sig")
+    first = stored(known.groupBy("sig").agg(F.min("doc_id").alias("node")), "first")
     texts = rows.where("doc_id is not null and text is not null")
     chosen = Bitmap(first.select("node"), bits)
 
-    counts = stored(_often(_sets(texts, config, chosen).select(F.explode("tokens").alias("token")), 1), "counts")
-    frequent = counts.where(F.col("df") > config.frequent).select("token")
+    def filed_at_first(n, tokens, _):
+        return tokens[:config.lacking(n) + 1]
+
+    index = _over(classes, chosen, None, config, filed_at_first).select(F.explode("keys").alias("token"))
+    counts = stored(_often(index, 1), "counts")
     shared = Bitmap(counts.select("token"), bits, 3)
-    sets = stored(_sets(texts, config, chosen, shared), "sets")
-    rising = _often(_reach(sets, Bitmap(frequent, bits, 3), config), config.frequent).select("token")
-    index = _filed(sets, Bitmap(frequent.union(rising), bits, 3), config)
-    groups = index.join(index.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"), "key", "left_semi")
-    groups = stored(groups.distinct(), "groups")
+    often = counts.where(F.col("df") > config.frequent).select("token")
+
+    def moving_up(n, tokens, frequent):
+        # frequent tokens leave the first ones; twice as many may take their places
+        size = config.lacking(n) + 1
+        ahead = tokens[size:size + 2 * int(frequent.has(tokens[:size]).sum())]
+        return ahead[~frequent.has(ahead)]
+
+    rising = _over(classes, chosen, Bitmap(often, bits, 3), config, moving_up).select(F.explode("keys").alias("token"))
+    frequent = Bitmap(often.union(_often(rising, config.frequent).select("token")), bits, 3)
+
+    def rare(n, tokens, frequent):
+        size = config.lacking(n) + 1
+        found = tokens[~frequent.has(tokens)]
+        return found[:size] if len(found) >= size else None
+
+    def undecided(n, tokens, frequent):
+        return None if rare(n, tokens, frequent) is None else tokens[:0]
+
+    def later(n, tokens, frequent):
+        # rare tokens that were not among the first ones counted
+        size, found = config.lacking(n) + 1, rare(n, tokens, frequent)
+        return tokens[:0] if found is None else found[found > tokens[size - 1]]
+
+    few = _over(classes, chosen, frequent, config, undecided).select("node")
+    few = stored(_whole(texts, Bitmap(few, bits, 3), config, frequent).distinct(), "few")
+    more = _over(classes, chosen, frequent, config, later).select(F.explode("keys").alias("key"))
+    besides = Bitmap(more.union(few.select(F.explode("keys").alias("key"))).distinct(), bits, 3)
+
+    def shared_ones(n, tokens, given):
+        frequent, one, two = given
+        found = rare(n, tokens, frequent)
+        return tokens[:0] if found is None else found[one.has(found) | two.has(found)]
+
+    many = _over(classes, chosen, (frequent, shared, besides), config, shared_ones)
+    index = stored(many.union(few).select("node", "n", F.explode("keys").alias("key")).distinct(), "index")
+    twice = index.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
+    groups = stored(index.join(twice, "key", "left_semi"), "groups")
     ranks = groups.groupBy("node").agg((F.count(F.lit(1)) / F.max("n")).alias("rank"))
     groups = stored(groups.join(ranks, "node"), "ranked")
 
@@ -335,16 +374,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        found = stored(_linked(pairs, sets, config, bits), "links")
+        found = stored(_linked(pairs, texts, config, bits), "links")
         links = found if links is None else links.union(found)
         tested = pairs if tested is None else tested.union(pairs)
 
     # documents whose rows have different sets tie those together
-    member = known.select("doc_id", "sig").distinct().join(first, "sig")
+    member = known.distinct().join(first, "sig")
     several = member.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     ties = member.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     joined = components(ties if links is None else links.union(ties))
-    return (classes.join(first, "sig", "left").join(joined, "node", "left")
+    return (classes.select("doc_id", "n", "sig").join(first, "sig", "left").join(joined, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node", "doc_id").alias("component_id")))
 
 
