@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +26,26 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def on_executors(spark: SparkSession) -> None:
+    """Send this package's source files to the executors, once per context:
+    their Python workers import it by name."""
+    sc = spark.sparkContext
+    if getattr(sc, "_kpiloom_sent", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="kpiloom-"), "kpiloom_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("kpiloom", os.path.relpath(full, package)))
+    sc.addPyFile(path)
+    sc._kpiloom_sent = True
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    on_executors(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
