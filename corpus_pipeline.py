@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm import language_id
-from kpiloom.llm.common import read, stored
+from kpiloom.llm.common import on_executors, read, stored
 from kpiloom.llm.ngram_jaccard import keep_one
 from kpiloom.llm.packing import best_fit_pack
 from kpiloom.llm.quality_rules import DEFAULT_POLICY, apply_policy, ledger
@@ -35,6 +35,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     where that is missing.  The model learns from the rows that have one.
     Without any such row nothing can be told and all documents with a letter
     are kept."""
+    on_executors(spark)
     model = language_id.train(docs)
     judged = language_id.predict(docs, model, carry=tuple(F.col(c) for c in COLUMNS))
     if not model.languages:
@@ -45,6 +46,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    on_executors(spark)
     return keep_one(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
@@ -56,6 +58,7 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces and their places in sequences of 2,048 tokens."""
+    on_executors(spark)
     return best_fit_pack(docs, word_ids(tokenizer_file("word_bpe_49k.json")))
 
 
