@@ -34,10 +34,6 @@ def weighted(pred: Column, weight) -> Column:
     return F.when(pred, _c(weight))
 
 
-def as_long(col) -> Column:
-    return _c(col).cast("bigint")
-
-
 def ratio(num, den) -> Column:
     """num / den as double, NULL when den is 0 or NULL (never raises)."""
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))

@@ -187,13 +187,14 @@ def attribute_carry(entities: DataFrame, units: DataFrame, entity_unit_key: str,
                     count: tuple[str, str], carried: str) -> DataFrame:
     """Count entities per cell and carry a unit attribute with MAX.
 
-    The attribute is functionally dependent on the unit (site), so MAX just
-    carries it.  Entities are counted per (cell, unit) first; the join then
-    sees one row per (cell, unit) instead of one per entity.
+    ``units`` may hold several rows per unit; the greatest value is its
+    attribute.  Entities are counted per (cell, unit) first; the join then
+    sees one row per (cell, unit) and one per unit.
     """
+    units = units.groupBy(unit_key).agg(F.max(attr).alias(attr))
     per_unit = entities.groupBy(*cohort.dims, entity_unit_key).agg(
         F.count(F.col(count[1])).alias("__n"))
-    joined = per_unit.join(units.select(unit_key, attr),
+    joined = per_unit.join(units,
                            per_unit[entity_unit_key] == units[unit_key], "left")
     return joined.groupBy(*cohort.dims).agg(
         F.sum("__n").cast("bigint").alias(count[0]), F.max(attr).alias(carried))

@@ -81,7 +81,8 @@ def persistence_entities(terms: DataFrame, entity: str, base: Column, group_pred
     a window MAX over its (few) groups — no second scan, no join.
     """
     site_keys = [site] if site and site not in cohort.dims else []
-    per = terms.filter(base | later).groupBy(entity, *cohort.dims, *site_keys).agg(
+    # without an entity there is nobody to persist (NULLs must not pool)
+    per = terms.filter((base | later) & F.col(entity).isNotNull()).groupBy(entity, *cohort.dims, *site_keys).agg(
         F.max(F.when(base, flag(group_pred))).alias("__base"),
         F.sum(flag(later)).alias("__n"),
         F.sum(flag(later & persisted_pred)).alias("__k"))

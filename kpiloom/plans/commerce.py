@@ -2,21 +2,22 @@
 
 Each function takes ``(spark, root)`` and returns a lazy cohort-grain
 DataFrame keyed by ``(n_name, c_mktsegment, band)`` (or the roll-up levels).
-The matching DuckDB oracle SQL lives in ``commerce_sql`` under the same name
-and is written in the reference's literal shape (correlated subqueries,
-IN-subqueries, many-to-many term joins, LAG); the Spark side is the fused,
-pre-aggregated form, so agreement tests the rewrite.
-
-Plan conventions at scale: facts (lineitem, orders, events) are reduced to
-order or customer grain with partial aggregation *before* any join, so a key
-holding a third of the rows is combined map-side; joins are then one row per
-key on the fact side.  Only fixed-size dimensions (nation, region) and
+The matching DuckDB oracle SQL lives in ``commerce_sql`` under the same name,
+written from the definition of the metric.
+
+Plan conventions at scale: where the operator allows it, facts (lineitem,
+orders, events) are reduced to order or customer grain with partial
+aggregation before a join, so a key holding a third of the rows is combined
+map-side.  Operators that have to see repeated rows (growth, distinct counts,
+retention, persistence) get the fact rows joined to the cell; there Spark's
+skew join splits a hot key.  Only fixed-size dimensions (nation, region) and
 derived tables whose size AQE measures at runtime are broadcast.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,13 +30,14 @@ from kpiloom.operators.cohort import (CohortSpec, assemble, attribute_carry, coh
 from kpiloom.operators.links import (activity_flags_any, child_count_threshold,
                                      existence_flags, members, restrict_to_members)
 from kpiloom.operators.periods import (as_of_switch, distinct_population, open_before,
-                                       period_presence_entities, persistence_entities, retention,
+                                       exact_period_presence, persistence, retention,
                                        score_growth)
 from kpiloom.operators.rates import (average_support, count_cube, entity_rate, period_weights,
                                      rate_flag, shared_denominators, split_population,
                                      three_state_rate)
 from kpiloom.operators.surveys import (distinct_entity_count, likert_agree, nps_flags, nps_score,
                                        survey_completion)
+from kpiloom.session import shared_dir
 from kpiloom.sources.commerce import (COHORT, HIGH, KEYS, LOW, MEDIUM, NOT_SPECIFIED, URGENT,
                                       Commerce, gterm_of, in_quarters, in_year, prev_gterm)
 
@@ -53,6 +55,9 @@ AGREE_EN = ("Strongly Agree", "Agree")
 AGREE_ES = ("Totalmente de acuerdo", "De acuerdo")
 AGREE_MISSPELT = ("Strongly Agree", "StronglyAgree", "Agree")
 AGREE_TYPES = ("purchase", "signup")
+# Base and later quarters of the twin, and the "sites" of an order.
+P_BASE, P_LATER = 19974, (19981, 19982, 19984)
+PRIORITIES = (URGENT, HIGH, MEDIUM, NOT_SPECIFIED, LOW)
 
 
 def register(name: str):
@@ -111,7 +116,7 @@ def ratio_rollup_q(t: Commerce) -> DataFrame:
 @register("dimension_attribute_carry")
 def attribute_carry_q(t: Commerce) -> DataFrame:
     """Head-count per cell next to the site's capacity (MAX s_acctbal)."""
-    units = t.supplier().groupBy("s_nationkey").agg(F.max("s_acctbal").alias("capacity"))
+    units = t.supplier().select("s_nationkey", F.col("s_acctbal").alias("capacity"))  # many rows per site
     out = attribute_carry(t.contacts(), units, "c_nationkey", "s_nationkey", "capacity", COHORT,
                           ("dc_head_count", "contact_id"), "dc_capacity")
     return out.withColumn("dc_capacity", F.round("dc_capacity", 6))
@@ -154,8 +159,9 @@ def shared_denominators_q(t: Commerce) -> DataFrame:
 
 def event_profile(t: Commerce) -> DataFrame:
     """Respondent grain, one events pass: NPS flags and survey completion."""
-    ans = F.least(F.floor(F.col("value") / 10), F.lit(10))
-    label = F.when(ans == 10, NPS_PROMOTERS[0]).otherwise(ans.cast("string"))
+    # an error event carries no answer: NULL, neither promoter nor detractor
+    ans = F.when(F.col("event_type") != "error", F.floor(F.col("value") / 10))
+    label = F.when(ans >= 10, NPS_PROMOTERS[0]).otherwise(ans.cast("string"))
     fl = nps_flags(label, NPS_PROMOTERS, NPS_PASSIVES)
     return t.events().groupBy(F.col("user_id").alias("contact_id")).agg(
         F.sum(fl["promoter"]).alias("p"), F.sum(fl["detractor"]).alias("d"),
@@ -189,13 +195,11 @@ def join_prep_table(t: Commerce, events: DataFrame | None = None) -> DataFrame:
     if events is not None:
         sc = events.select(*KEYS, "sc_denominator", "sc_count")
         return denoms.join(sc, KEYS, "left")
-    # The survey-completion table arrives pre-counted per cell (one row per
-    # respondent summed by the survey system); K29 sums it and joins it on.
+    # The survey-completion table arrives pre-counted per respondent; K29 sums
+    # it per cell and joins it on.
     per_user = event_profile(t).select("contact_id", F.lit(1).alias("student_count"),
                                        "completed_survey_count")
-    completion = per_user.join(dims(t), "contact_id").groupBy(*KEYS).agg(
-        F.sum("student_count").alias("student_count"),
-        F.sum("completed_survey_count").alias("completed_survey_count"))
+    completion = per_user.join(dims(t), "contact_id")      # many rows per cell: K29 sums them
     sc = survey_completion(completion, COHORT, {"sc_denominator": "student_count",
                                                 "sc_count": "completed_survey_count"})
     return denoms.join(sc, KEYS, "left")
@@ -331,8 +335,9 @@ def membership_q(t: Commerce) -> DataFrame:
     o = t.orders()
     m = members(o, "contact_id", (pr() == URGENT) & in_quarters("o_orderdate", [19984]))
     om = restrict_to_members(o.select("o_orderkey", "contact_id"), "contact_id", m)
-    po = t.lineitem().groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"),
-                                                F.sum("l_quantity").alias("qty"))
+    li = t.lineitem().select("l_orderkey", "l_quantity")
+    li = li.join(om, li["l_orderkey"] == om["o_orderkey"], "left_semi")   # restrict, then aggregate
+    po = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("qty"))
     f = po.join(om, po["l_orderkey"] == om["o_orderkey"])
     per = f.groupBy("contact_id").agg(F.sum("lines").alias("lines"), F.sum("qty").alias("qty"),
                                       F.count(F.lit(1)).alias("orders"))
@@ -344,13 +349,15 @@ def membership_q(t: Commerce) -> DataFrame:
 @register("activity_flags_any")
 def activity_flags_q(t: Commerce) -> DataFrame:
     """Any ECONOMY part / any returned large part / any widget in 1998."""
-    li = t.lineitem().select("l_orderkey", "l_partkey", "l_returnflag")
-    p = t.part().select("p_partkey", "p_type", "p_size", "p_name")
+    # part and line become flags before the join: no strings are shuffled
+    li = t.lineitem().select("l_orderkey", "l_partkey", (F.col("l_returnflag") == "R").alias("returned"))
+    p = t.part().select("p_partkey", (F.col("p_type") == "ECONOMY").alias("is_economy"),
+                        (F.col("p_size") >= 40).alias("is_large"), F.col("p_name").like("%widget%").alias("is_widget"))
     lp = li.join(p, li["l_partkey"] == p["p_partkey"])
     per_order = activity_flags_any(lp, "l_orderkey", {
-        "econ": F.col("p_type") == "ECONOMY",
-        "large_ret": (F.col("l_returnflag") == "R") & (F.col("p_size") >= 40),
-        "widget": F.col("p_name").like("%widget%"),
+        "econ": F.col("is_economy"),
+        "large_ret": F.col("returned") & F.col("is_large"),
+        "widget": F.col("is_widget"),
     })
     j = per_order.join(order_keys(t, "yr"), per_order["l_orderkey"] == F.col("o_orderkey"))
     per = activity_flags_any(j, "contact_id", {
@@ -368,10 +375,9 @@ def activity_flags_q(t: Commerce) -> DataFrame:
 @register("score_growth_year")
 def growth_year_q(t: Commerce) -> DataFrame:
     """K08 year grain: MIN order price per customer-year, growth vs previous."""
-    per = t.orders().groupBy("contact_id", F.col("yr").cast("string").alias("ay")).agg(
-        F.min("o_totalprice").alias("score"))
-    scores = per.join(dims(t), "contact_id")
-    return score_growth(scores, "contact_id", "ay", F.col("score"), COHORT,
+    orders = t.orders().select("contact_id", F.col("yr").cast("string").alias("ay"), "o_totalprice")
+    scores = orders.join(dims(t), "contact_id")
+    return score_growth(scores, "contact_id", "ay", F.col("o_totalprice"), COHORT,
                         "sg_year_grew", "sg_year_pairs")
 
 
@@ -379,17 +385,17 @@ def growth_year_q(t: Commerce) -> DataFrame:
 def growth_term_q(t: Commerce) -> DataFrame:
     """K08 term grain: MIN order price per customer-quarter, ordered by date."""
     start = F.to_date(F.date_trunc("quarter", F.col("o_orderdate"))).alias("term_start")
-    per = t.orders().groupBy("contact_id", start).agg(F.min("o_totalprice").alias("score"))
-    scores = per.join(dims(t), "contact_id")
-    return score_growth(scores, "contact_id", "term_start", F.col("score"), COHORT,
+    scores = t.orders().select("contact_id", start, "o_totalprice").join(dims(t), "contact_id")
+    return score_growth(scores, "contact_id", "term_start", F.col("o_totalprice"), COHORT,
                         "sg_term_grew", "sg_term_pairs")
 
 
 def k12_table(t: Commerce) -> DataFrame:
     o = t.orders()
-    li_orders = t.lineitem().select("l_orderkey").distinct()
+    li = t.lineitem().select("l_orderkey")
     o97 = o.filter(in_year("o_orderdate", 1997)).select("o_orderkey", "contact_id")
-    act = li_orders.join(o97, li_orders["l_orderkey"] == o97["o_orderkey"]).select("contact_id").distinct()
+    # one row per 1997 order with lines; K12 makes the customers distinct
+    act = o97.join(li, li["l_orderkey"] == o97["o_orderkey"], "left_semi").select("contact_id")
     active = existence_flags(dims(t), "contact_id", o, "contact_id",
                              {"active": in_year("o_orderdate", 1998)})
     return retention(act.join(active, "contact_id"), "contact_id", F.col("active") == 1, COHORT,
@@ -403,23 +409,17 @@ def retention_q(t: Commerce) -> DataFrame:
 
 
 def k13_table(t: Commerce) -> DataFrame:
-    base, later = 19974, (19981, 19982, 19984)
-    o = t.orders().filter(in_quarters("o_orderdate", [base, *later]))
+    o = t.orders().filter(in_quarters("o_orderdate", [P_BASE, *P_LATER]))
     ok = st() != "P"
-    # a customer's cell is fixed, so the per-customer pass runs on orders
-    # alone (partial aggregation) and the cell is attached afterwards
-    ents = persistence_entities(o, "contact_id", base=F.col("gterm") == base, group_pred=ok,
-                                later=F.col("gterm").isin(*later), persisted_pred=ok,
-                                cohort=CohortSpec(()), denom="persist_denom", num="persist_num")
-    j = ents.join(dims(t), "contact_id")
-    return cohort_agg(j, COHORT, {"persist_denom": sum_long("persist_denom"),
-                                  "persist_num": sum_long("persist_num")})
+    return persistence(o.join(dims(t), "contact_id"), "contact_id", base=F.col("gterm") == P_BASE, group_pred=ok,
+                       later=F.col("gterm").isin(*P_LATER), persisted_pred=ok, cohort=COHORT,
+                       site="o_orderpriority", denom="persist_denom", num="persist_num")
 
 
 @register("persistence")
 def persistence_q(t: Commerce) -> DataFrame:
-    """Customers with a non-pending 1997Q4 order whose orders in 1998Q1,
-    Q2 and Q4 are all non-pending."""
+    """Customers with a non-pending 1997Q4 order; persisted if the orders
+    of 1998Q1, Q2 and Q4 of at least one priority ("site") are all non-pending."""
     return k13_table(t)
 
 
@@ -427,9 +427,8 @@ def persistence_q(t: Commerce) -> DataFrame:
 def exact_presence_q(t: Commerce) -> DataFrame:
     """Customers with exactly two finished orders over 1998Q1 and 1998Q3."""
     o = t.orders().filter(in_quarters("o_orderdate", [19981, 19983]))
-    ents = period_presence_entities(o, "contact_id", st() == "F", F.col("gterm").isin(19981, 19983), 2)
-    return cohort_agg(ents.join(dims(t), "contact_id"), COHORT,
-                      {"ep_two_periods": F.count("contact_id")})
+    return exact_period_presence(o.join(dims(t), "contact_id"), "contact_id", st() == "F",
+                                 F.col("gterm").isin(19981, 19983), 2, COHORT, "ep_two_periods")
 
 
 # --------------------------------------------------------------- K16 / K17 / K20 / K23 / K30
@@ -481,8 +480,7 @@ def distinct_population_q(t: Commerce) -> DataFrame:
     """Distinct (customer, priority) of non-pending 1995 orders; on-track
     = priority not 4/5."""
     o = t.orders().filter(in_year("o_orderdate", 1995) & (st() != "P"))
-    # distinct (customer, priority) first: a customer with many orders is one row per priority
-    rows = o.select("contact_id", "o_orderpriority").distinct().join(dims(t), "contact_id")
+    rows = o.select("contact_id", "o_orderpriority").join(dims(t), "contact_id")
     return distinct_population(rows, "contact_id", ["o_orderpriority"], COHORT,
                                ~pr().isin(NOT_SPECIFIED, LOW), "dp_denom", "dp_on_track")
 
@@ -518,10 +516,9 @@ def projected_completion_q(t: Commerce) -> DataFrame:
 @register("distinct_entity_count")
 def distinct_count_q(t: Commerce) -> DataFrame:
     """Distinct customers with an URGENT order, beside the order count."""
-    per = t.orders().filter(pr() == URGENT).groupBy("contact_id").agg(F.count(F.lit(1)).alias("n"))
-    j = per.join(dims(t), "contact_id")
+    j = t.orders().filter(pr() == URGENT).select("contact_id").join(dims(t), "contact_id")
     return distinct_entity_count(j, "contact_id", COHORT, "dc_urgent_customers",
-                                 extra={"dc_urgent_orders": sum_long("n")})
+                                 extra={"dc_urgent_orders": F.count(F.lit(1))})
 
 
 def nps_from_cells(cells: DataFrame) -> DataFrame:
@@ -571,18 +568,16 @@ def support_table(t: Commerce, grain: str) -> DataFrame:
     need_rows = o98.filter(need_pred).select("contact_id", "o_orderpriority").distinct()
     need = need_rows.join(dims(t), "contact_id").groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("need_count"))
-    m = members(o98, "contact_id", need_pred)
-    sess_orders = restrict_to_members(o98.select("o_orderkey", "contact_id"), "contact_id", m)
-    po = t.lineitem().filter(F.col("l_quantity") > 0).groupBy("l_orderkey").agg(
-        F.sum("l_quantity").alias("q"))
-    s = (po.join(sess_orders, po["l_orderkey"] == sess_orders["o_orderkey"])
-         .groupBy("contact_id").agg(F.sum("q").alias("q"))
-         .join(dims(t), "contact_id", "left"))
-    sessions = s.groupBy(*KEYS).agg(F.sum("q").alias("sessions"))
+    # the customers in need with their cell, once; each fact is joined to them once
+    needy = restrict_to_members(dims(t), "contact_id", members(o98, "contact_id", need_pred))
+    sess_orders = o98.select("o_orderkey", "contact_id").join(needy, "contact_id")
+    li = t.lineitem().filter(F.col("l_quantity") > 0).select("l_orderkey", "l_quantity")
+    sessions = (li.join(sess_orders, li["l_orderkey"] == sess_orders["o_orderkey"])
+                .groupBy(*KEYS).agg(F.sum("l_quantity").alias("sessions")))
+    # a note is a customer's day with clicks: several click events make one note
     ev = t.events().filter(F.col("event_type") == "click").select(
-        F.col("user_id").alias("contact_id"), "event_id")
-    ev = restrict_to_members(ev, "contact_id", m).join(dims(t), "contact_id", "left")
-    notes = distinct_entity_count(ev, "event_id", COHORT, "notes")
+        F.col("user_id").alias("contact_id"), F.concat_ws("/", "user_id", F.to_date("ts")).alias("note"))
+    notes = distinct_entity_count(ev.join(needy, "contact_id"), "note", COHORT, "notes")
     out = average_support(sessions, notes, need, COHORT, site="n_name", grain=grain)
     return out.select(*KEYS, F.col("support_total").cast("bigint").alias("support_total"),
                       "need_count", F.round("avg_support", 6).alias("avg_support"))
@@ -642,7 +637,6 @@ EF_FLAGS = {
     "ef_pending_low": lambda: (st() == "P") & (pr() == LOW),
     "ef_open_2001": lambda: (st() == "O") & in_year("o_orderdate", 2001),
 }
-P_BASE, P_LATER = 19974, (19981, 19982, 19984)
 
 
 def line_profile(t: Commerce, as_of: str = AS_OF) -> DataFrame:
@@ -671,7 +665,9 @@ def contact_profile(t: Commerce, as_of: str = AS_OF) -> DataFrame:
         F.max(flag(in_year("o_orderdate", 1997) & has_lines)).alias("ret_active_97"),
         F.max(flag(in_year("o_orderdate", 1998))).alias("ret_active_98"),
         F.max(F.when(base, flag(ok))).alias("p_group"),
-        F.sum(flag(later)).alias("p_n"), F.sum(flag(later & ok)).alias("p_k"),
+        # K13 per site (order priority): later orders, and those that qualify
+        *[F.sum(flag(later & (pr() == p))).alias(f"p_n{i}") for i, p in enumerate(PRIORITIES)],
+        *[F.sum(flag(later & ok & (pr() == p))).alias(f"p_k{i}") for i, p in enumerate(PRIORITIES)],
         F.sum("open_lines").alias("open_lines"))
     return dims(t).join(prof, "contact_id", "left")
 
@@ -689,7 +685,9 @@ def order_team_metrics(pc: DataFrame) -> DataFrame:
     cc_ok = ((F.coalesce(F.col("cc_orders"), F.lit(0)) >= 12)
              & (F.coalesce(F.col("cc_urgent_high"), F.lit(0)) >= 5))
     ret = F.col("ret_active_97") == 1
-    grp = (F.col("p_group") == 1) & (F.col("p_n") > 0)
+    sites = [(F.col(f"p_n{i}"), F.col(f"p_k{i}")) for i in range(len(PRIORITIES))]
+    grp = (F.col("p_group") == 1) & (sum((n for n, _ in sites), F.lit(0)) > 0)
+    persisted = F.greatest(*[flag((n > 0) & (n == k)) for n, k in sites])
     return cohort_agg(pc, COHORT, {
         "rr_rated": F.count(rate),
         "rr_above": sum_long(F.when(F.col("has_lines") == 1, flag(rate >= RATE_THRESHOLD))),
@@ -698,7 +696,7 @@ def order_team_metrics(pc: DataFrame) -> DataFrame:
         "cc_num": sum_long(flag(cc_ok)), "cc_denom": F.count("contact_id"),
         "ret_denom": sum_long(F.when(ret, 1)), "ret_num": sum_long(F.when(ret, F.col("ret_active_98"))),
         "persist_denom": sum_long(F.when(grp, 1)),
-        "persist_num": sum_long(F.when(grp, flag(F.col("p_n") == F.col("p_k")))),
+        "persist_num": sum_long(F.when(grp, persisted)),
         "or_open_records": sum_long(F.when(F.col("open_lines") > 0, F.col("open_lines"))),
     })
 
@@ -736,12 +734,11 @@ def job_teams(t: Commerce) -> list:
     ]
 
 
-def twin_nightly_job(t: Commerce, as_of: str = AS_OF, sink: str | None = None) -> DataFrame:
+def twin_nightly_job(t: Commerce, sink: str, as_of: str = AS_OF) -> DataFrame:
     """One pass over lineitem and orders for all order-based teams: the
     customer profile feeds one cohort aggregate, which is materialised
     (cohort grain: small) and projected into the team tables."""
     from kpiloom.plans.job import KpiJob
-    t.refresh()                         # a nightly run must see files that landed since the last
     p = KpiJob(spine=lambda shared: join_prep_table(t, shared["event_metrics"]), teams=job_teams(t),
                cohort=COHORT,
                shared={"order_metrics": lambda: order_team_metrics(contact_profile(t, as_of)),
@@ -751,6 +748,6 @@ def twin_nightly_job(t: Commerce, as_of: str = AS_OF, sink: str | None = None) -
 
 @register("kpi_nightly_job")
 def nightly_job_q(t: Commerce) -> DataFrame:
-    """join_prep spine ⟕ eight team tables built from shared profiles
-    (no sink: lazy result)."""
-    return twin_nightly_job(t)
+    """join_prep spine ⟕ eight team tables built from shared profiles,
+    written to and published in the session's shared folder when called."""
+    return twin_nightly_job(t, shared_dir(t.spark, f"nightly-{uuid.uuid4().hex}"))

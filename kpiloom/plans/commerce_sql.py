@@ -1,9 +1,8 @@
 """Oracle SQL (DuckDB) for the twin queries in ``commerce``.
 
-Written in the reference's literal shape — correlated scalar subqueries for
-existence flags, ``IN (subquery)`` for membership, the many-to-many join on
-the term id alone, ``LAG`` over labels — so that agreement with the fused
-Spark plans checks the rewrites.  Integers are cast to BIGINT and ratios
+Written from the definition of each metric, in a structure of its own
+(grouped subqueries, EXISTS, filtered counts), so that agreement with the
+Spark plans is an independent check.  Integers are cast to BIGINT and ratios
 rounded to 6 digits on both sides.
 """
 
@@ -97,31 +96,16 @@ SELECT {KEYS},
 FROM cube
 GROUP BY {KEYS}"""
 
-SQL["survey_completion_join"] = with_(CONTACTS, """student AS (
-  SELECT 'National' AS national, r_name, n_name, c_mktsegment, band,
-         CAST(FLOOR(c_acctbal / 2500) AS INTEGER) AS tier, COUNT(contact_id) AS student_count
-  FROM contacts
-  GROUP BY r_name, n_name, c_mktsegment, band, CAST(FLOOR(c_acctbal / 2500) AS INTEGER))""",
-  """completion_table AS (
-  SELECT c.n_name, c.c_mktsegment, c.band, COUNT(*) AS student_count,
-         SUM(u.completed) AS completed_survey_count
-  FROM (SELECT user_id, SUM(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS completed
-        FROM events GROUP BY user_id) u
-  JOIN contacts c ON c.contact_id = u.user_id
-  GROUP BY c.n_name, c.c_mktsegment, c.band)""", """survey_completion AS (
-  SELECT n_name, c_mktsegment, band, SUM(student_count) AS sc_denominator,
-         SUM(completed_survey_count) AS sc_count
-  FROM completion_table GROUP BY n_name, c_mktsegment, band)""", """counts AS (
-  SELECT national, r_name, n_name, c_mktsegment, band,
-    SUM(IF(TRUE, student_count, NULL)) AS jp_contact_count,
-    SUM(IF(tier >= 3, student_count, NULL)) AS jp_top_tier,
-    SUM(IF(tier < 0, student_count, NULL)) AS jp_negative
-  FROM student GROUP BY national, r_name, n_name, c_mktsegment, band)""") + f"""
-SELECT p.national, p.r_name, p.n_name, p.c_mktsegment, p.band,
-  CAST(p.jp_contact_count AS BIGINT) AS jp_contact_count,
-  CAST(p.jp_top_tier AS BIGINT) AS jp_top_tier, CAST(p.jp_negative AS BIGINT) AS jp_negative,
-  CAST(s.sc_denominator AS BIGINT) AS sc_denominator, CAST(s.sc_count AS BIGINT) AS sc_count
-FROM counts p LEFT JOIN survey_completion s ON {on_keys('s', 'p')}"""
+SQL["survey_completion_join"] = with_(CONTACTS) + f"""
+SELECT 'National' AS national, c.r_name, c.n_name, c.c_mktsegment, c.band,
+  COUNT(*)::BIGINT AS jp_contact_count,
+  NULLIF(COUNT(*) FILTER (WHERE c_acctbal >= 7500), 0)::BIGINT AS jp_top_tier,
+  NULLIF(COUNT(*) FILTER (WHERE c_acctbal < 0), 0)::BIGINT AS jp_negative,
+  ANY_VALUE(s.people)::BIGINT AS sc_denominator, ANY_VALUE(s.done)::BIGINT AS sc_count
+FROM contacts c
+LEFT JOIN (SELECT {KEYS}, COUNT(DISTINCT user_id) AS people, COUNT(*) FILTER (WHERE event_type = 'purchase') AS done
+           FROM events JOIN contacts ON contact_id = user_id GROUP BY ALL) s ON {on_keys('s', 'c')}
+GROUP BY c.r_name, c.n_name, c.c_mktsegment, c.band"""
 
 _RATE_OUT = """CAST(COUNT(k.rate) AS BIGINT) AS {p}_rated,
   CAST(SUM(k.above) AS BIGINT) AS {p}_above,
@@ -248,53 +232,39 @@ GROUP BY c.n_name, c.c_mktsegment, c.band"""
 
 
 def _growth_sql(period_expr: str, p: str) -> str:
-    return with_(CONTACTS, f"""g AS (
-  SELECT o.o_custkey AS contact_id, c.n_name, c.c_mktsegment, c.band, {period_expr} AS period,
-         MIN(o.o_totalprice) AS score
-  FROM orders o LEFT JOIN contacts c ON c.contact_id = o.o_custkey
-  GROUP BY o.o_custkey, c.n_name, c.c_mktsegment, c.band, {period_expr})""", """gr AS (
-  SELECT *, score - LAG(score) OVER (PARTITION BY contact_id ORDER BY period) AS growth FROM g)""",
-                 """ind AS (
-  SELECT *, CASE WHEN growth > 0 THEN 1 ELSE 0 END AS grew FROM gr WHERE growth IS NOT NULL)""") + f"""
-SELECT {KEYS}, CAST(SUM(grew) AS BIGINT) AS {p}_grew, CAST(COUNT(contact_id) AS BIGINT) AS {p}_pairs
-FROM ind GROUP BY {KEYS}"""
+    """Each customer's periods against the period before, found by a maximum."""
+    low = f"""low AS (
+  SELECT o.o_custkey AS who, {period_expr} AS period, MIN(o.o_totalprice) AS price FROM orders o GROUP BY ALL)"""
+    return with_(CONTACTS, low) + f"""
+SELECT {KEYS}, COUNT(*) FILTER (WHERE now.price > earlier.price)::BIGINT AS {p}_grew, COUNT(*)::BIGINT AS {p}_pairs
+FROM (SELECT a.who, a.period, a.price, MAX(b.period) AS before
+      FROM low a JOIN low b ON b.who = a.who AND b.period < a.period GROUP BY ALL) now
+JOIN low earlier ON earlier.who = now.who AND earlier.period = now.before
+JOIN contacts ON contact_id = now.who
+GROUP BY {KEYS}"""
 
 
 SQL["score_growth_year"] = _growth_sql("CAST(year(o.o_orderdate) AS VARCHAR)", "sg_year")
 SQL["score_growth_term"] = _growth_sql("CAST(date_trunc('quarter', o.o_orderdate) AS DATE)", "sg_term")
 
-SQL["retention"] = with_(CONTACTS, TERMS, """g AS (
-  SELECT DISTINCT t.contact_id AS student, c.n_name, c.c_mktsegment, c.band,
-    CASE WHEN t.contact_id IN (SELECT contact_id FROM terms WHERE yr = 1998) THEN 1 ELSE 0 END
-      AS currently_active
-  FROM lineitem l
-  LEFT JOIN terms t ON t.at_id = l.l_orderkey
-  LEFT JOIN contacts c ON c.contact_id = t.contact_id
-  WHERE t.yr = 1997)""") + f"""
-SELECT {KEYS}, CAST(COUNT(student) AS BIGINT) AS ret_denom,
-  CAST(SUM(currently_active) AS BIGINT) AS ret_num
-FROM g GROUP BY {KEYS}"""
+SQL["retention"] = with_(CONTACTS) + f"""
+SELECT {KEYS}, COUNT(*)::BIGINT AS ret_denom,
+  COUNT(*) FILTER (WHERE contact_id IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1998))::BIGINT AS ret_num
+FROM contacts
+WHERE contact_id IN (SELECT o_custkey FROM orders
+                     WHERE year(o_orderdate) = 1997 AND o_orderkey IN (SELECT l_orderkey FROM lineitem))
+GROUP BY {KEYS}"""
 
-SQL["persistence"] = with_(CONTACTS, TERMS, """cat AS (
-  SELECT t.*, c.n_name, c.c_mktsegment, c.band
-  FROM terms t LEFT JOIN contacts c ON c.contact_id = t.contact_id)""", """rg AS (
-  SELECT contact_id, CASE WHEN o_orderstatus != 'P' THEN 1 ELSE 0 END AS include_in_group
-  FROM cat WHERE gterm = 19974)""", """pat AS (
-  SELECT cat.contact_id, cat.band, cat.c_mktsegment, cat.n_name,
-    COUNT(cat.at_id) AS at_count,
-    SUM(CASE WHEN cat.o_orderstatus != 'P' THEN 1 ELSE 0 END) AS persist_count,
-    MAX(rg.include_in_group) AS include_in_group
-  FROM cat LEFT JOIN rg ON rg.contact_id = cat.contact_id
-  WHERE cat.gterm IN (19981, 19982, 19984)
-  GROUP BY cat.contact_id, cat.band, cat.c_mktsegment, cat.n_name)""", """pc AS (
-  SELECT contact_id, band, c_mktsegment, n_name,
-    MAX(include_in_group) AS denom,
-    MAX(CASE WHEN at_count = persist_count THEN 1 ELSE 0 END) AS persisted
-  FROM pat WHERE include_in_group = 1
-  GROUP BY contact_id, band, c_mktsegment, n_name)""") + f"""
-SELECT {KEYS}, CAST(SUM(denom) AS BIGINT) AS persist_denom,
-  CAST(SUM(persisted) AS BIGINT) AS persist_num
-FROM pc GROUP BY {KEYS}"""
+_LATER = "gterm IN (19981, 19982, 19984)"
+SQL["persistence"] = with_(CONTACTS, TERMS) + f"""
+SELECT {KEYS}, COUNT(*)::BIGINT AS persist_denom,
+  COUNT(*) FILTER (WHERE contact_id IN (
+    SELECT contact_id FROM terms WHERE {_LATER}
+    GROUP BY contact_id, o_orderpriority HAVING bool_and(o_orderstatus <> 'P')))::BIGINT AS persist_num
+FROM contacts
+WHERE contact_id IN (SELECT contact_id FROM terms WHERE gterm = 19974 AND o_orderstatus <> 'P')
+  AND contact_id IN (SELECT contact_id FROM terms WHERE {_LATER})
+GROUP BY {KEYS}"""
 
 SQL["exact_period_presence"] = with_(CONTACTS, TERMS, """rg AS (
   SELECT t.contact_id, c.n_name, c.c_mktsegment, c.band, COUNT(t.at_id) AS n
@@ -379,22 +349,16 @@ FROM terms t JOIN contacts c ON c.contact_id = t.contact_id
 WHERE t.o_orderpriority = '1-URGENT'
 GROUP BY c.n_name, c.c_mktsegment, c.band"""
 
-SQL["nps"] = with_(CONTACTS, """ans AS (
-  SELECT user_id,
-    CASE WHEN LEAST(FLOOR(value / 10), 10) = 10 THEN '10 - extremely likely'
-         ELSE CAST(CAST(LEAST(FLOOR(value / 10), 10) AS BIGINT) AS VARCHAR) END AS answer
-  FROM events)""", """fl AS (
-  SELECT c.n_name, c.c_mktsegment, c.band, a.answer,
-    CASE WHEN a.answer IN ('10 - extremely likely', '9') THEN 1 ELSE 0 END AS promoter,
-    CASE WHEN a.answer NOT IN ('10 - extremely likely', '9', '8', '7') THEN 1 ELSE 0 END AS detractor
-  FROM ans a LEFT JOIN contacts c ON c.contact_id = a.user_id)""") + f"""
+SQL["nps"] = with_(CONTACTS, """answers AS (
+  SELECT user_id, CASE WHEN event_type <> 'error' THEN LEAST(FLOOR(value / 10), 10) END AS points FROM events)""") + f"""
 SELECT {KEYS},
-  CAST(SUM(promoter) AS BIGINT) AS nps_promoters,
-  CAST(SUM(detractor) AS BIGINT) AS nps_detractors,
-  CAST(COUNT(answer) AS BIGINT) AS nps_respondents,
-  ROUND(CAST(100 AS DOUBLE) * (SUM(promoter) - SUM(detractor)) / NULLIF(COUNT(answer), 0), 6)
-    AS nps_score
-FROM fl GROUP BY {KEYS}"""
+  COUNT(*) FILTER (WHERE points >= 9)::BIGINT AS nps_promoters,
+  COUNT(*) FILTER (WHERE points < 7)::BIGINT AS nps_detractors,
+  COUNT(points)::BIGINT AS nps_respondents,
+  ROUND(100.0::DOUBLE * (COUNT(*) FILTER (WHERE points >= 9) - COUNT(*) FILTER (WHERE points < 7))
+        / NULLIF(COUNT(points), 0), 6) AS nps_score
+FROM answers LEFT JOIN contacts ON contact_id = user_id
+GROUP BY {KEYS}"""
 
 SQL["likert_agree"] = with_(CONTACTS, """sv AS (
   SELECT user_id, event_type AS q_type,
@@ -421,53 +385,30 @@ SELECT {KEYS},
   CAST(SUM(a3) AS BIGINT) AS lk_agree_any
 FROM fl GROUP BY {KEYS}"""
 
-_NEEDY = ("SELECT contact_id FROM terms "
-          "WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND yr = 1998")
-
-
-def _support_sql(site_join: bool) -> str:
-    if site_join:
-        comb = """comb AS (
-  SELECT a.n_name, SUM(a.sessions + cse.notes) AS support_total, a.c_mktsegment, a.band
-  FROM sess a LEFT JOIN notes cse ON a.n_name = cse.n_name
-  GROUP BY a.n_name, a.c_mktsegment, a.band)"""
-    else:
-        comb = f"""comb AS (
-  SELECT a.n_name, a.sessions + COALESCE(cse.notes, 0) AS support_total, a.c_mktsegment, a.band
-  FROM sess a LEFT JOIN notes cse ON {on_keys('a', 'cse')})"""
-    return with_(CONTACTS, TERMS, """need_rows AS (
-  SELECT t.contact_id, c.n_name, t.o_orderpriority AS color,
-    MAX(CASE WHEN t.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE NULL END) AS need,
-    c.c_mktsegment, c.band
-  FROM terms t LEFT JOIN contacts c ON c.contact_id = t.contact_id
-  WHERE t.yr = 1998
-  GROUP BY t.contact_id, c.n_name, t.o_orderpriority, c.c_mktsegment, c.band)""", """need_sum AS (
-  SELECT n_name, SUM(need) AS need_count, c_mktsegment, band
-  FROM need_rows GROUP BY n_name, c_mktsegment, band)""", f"""sess AS (
-  SELECT SUM(l.l_quantity) AS sessions, c.n_name, c.c_mktsegment, c.band
-  FROM lineitem l
-  LEFT JOIN terms t ON t.at_id = l.l_orderkey
-  LEFT JOIN contacts c ON c.contact_id = t.contact_id
-  WHERE l.l_quantity > 0 AND t.yr = 1998 AND t.contact_id IN ({_NEEDY})
-  GROUP BY c.n_name, c.c_mktsegment, c.band)""", f"""notes AS (
-  SELECT COUNT(DISTINCT e.event_id) AS notes, c.n_name, c.c_mktsegment, c.band
-  FROM events e LEFT JOIN contacts c ON c.contact_id = e.user_id
-  WHERE e.event_type = 'click' AND e.user_id IN ({_NEEDY})
-  GROUP BY c.n_name, c.c_mktsegment, c.band)""", comb, f"""calc AS (
-  SELECT a.n_name, a.c_mktsegment, a.band, a.support_total, b.need_count,
-    CASE WHEN c.need IS NOT NULL THEN a.support_total / b.need_count ELSE NULL END AS avg_support
-  FROM comb a
-  LEFT JOIN need_sum b ON {on_keys('a', 'b')}
-  LEFT JOIN need_rows c ON a.n_name = c.n_name AND a.c_mktsegment = c.c_mktsegment
-                       AND c.band = b.band
-  WHERE c.need IS NOT NULL)""") + f"""
-SELECT {KEYS}, CAST(support_total AS BIGINT) AS support_total,
-  CAST(need_count AS BIGINT) AS need_count, ROUND(avg_support, 6) AS avg_support
-FROM calc GROUP BY {KEYS}, support_total, need_count, avg_support"""
-
-
-SQL["average_support_per_entity"] = _support_sql(False)
-SQL["average_support_per_entity_site"] = _support_sql(True)
+def _support_sql(total: str) -> str:
+    """Quantities and click days of customers in need, per customer in need
+    (counted once for each priority that puts them there)."""
+    return with_(CONTACTS, TERMS, f"""needy AS (
+  SELECT contact_id, {KEYS}, COUNT(DISTINCT o_orderpriority) AS needs
+  FROM terms JOIN contacts USING (contact_id)
+  WHERE yr = 1998 AND o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY ALL)""", f"""days AS (
+  SELECT {KEYS}, COUNT(DISTINCT (user_id, CAST(ts AS DATE))) AS notes
+  FROM events JOIN needy ON contact_id = user_id WHERE event_type = 'click' GROUP BY ALL)""", f"""bought AS (
+  SELECT {KEYS}, SUM(l_quantity) AS q
+  FROM lineitem JOIN terms ON at_id = l_orderkey JOIN needy USING (contact_id)
+  WHERE yr = 1998 AND l_quantity > 0 GROUP BY ALL)""", f"""totals AS (
+  SELECT b.*, ({total}) AS total FROM bought b)""") + f"""
+SELECT t.n_name, t.c_mktsegment, t.band, total::BIGINT AS support_total, SUM(needs)::BIGINT AS need_count,
+  ROUND(total / SUM(needs), 6) AS avg_support
+FROM totals t JOIN needy n ON {on_keys('t', 'n')}
+GROUP BY t.n_name, t.c_mktsegment, t.band, total"""
+
+
+SQL["average_support_per_entity"] = _support_sql(
+    f"b.q + COALESCE((SELECT SUM(notes) FROM days d WHERE {on_keys('d', 'b')}), 0)")
+# notes meet sessions by site alone: every notes cell of the site adds the sessions once
+SQL["average_support_per_entity_site"] = _support_sql(
+    "SELECT COUNT(*) * b.q + SUM(notes) FROM days d WHERE d.n_name = b.n_name")
 
 
 def assemble_sql(spine_sql: str, parts: list[str], null_safe: bool = False) -> str:

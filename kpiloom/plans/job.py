@@ -1,11 +1,15 @@
 """The batch job — build every team table, assemble the wide table.
 
-The reference runs one scheduled warehouse query per team table (nightly;
-one table monthly on the 5th) and then one query that left-joins all of
-them onto the spine.  Here the dependency is declared: spine and teams
-first, assembly last.  With a ``sink`` each table is written (overwrite) and
-read back, which cuts the lineage: a lost executor re-runs one table, not
-the whole graph, and the assembly reads small cohort-grain files.
+One scheduled run per night builds the spine and the team tables, then the
+wide table that left-joins them onto the spine.  Every table is first written
+to a run folder under the sink and read back, which cuts the lineage: a lost
+executor re-runs one table, not the whole graph, and the assembly reads small
+cohort-grain files.  Only when all of them exist are they published to their
+fixed places, so a failed run leaves the tables of the night before.
+
+A monthly table changes on its day of the month.  Its snapshots are kept by
+month: a run whose month has one uses it, and a run whose month has none (the
+day itself, or later if that run was missed) builds it.
 """
 
 from __future__ import annotations
@@ -15,10 +19,10 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from kpiloom.operators.cohort import CohortSpec, assemble
-from kpiloom.session import ensure_checkpoint_dir
 from kpiloom.sources.sinks import write_table
 
 
@@ -32,8 +36,10 @@ class Team:
     cadence: str = "nightly"        # or "monthly"
     monthly_day: int = 5
 
-    def due(self, as_of: dt.date) -> bool:
-        return self.cadence == "nightly" or as_of.day == self.monthly_day
+    def month(self, as_of: dt.date) -> str:
+        """The month whose snapshot is current on ``as_of``."""
+        day = as_of if as_of.day >= self.monthly_day else as_of.replace(day=1) - dt.timedelta(days=1)
+        return f"{day:%Y-%m}"
 
 
 @dataclass
@@ -42,68 +48,57 @@ class KpiJob:
     teams: Sequence[Team]
     cohort: CohortSpec
     # Shared stages (e.g. a per-entity profile of a fact table) built once,
-    # before the teams, and handed to every team builder.  With a sink they
-    # are written and read back; without one they are checkpointed into the
-    # shared ``spark.checkpoint.dir``.  Either way every team reads the same
-    # materialised rows: a lazy frame would be re-planned per team (each
-    # prunes different columns, so Spark could not reuse its exchanges).
+    # before the teams, and handed to every team builder as written tables.
     shared: Mapping[str, Callable[[], DataFrame]] = field(default_factory=dict)
     spine_name: str = "join_prep"
     wide_name: str = "team_kpi_table"
     out_partitions: int | None = None  # None: AQE sizes the (small) cohort-grain outputs
-    check_unique: bool = True        # with a sink: assert each written table is unique on the cell
-    # With a sink, team tables are independent Spark jobs: up to this many are
+    check_unique: bool = True        # assert each written table is unique on the cell
+    # Team tables are independent Spark jobs: up to this many are
     # submitted at once from driver threads (the threads only wait on Spark).
     parallel_teams: int = 4
 
-    def _materialise(self, df: DataFrame, sink: str | None, name: str,
-                     partitions: int | None = -1) -> DataFrame:
-        """Write (overwrite) and read back.  Team tables use
-        ``out_partitions`` (default: whatever AQE coalesced to); shared
-        stages pass ``partitions=None`` and always keep the plan's own
-        partitioning (fact-sized data must not funnel into a few tasks)."""
-        if sink is None:
-            return df
-        n = self.out_partitions if partitions == -1 else partitions
-        path = write_table(df, sink, name, n)
-        return df.sparkSession.read.parquet(path)
-
-    def _materialise_shared(self, df: DataFrame, sink: str | None, name: str) -> DataFrame:
-        if sink is not None:
-            return self._materialise(df, sink, name, partitions=None)
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-
-    def _existing(self, spark, sink: str, name: str) -> DataFrame | None:
+    def _written(self, df: DataFrame, folder: str, name: str, partitions: int | None) -> DataFrame:
+        """Write (overwrite) and read back."""
+        return df.sparkSession.read.parquet(write_table(df, folder, name, partitions))
+
+    def _snapshot(self, spark, folder: str, name: str) -> DataFrame | None:
         try:
-            return spark.read.parquet(f"{sink.rstrip('/')}/{name}")
-        except Exception:  # noqa: BLE001 - no snapshot written yet
+            return spark.read.parquet(f"{folder}/{name}")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
-    def run(self, as_of, sink: str | None = None) -> DataFrame:
-        """Build (or reuse) every table and return the wide table.
+    def run(self, as_of, sink: str) -> DataFrame:
+        """Build (or reuse) every table, publish all, return the wide table.
 
-        A monthly team that is not due reuses its last written snapshot; with
-        no sink, or no snapshot yet, it is built.
+        ``sink`` is a fixed folder on shared storage: the snapshots of monthly
+        tables are found there by the next run.
         """
         day = as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of))
-        shared = {n: self._materialise_shared(b(), sink, f"_shared_{n}") for n, b in self.shared.items()}
-        spine_df = self._materialise(self.spine(shared), sink, self.spine_name)
+        sink = sink.rstrip("/")
+        night = f"{sink}/_run"
+        # fact-sized stages keep the plan's own partitioning
+        shared = {n: self._written(b(), night, f"_shared_{n}", None) for n, b in self.shared.items()}
+        spine_df = self._written(self.spine(shared), night, self.spine_name, self.out_partitions)
 
         def one(team: Team) -> DataFrame:
-            if not team.due(day) and sink is not None:
-                old = self._existing(spine_df.sparkSession, sink, team.name)
-                if old is not None:
-                    return old
-            return self._materialise(team.build(shared), sink, team.name)
+            if team.cadence == "nightly":
+                return self._written(team.build(shared), night, team.name, self.out_partitions)
+            folder = f"{sink}/_monthly/{team.name}"
+            old = self._snapshot(spine_df.sparkSession, folder, team.month(day))
+            return old if old is not None else self._written(team.build(shared), folder, team.month(day), self.out_partitions)
 
-        if sink is not None and self.parallel_teams > 1 and len(self.teams) > 1:
+        if self.parallel_teams > 1 and len(self.teams) > 1:
             with ThreadPoolExecutor(max_workers=self.parallel_teams) as pool:
                 tables = list(pool.map(one, self.teams))       # order kept
         else:
             tables = [one(team) for team in self.teams]
         # written tables are small cohort-grain files: the uniqueness check is
         # cheap there and guards the assembly against a fan-out
-        wide = assemble(spine_df, tables, self.cohort,
-                        check_unique=self.check_unique and sink is not None)
-        return self._materialise(wide, sink, self.wide_name)
+        wide = self._written(assemble(spine_df, tables, self.cohort, check_unique=self.check_unique),
+                             night, self.wide_name, self.out_partitions)
+        for name, table in [(self.spine_name, spine_df), *zip([t.name for t in self.teams], tables, strict=True)]:
+            write_table(table, sink, name, self.out_partitions)
+        return self._written(wide, sink, self.wide_name, self.out_partitions)

@@ -568,13 +568,11 @@ def team_kpi_table(src: Source, p: StudentParams | None = None) -> DataFrame:
     return assemble(join_prep(src, p), [fn(src, p) for fn in TEAMS.values()], COHORT)
 
 
-def student_nightly_job(src: Source, p: StudentParams | None = None, sink: str | None = None) -> DataFrame:
+def student_nightly_job(src: Source, p: StudentParams | None, sink: str) -> DataFrame:
     """Nightly run: the session summary is materialised once (one pass over
     the largest table), every team table is written to ``sink``, then
-    assembled; the open-records snapshot is rebuilt only on the 5th."""
+    assembled; the open-records snapshot changes on the 5th."""
     p = p or StudentParams()
-    if hasattr(src, "refresh"):
-        src.refresh()                   # a nightly run must see files that landed since the last
     teams = [Team(name, (lambda shared, fn=fn: fn(Derived(src, shared), p)),
                   cadence="monthly" if name == "om_incomplete_attendance" else "nightly")
              for name, fn in TEAMS.items()]

@@ -7,19 +7,10 @@ read (``ReadSchema``) and filters reach the scan (``PushedFilters``).
 
 from __future__ import annotations
 
-import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-# One relation per (session, path): listing the files and reading a footer
-# happen once per session, like a table registered in a catalog.  Inputs are
-# read-only during a run; call ``ParquetCatalog.refresh()`` after new files
-# land (job outputs are always read back fresh, not through this cache).
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
-_LOCK = threading.Lock()
-
-
 def read_table(spark: SparkSession, root: str, name: str, suffix: str = ".parquet") -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}{suffix}")
 
@@ -38,24 +29,11 @@ class ParquetCatalog:
     _read: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        """One read per table and session: listing files and reading the
-        footer happen once, and every use shares the same relation."""
+        """One relation per catalog: a new catalog lists the files anew."""
         if name in self.overrides:
             return self.overrides[name]
         if name not in self._read:
-            key = (id(self.spark), f"{self.root.rstrip('/')}/{name}{self.suffix}")
-            with _LOCK:
-                if key not in _RELATIONS:
-                    _RELATIONS[key] = read_table(self.spark, self.root, name, self.suffix)
-                self._read[name] = _RELATIONS[key]
+            self._read[name] = read_table(self.spark, self.root, name, self.suffix)
         return self._read[name]
 
-    def refresh(self) -> None:
-        """Forget this session's relations under ``root`` (new files landed)."""
-        prefix = self.root.rstrip("/") + "/"
-        with _LOCK:
-            for key in [k for k in _RELATIONS if k[0] == id(self.spark) and k[1].startswith(prefix)]:
-                del _RELATIONS[key]
-        self._read.clear()
-
     __call__ = table

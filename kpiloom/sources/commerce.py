@@ -73,11 +73,6 @@ class Commerce:
         self.cat = ParquetCatalog(spark, root)
         self._memo: dict = {}
 
-    def refresh(self) -> None:
-        """Drop cached relations (new files landed): catalog and derived."""
-        self.cat.refresh()
-        self._memo.clear()
-
     def memo(self, key, build):
         """Build a derived relation once per instance and reuse the object."""
         if key not in self._memo:

@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,7 +60,7 @@ def test_job_writes_tables_and_reuses_monthly(spark):
     wide = p.run("2021-03-05", sink=sink)
     first = sorted(map(tuple, wide.collect()))         # run 2 overwrites these files
     assert len(first) == 2 and calls["monthly"] == 1
-    for name in ("join_prep", "t1", "om", "team_kpi_table", "_shared_base"):
+    for name in ("join_prep", "t1", "om", "team_kpi_table", "_run/_shared_base", "_monthly/om/2021-03"):
         assert os.path.isdir(os.path.join(sink, name))
     wide2 = p.run("2021-03-06", sink=sink)                 # not the 5th: snapshot reused
     assert calls["monthly"] == 1
@@ -77,8 +78,9 @@ def test_checkpoint_dir_is_shared_setting(spark):
 
 def test_cluster_conf_sizes_partitions():
     from kpiloom.session import cluster_conf
-    conf = cluster_conf(100 << 40, executor_cores=8, executors=1000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    conf = cluster_conf(4 << 40, executor_cores=1, executors=1000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == (4 << 40) // (256 << 20)
+    assert int(cluster_conf(100 << 40, 8, 1000)["spark.sql.shuffle.partitions"]) <= 24_000
     small = cluster_conf(1 << 30, executor_cores=8, executors=10)
     assert int(small["spark.sql.shuffle.partitions"]) == 240     # three waves of 80 cores
 
@@ -90,7 +92,7 @@ def test_shared_stage_keeps_its_partitioning(spark):
                teams=[], cohort=C, shared={"facts": lambda: big})
     sink = tempfile.mkdtemp(prefix="kpiloom-sink-", dir="/tmp")
     p.run("2021-03-06", sink=sink)
-    files = [f for f in os.listdir(os.path.join(sink, "_shared_facts")) if f.endswith(".parquet")]
+    files = [f for f in os.listdir(os.path.join(sink, "_run", "_shared_facts")) if f.endswith(".parquet")]
     assert len(files) == 4                       # not coalesced to one file
 
 
@@ -101,17 +103,57 @@ def test_parallel_team_writes_equal_sequential(spark):
     t = Commerce(spark, SF001)
     a = tempfile.mkdtemp(prefix="kpiloom-par-", dir="/tmp")
     par = twin_nightly_job(t, sink=a)
-    lazy = twin_nightly_job(Commerce(spark, SF001))
+    from unittest.mock import patch
+    with patch("kpiloom.plans.job.ThreadPoolExecutor", side_effect=lambda max_workers: ThreadPoolExecutor(1)):
+        lazy = twin_nightly_job(Commerce(spark, SF001), sink=tempfile.mkdtemp(prefix="kpiloom-seq-", dir="/tmp"))
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(map(key, par.select(*lazy.columns).collect())) == sorted(map(key, lazy.collect()))
 
 
-def test_catalog_reads_each_table_once_per_session_and_refreshes(spark):
+def test_a_new_catalog_sees_files_that_landed(spark):
     from kpiloom.sources.catalog import ParquetCatalog
     root = tempfile.mkdtemp(prefix="kpiloom-cat-", dir="/tmp")
     spark.range(3).write.parquet(f"{root}/t")
     a = ParquetCatalog(spark, root, suffix="")
-    assert a.table("t") is ParquetCatalog(spark, root, suffix="").table("t")   # shared relation
-    spark.range(5).write.mode("overwrite").parquet(f"{root}/t")
-    a.refresh()
-    assert ParquetCatalog(spark, root, suffix="").table("t").count() == 5
+    assert a.table("t") is a.table("t") and a.table("t").count() == 3
+    spark.range(5).write.mode("append").parquet(f"{root}/t")
+    assert ParquetCatalog(spark, root, suffix="").table("t").count() == 8
+
+
+def test_missed_monthly_day_is_caught_up_and_errors_are_not_hidden(spark):
+    base = spark.createDataFrame([("X", "A", "M", 1)], "site string, eth string, gender string, v int")
+    built = []
+
+    def monthly(sh):
+        built.append(1)
+        return base.groupBy(*C.dims).agg(F.sum("v").cast("bigint").alias("om_records"))
+
+    sink = tempfile.mkdtemp(prefix="kpiloom-sink-", dir="/tmp")
+
+    def job():                                           # a new job object, as in another application
+        return KpiJob(spine=lambda sh: base.select(*C.dims).distinct(), cohort=C,
+                      teams=[Team("om", monthly, cadence="monthly")])
+
+    job().run("2021-03-20", sink=sink)                   # first run: March's snapshot
+    job().run("2021-04-04", sink=sink)                   # still March's
+    assert len(built) == 1
+    job().run("2021-04-09", sink=sink)                   # the run on the 5th was missed
+    assert len(built) == 2
+    broken = os.path.join(sink, "_monthly", "om", "2021-05")
+    os.makedirs(broken)
+    open(os.path.join(broken, "part-0.parquet"), "w").write("not parquet")
+    with pytest.raises(Exception):                       # not replaced by today's numbers
+        job().run("2021-05-06", sink=sink).collect()
+
+
+def test_failed_run_leaves_the_published_tables(spark):
+    base = spark.createDataFrame([("X", "A", "M", 1)], "site string, eth string, gender string, v int")
+    good = Team("t1", lambda sh: base.groupBy(*C.dims).agg(F.count("v").alias("n")))
+    bad = Team("t2", lambda sh: base.groupBy(*C.dims).agg(F.sum(F.raise_error(F.lit("no"))).alias("m")))
+    spine = lambda sh: base.select(*C.dims).distinct()
+    sink = tempfile.mkdtemp(prefix="kpiloom-sink-", dir="/tmp")
+    KpiJob(spine=spine, teams=[good], cohort=C).run("2021-03-05", sink=sink)
+    before = sorted(os.listdir(os.path.join(sink, "t1")))
+    with pytest.raises(Exception):
+        KpiJob(spine=spine, teams=[good, bad], cohort=C).run("2021-03-06", sink=sink)
+    assert sorted(os.listdir(os.path.join(sink, "t1"))) == before
