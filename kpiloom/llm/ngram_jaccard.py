@@ -223,15 +223,58 @@ def _often(tokens: DataFrame, more_than: int) -> DataFrame:
     return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > more_than)
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, config: JaccardConfig, bits: int) -> DataFrame:
-    """Those of the distinct pairs ``a, b`` that reach the threshold."""
-    wanted = Bitmap(pairs.select("a").union(pairs.select("b")).distinct(), bits)
-    sets = stored(_whole(texts, wanted, config).distinct(), "sets")
+def may_link(n_x: int, head_x: np.ndarray, n_y: int, head_y: np.ndarray, config: JaccardConfig) -> bool:
+    """Whether two sets can reach the threshold, told from their first tokens
+    by hash (the upper 32 bits, sorted): below the smaller of the two last
+    values all tokens of both are known, so the overlap is at most the equal
+    ones there and what either may have after it."""
+    end = min(head_x[-1], head_y[-1])
+    x, y = head_x[:np.searchsorted(head_x, end)], head_y[:np.searchsorted(head_y, end)]
+    same = int(np.isin(x, y).sum())
+    most = same + min(n_x - len(x), n_y - len(y))
+    return 100 * most >= config.percent * (n_x + n_y - most)
+
+
+def _possible(pairs: DataFrame, classes: DataFrame, wanted: Bitmap, config: JaccardConfig) -> DataFrame:
+    """Those of the distinct pairs ``a, b`` whose first tokens allow a link."""
+    sent = pairs.sparkSession.sparkContext.broadcast(wanted)
+
+    def heads(batches):
+        for b in _slices(batches):
+            ids, sizes = _ids(b, "doc_id"), _ids(b, "n")
+            at = np.flatnonzero(sent.value.has(ids) & (sizes > 0))
+            out = [(b.column("first")[i].values.to_numpy(zero_copy_only=False) >> 32).astype(np.int32) for i in at]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at], pa.int64()), pa.array(sizes[at], pa.int64()),
+                                              pa.array(out, pa.list_(pa.int32()))], ["node", "n", "head"])
+
+    def run(batches):
+        for b in _slices(batches):
+            keep = [may_link(n, one.values.to_numpy(zero_copy_only=False), m, two.values.to_numpy(zero_copy_only=False), config)
+                    for n, one, m, two in zip(b.column("n_a").to_pylist(), b.column("h_a"), b.column("n_b").to_pylist(),
+                                              b.column("h_b"), strict=True)]
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    known = (classes.where("doc_id is not null").select("doc_id", "n", "first")
+             .mapInArrow(heads, "node long, n long, head array<int>"))
+    left = known.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("head").alias("h_a"))
+    right = known.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("head").alias("h_b"))
+    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long").distinct()
+
+
+def _linked(pairs: DataFrame, classes: DataFrame, texts: DataFrame, config: JaccardConfig, bits: int) -> DataFrame:
+    """Those of the distinct pairs ``a, b`` that reach the threshold: what the
+    first tokens leave is verified on whole sets."""
+    pairs = stored(_possible(pairs, classes, Bitmap(_ends(pairs), bits, 3), config), "possible")
+    sets = stored(_whole(texts, Bitmap(_ends(pairs), bits, 3), config).distinct(), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("keys").alias("t_a"))
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("keys").alias("t_b"))
     common = F.size(F.array_intersect("t_a", "t_b"))
     return (pairs.join(left, "a").join(right, "b")
-            .where(100 * common >= config.percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b"))
+            .where(100 * common >= config.percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b").distinct())
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select("a").union(pairs.select("b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -374,7 +417,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        found = stored(_linked(pairs, texts, config, bits), "links")
+        found = stored(_linked(pairs, classes, texts, config, bits), "links")
         links = found if links is None else links.union(found)
         tested = pairs if tested is None else tested.union(pairs)
 
