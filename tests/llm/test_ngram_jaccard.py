@@ -51,7 +51,7 @@ def corpus(seed, families=6, size=14, passage=40):
     return rows
 
 
-@pytest.mark.parametrize("seed, frequent", [(1, 24), (2, 3), (3, 0)])
+@pytest.mark.parametrize("seed, frequent", [(1, 24), (2, 2)])
 def test_components_match_brute_force(table, seed, frequent):
     rows = corpus(seed)
     got = near_duplicates(table(rows).repartition(3), config=JaccardConfig(frequent=frequent)).collect()
