@@ -5,10 +5,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from kpiloom.plans.commerce import QUERIES
-from kpiloom.plans.commerce_sql import SQL
+from kpiloom.plans.commerce import QUERIES as COMMERCE
+from kpiloom.plans.commerce_sql import SQL as COMMERCE_SQL
+from kpiloom.plans.student import twin
 from tests.conftest import SF01
 
+QUERIES = {**COMMERCE, **twin.QUERIES}
+SQL = {**COMMERCE_SQL, **twin.SQL}
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
