@@ -70,7 +70,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def _word_hashes() -> Recent:
-    return Recent(xxhash.xxh3_64_intdigest, 300_000)
+    return Recent(xxhash.xxh3_64_intdigest, 120_000)
 
 
 def tokens_of(text: str | None, words: int = 5) -> np.ndarray:
@@ -277,10 +277,14 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select("a").union(pairs.select("b")).distinct()
 
 
+FEW_EDGES = 100_000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` (smallest node reachable) for the nodes of an edge
     list ``a, b``: alternating large and small stars until nothing changes;
-    logarithmic in the longest chain, and no neighbourhood is gathered."""
+    logarithmic in the longest chain, and no neighbourhood is gathered.  A list
+    of at most ``FEW_EDGES`` is read as one partition, which saves shuffles."""
     def mark(e):
         r = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40))).alias("h")).first()
         return r["n"], r["h"]
@@ -288,7 +292,10 @@ def components(edges: DataFrame) -> DataFrame:
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = stored(e, "edges")
     before = mark(e)
+    small_list = before[0] <= FEW_EDGES
     while before[0]:
+        if small_list:
+            e = e.coalesce(1)
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -320,11 +327,20 @@ def _pairs(near: DataFrame, config: JaccardConfig) -> DataFrame:
     return near.where(fit).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _with_centre(groups: DataFrame, turn: int, config: JaccardConfig) -> DataFrame:
-    """Each set with the centre of each of its groups: at first the set that
-    shares most, then others by chance."""
-    order = F.struct("rank", "node") if turn == 0 else F.struct(F.xxhash64("node", F.lit(turn)), "node")
-    centre = groups.groupBy("key").agg(F.max(F.struct(
+#: Sets of a group that all others are held against in a turn, after the first.
+CENTRES = 8
+
+
+def _with_centres(groups: DataFrame, turn: int, config: JaccardConfig) -> DataFrame:
+    """Each set with the centres of each of its groups: at first the one set
+    that shares most, then ``CENTRES`` others by chance, the same in all groups
+    that have them."""
+    if turn == 0:
+        order, slot = F.struct("rank", "node"), F.lit(0)
+    else:
+        chance = F.xxhash64("node", F.lit(turn))
+        order, slot = F.struct(chance.alias("rank"), F.col("node")), F.pmod(chance, F.lit(CENTRES)).cast("int")
+    centre = groups.groupBy("key", slot.alias("slot")).agg(F.max(F.struct(
         order.alias("order"), F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("c"))).alias("centre"))
     near = groups.join(centre.select("key", "centre.y", "centre.n_y", "centre.c"), "key").where("component <> c")
     return _pairs(near.select(F.col("node").alias("x"), F.col("n").alias("n_x"), "y", "n_y"), config)
@@ -338,7 +354,7 @@ def _within(groups: DataFrame, config: JaccardConfig) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: JaccardConfig | None = None,
-                    rounds: int = 2) -> DataFrame:
+                    rounds: int = 3) -> DataFrame:
     """Per row: ``doc_id, n_shingles, component_id`` (the smallest id reachable
     by links, its own included).
 
@@ -413,7 +429,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         left = stored(_unsettled(groups, links), "unsettled")
         if left.isEmpty():
             break
-        pairs = _with_centre(left, turn, config) if turn < rounds else _within(left, config)
+        pairs = _with_centres(left, turn, config) if turn < rounds else _within(left, config)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
