@@ -19,9 +19,9 @@ Which tokens count as frequent changes only the amount of work: the result is
 exact for any choice, and a fixed-size bitmap of token hashes says which do.
 
 Candidates are verified on whole sets.  In each filed group all sets are first
-held against one central set (a star, not all pairs); sets of one component
+held against a few central sets (stars, not all pairs); sets of one component
 need no further comparison, and only what is left in different components of
-a group is compared pair by pair.
+a group is compared with each other, in large groups block by block.
 """
 
 from __future__ import annotations
@@ -353,8 +353,53 @@ def _within(groups: DataFrame, config: JaccardConfig) -> DataFrame:
     return _pairs(one.join(two, "key").where("x < y and c_x <> c_y"), config)
 
 
+#: Unsettled groups of up to so many sets are compared pair by pair; in larger
+#: ones, blocks of about so many sets are compared as wholes.
+BLOCK = 64
+
+
+def _block_links(percent: int):
+    """Links between two blocks of sets (or within one), as ``a, b``."""
+    def run(pdf):
+        import pandas as pd
+
+        low, high = pdf["low"].iloc[0], pdf["high"].iloc[0]
+        left, right = pdf[pdf["slot"] == low], pdf[pdf["slot"] == high]
+        nodes, sizes, parts = right["node"].to_numpy(), right["n"].to_numpy(), right["component"].to_numpy()
+        tokens = np.concatenate(list(right["keys"]) or [np.zeros(0, np.int64)])
+        owner = np.repeat(np.arange(len(right)), sizes)
+        out = []
+        for x, n, part, own in zip(left["node"], left["n"], left["component"], left["keys"], strict=True):
+            common = np.bincount(owner[np.isin(tokens, own)], minlength=len(right))
+            hit = (100 * common >= percent * (n + sizes - common)) & (parts != part)
+            out += [(min(x, y), max(x, y)) for y in nodes[hit]]
+        return pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _in_blocks(groups: DataFrame, texts: DataFrame, config: JaccardConfig, bits: int) -> DataFrame:
+    """Links between sets of different components in large groups.
+
+    Groups that overlap are one cluster (a family that shares a hundred keys
+    is compared once, not once a key).  A cluster is dealt into slots of about
+    ``BLOCK`` sets, each two slots meet in one bounded group, and only links
+    come out."""
+    first = groups.groupBy("key").agg(F.min("node").alias("first"))
+    clusters = components(groups.join(first, "key").select(F.col("node").alias("a"), F.col("first").alias("b")))
+    members = (groups.select("node", "component").distinct()
+               .join(clusters.select("node", F.col("component").alias("cluster")), "node"))
+    slots = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("slots"))
+    placed = members.join(slots, "cluster").withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")).cast("int"))
+    sets = _whole(texts, Bitmap(members.select("node"), bits, 3), config).distinct()
+    rows = placed.join(sets, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+    rows = rows.select("cluster", F.least("slot", "other").alias("low"), F.greatest("slot", "other").alias("high"),
+                       "slot", "node", "n", "component", "keys")
+    return rows.groupBy("cluster", "low", "high").applyInPandas(_block_links(config.percent), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: JaccardConfig | None = None,
-                    rounds: int = 3) -> DataFrame:
+                    rounds: int = 2) -> DataFrame:
     """Per row: ``doc_id, n_shingles, component_id`` (the smallest id reachable
     by links, its own included).
 
@@ -392,7 +437,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return ahead[~frequent.has(ahead)]
 
     rising = _over(classes, chosen, Bitmap(often, bits, 3), config, moving_up).select(F.explode("keys").alias("token"))
-    frequent = Bitmap(often.union(_often(rising, config.frequent).select("token")), bits, 3)
+    often = stored(often.union(_often(rising, config.frequent).select("token")).distinct(), "often")
+    frequent = Bitmap(often, bits, 3)
 
     def rare(n, tokens, frequent):
         size = config.lacking(n) + 1
@@ -407,6 +453,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         size, found = config.lacking(n) + 1, rare(n, tokens, frequent)
         return tokens[:0] if found is None else found[found > tokens[size - 1]]
 
+    # sets with few rare tokens at first reach beyond what was counted so far
+    few = _over(classes, chosen, frequent, config, undecided).select("node")
+    beyond = _whole(texts, Bitmap(few, bits, 3), config).select(F.explode("keys").alias("token"))
+    frequent = Bitmap(often.union(_often(beyond, config.frequent).select("token")), bits, 3)
     few = _over(classes, chosen, frequent, config, undecided).select("node")
     few = stored(_whole(texts, Bitmap(few, bits, 3), config, frequent).distinct(), "few")
     more = _over(classes, chosen, frequent, config, later).select(F.explode("keys").alias("key"))
@@ -429,7 +479,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         left = stored(_unsettled(groups, links), "unsettled")
         if left.isEmpty():
             break
-        pairs = _with_centres(left, turn, config) if turn < rounds else _within(left, config)
+        if turn < rounds:
+            pairs = _with_centres(left, turn, config)
+        else:
+            sizes = left.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+            large = stored(left.join(sizes.where(F.col("size") > BLOCK).select("key"), "key", "left_semi"), "large")
+            pairs = _within(left.join(sizes.where(F.col("size") <= BLOCK).select("key"), "key", "left_semi"), config)
+            if not large.isEmpty():
+                found = stored(_in_blocks(large, texts, config, bits), "links")
+                links = found if links is None else links.union(found)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
