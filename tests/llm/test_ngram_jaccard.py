@@ -61,6 +61,13 @@ def test_components_match_brute_force(table, seed, frequent):
     assert all(r.n_shingles == len(shingles(texts[r.doc_id])) for r in got)
 
 
+def test_large_groups_are_compared_in_blocks(table, monkeypatch):
+    monkeypatch.setattr("kpiloom.llm.ngram_jaccard.BLOCK", 4)
+    rows = corpus(6)
+    got = near_duplicates(table(rows), config=JaccardConfig(frequent=2), rounds=0).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute(rows)
+
+
 def test_similar_sets_share_a_key_for_any_frequent_class():
     rng = np.random.default_rng(5)
     for _ in range(400):
