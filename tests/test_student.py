@@ -213,7 +213,7 @@ def test_team_kpi_table_and_nightly_job(spark, tables):
     written = student_nightly_job(src, StudentParams(), sink=sink)
     assert sorted(map(str, written.collect())) == sorted(map(str, wide.select(*written.columns).collect()))
     import os
-    assert os.path.isdir(os.path.join(sink, "_shared_class_summary"))   # one pass over the sessions
+    assert os.path.isdir(os.path.join(sink, "_run", "_shared_class_summary"))   # one pass over the sessions
 
 
 def test_dashboard_rollup_sums_before_dividing(tables):
