@@ -27,7 +27,7 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
 
 
 def on_executors(spark: SparkSession) -> None:
-    """Send this package's source files to the executors, once per context:
+    """Send this package's source and text files to the executors, once per context:
     their Python workers import it by name."""
     sc = spark.sparkContext
     if getattr(sc, "_kpiloom_sent", False):
@@ -37,7 +37,7 @@ def on_executors(spark: SparkSession) -> None:
     with zipfile.ZipFile(path, "w") as z:
         for folder, _, names in os.walk(package):
             for name in names:
-                if name.endswith(".py"):
+                if name.endswith((".py", ".txt")):
                     full = os.path.join(folder, name)
                     z.write(full, os.path.join("kpiloom", os.path.relpath(full, package)))
     sc.addPyFile(path)

@@ -10,14 +10,20 @@ Where to look: a place that covers a share ``c`` of a template lacks at most a
 share ``1 - c`` of its words, so it has at least one of any ``lacking + 1`` of
 them; the ones rarest in the text give the places, each of which is aligned
 within a window of the template's length on both sides.
+
+Templates are whole license texts and short notices.  A notice counts only if
+the words that identify its license (name, version) are aligned and no word
+that makes it another license (SA, Lesser, another version) stands between.
 """
 
 from __future__ import annotations
 
 import bisect
+import pkgutil
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,30 +32,101 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
 
 
+#: Words that make another license of the one named beside them, by a word of
+#: its template; version numbers do so in short notices only.
+FOREIGN = {"cc": frozenset("nc nd sa".split()), "creative": frozenset("noncommercial noderivatives noderivs sharealike".split()),
+           "gnu": frozenset("lesser library affero".split())}
+NUMBER = re.compile(r"v?\d+(?:\.\d+)*")
+#: Templates of fewer words are notices: they name a license, whole texts are one.
+SHORT = 30
+
+
 @dataclass(frozen=True)
 class Template:
     license: str
     words: tuple[str, ...]
+    #: Words that identify the license: a notice without one of them is none.
+    must: frozenset[str] = frozenset()
 
     @classmethod
-    def of(cls, name: str, text: str) -> Template:
-        return cls(name, tuple(WORD.findall(text.lower())))
-
-
-#: Wordings of public licenses.
+    def of(cls, name: str, text: str, must: str = "") -> Template:
+        return cls(name, tuple(WORD.findall(text.lower())), frozenset(WORD.findall(must.lower())))
+
+    @cached_property
+    def counts(self) -> list[tuple[str, int]]:
+        """How often each word occurs, long (mostly rare) words first."""
+        return sorted(Counter(self.words).items(), key=lambda c: (-len(c[0]), c[0]))
+
+    @cached_property
+    def foreign(self) -> frozenset[str]:
+        return frozenset().union(*(f for w, f in FOREIGN.items() if w in self.words))
+
+    def lacks(self, places: dict[str, list[int]], at_most: int) -> bool:
+        """Whether a text with these words lacks more than ``at_most`` of the
+        template's, or a word that identifies it."""
+        if not all(w in places for w in self.must):
+            return True
+        missing = 0
+        for w, n in self.counts:
+            missing += max(0, n - len(places.get(w, ())))
+            if missing > at_most:
+                return True
+        return False
+
+    def named(self, words: list[str], pairs: list[tuple[int, int]]) -> bool:
+        """Whether what is aligned names this license and no other: all words
+        that identify it are aligned, and no word between makes it another's."""
+        aligned = {j for _, j in pairs}
+        if any(w in self.must and j not in aligned for j, w in enumerate(self.words)):
+            return False
+        own = {i for i, _ in pairs}
+        between = (words[i] for i in range(pairs[0][0], pairs[-1][0] + 1) if i not in own)
+        return not any(w in self.foreign or (len(self.words) < SHORT and NUMBER.fullmatch(w)) for w in between)
+
+
+def whole(name: str) -> str:
+    """A whole license text of ``license_texts`` (also from a zipped package)."""
+    return pkgutil.get_data("kpiloom.llm", f"license_texts/{name}.txt").decode()
+
+
+#: Whole texts: template name and file.
+TEXTS = {
+    "Apache-2.0-text": "Apache-2.0", "Artistic-1.0-text": "Artistic", "BSD-2-Clause-text": "BSD-2-Clause",
+    "BSD-3-Clause-text": "BSD-3-Clause", "BSL-1.0-text": "BSL-1.0", "CC-BY-4.0-text": "CC-BY-4.0",
+    "CC-BY-SA-4.0-text": "CC-BY-SA-4.0", "CC0-1.0-text": "CC0-1.0", "GFDL-1.2-text": "GFDL-1.2", "GFDL-1.3-text": "GFDL-1.3",
+    "GPL-1.0-text": "GPL-1.0", "GPL-2.0-text": "GPL-2.0", "GPL-3.0-text": "GPL-3.0", "ISC-text": "ISC",
+    "LGPL-2.0-text": "LGPL-2.0", "LGPL-2.1-text": "LGPL-2.1", "LGPL-3.0-text": "LGPL-3.0", "MIT-text": "MIT",
+    "MPL-1.1-text": "MPL-1.1", "MPL-2.0-text": "MPL-2.0", "NCSA-text": "NCSA", "OFL-1.1-text": "OFL-1.1",
+    "Unicode-3.0-text": "Unicode-3.0", "Unlicense-text": "Unlicense",
+}
+GNU = "GNU General Public License"
+HEADER = ("This program is free software: you can redistribute it and/or modify it under the terms of the {} as published by "
+          "the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+
+#: Wordings of public licenses, notices first.
 TEMPLATES = (
-    Template.of("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    Template.of("MIT", "Released under the MIT License."),
-    Template.of("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    Template.of("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    Template.of("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    Template.of("MIT-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-                "associated documentation files, to deal in the Software without restriction, including without limitation "
-                "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    Template.of("BSD-text", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                "provided that the following conditions are met"),
-    Template.of("GPL-text", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-                "General Public License as published by the Free Software Foundation"),
+    Template.of("Apache-2.0", "Licensed under the Apache License, Version 2.0.", "Apache 2.0"),
+    Template.of("Apache-1.1", "Licensed under the Apache License, Version 1.1.", "Apache 1.1"),
+    Template.of("MIT", "Released under the MIT License.", "MIT"),
+    Template.of("BSD", "Released under the BSD License.", "BSD"),
+    Template.of("ISC", "Released under the ISC License.", "ISC"),
+    *(Template.of(f"GPL-{v}.0", f"This work is licensed under the {GNU}, version {v}.", f"{GNU} {v}") for v in "123"),
+    *(Template.of(f"LGPL-{v}", f"This work is licensed under the GNU Lesser General Public License, version {w}.",
+                  f"GNU Lesser General Public License {w}") for v, w in (("2.1", "2.1"), ("3.0", "3"))),
+    Template.of("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3.",
+                "GNU Affero General Public License 3"),
+    Template.of("MPL-1.1", "Licensed under the Mozilla Public License, Version 1.1.", "Mozilla Public 1.1"),
+    Template.of("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0.", "Mozilla Public 2.0"),
+    *(Template.of(f"CC-{k}-{v}", f"Licensed under CC {k} {v}.", f"CC {k} {v}")
+      for v in ("4.0", "3.0", "2.5", "2.0", "1.0") for k in ("BY-NC", "BY", "BY-SA", "BY-ND", "BY-NC-SA", "BY-NC-ND")),
+    Template.of("CC0-1.0", "Licensed under CC0 1.0.", "CC0 1.0"),
+    *(Template.of(f"GPL-{v}.0-or-later", HEADER.format(GNU, v), f"{GNU} {v}") for v in "23"),
+    *(Template.of(f"LGPL-{v}-or-later", HEADER.format("GNU Lesser General Public License", w), f"GNU Lesser {w}")
+      for v, w in (("2.1", "2.1"), ("3.0", "3"))),
+    Template.of("AGPL-3.0-or-later", HEADER.format("GNU Affero General Public License", 3), "GNU Affero 3"),
+    # without a version: any
+    Template.of("GPL", HEADER.format(GNU, "").split(", either")[0], GNU),
+    *(Template.of(name, whole(file)) for name, file in TEXTS.items()),
 )
 
 
@@ -106,28 +183,36 @@ def scan(text: str | None, templates: tuple[Template, ...], coverage: float) ->
     """(license, first word, words spanned, coverage) of the notices found:
     the best-covered, then the longest first, none overlapping a better one."""
     words = WORD.findall(text.lower()) if text else []
-    vocabulary = {w for t in templates for w in t.words}
     places: dict[str, list[int]] = {}
     for i, w in enumerate(words):
-        if w in vocabulary:
-            places.setdefault(w, []).append(i)
+        places.setdefault(w, []).append(i)
     found = []
     for t in templates:
         n = len(t.words)
         lacking = n - max(1, -int(-(coverage * n) // 1))
+        if len(words) < n - lacking or t.lacks(places, lacking):
+            continue
         order = sorted(range(n), key=lambda j: (len(places.get(t.words[j], ())), j))[:lacking + 1]
         tried: set[int] = set()
+
+        def look(start: int, end: int) -> float:
+            pairs = align(words[max(0, start):end], t.words)
+            if len(pairs) < coverage * n:
+                return 0.0
+            pairs = [(i + max(0, start), j) for i, j in pairs]
+            if not t.named(words, pairs):
+                return 0.0
+            first, last = pairs[0][0], pairs[-1][0]
+            found.append((t.license, first, last - first + 1, len(pairs) / n, len(pairs)))
+            return len(pairs) / n
+
         for j in order:
             for p in places.get(t.words[j], ()):
                 start = max(0, p - j - n // 2)
                 if start // max(1, n // 4) in tried:
                     continue
                 tried.add(start // max(1, n // 4))
-                window = words[start:p - j + n + n // 2 + 1]
-                pairs = align(window, t.words)
-                if len(pairs) >= coverage * n:
-                    first, last = pairs[0][0], pairs[-1][0]
-                    found.append((t.license, start + first, last - first + 1, len(pairs) / n, len(pairs)))
+                look(start, p - j + n + n // 2 + 1)
     out: list[tuple[str, int, int, float]] = []
     for name, first, span, share, _ in sorted(found, key=lambda f: (-f[4] * f[3], f[2], f[1], f[0])):
         if all(first + span <= o[1] or o[1] + o[2] <= first for o in out):

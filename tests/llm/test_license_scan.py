@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from kpiloom.llm.license_scan import TEMPLATES, Template, align, license_scan, longest_increasing, scan
+from kpiloom.llm.license_scan import TEMPLATES, TEXTS, Template, align, license_scan, longest_increasing, scan, whole
 from tests.llm.conftest import EDGE
 
 
@@ -66,3 +66,44 @@ def test_query_on_edges(spark, table):
     odd = spark.createDataFrame([(1, "x", "mine", 3)], "doc_id long, text string, license string, coverage int")
     assert license_scan(odd).first().license is None
     assert scan("one two", (Template.of("own", "one two"),), 0.8)[0][0] == "own"
+
+
+@pytest.mark.parametrize(("text", "name"), [
+    ("Released under the BSD License.", "BSD"), ("Released under the XYZ License.", None),
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    ("This work is licensed under the GNU Library General Public License, version 3.", None),
+    ("Licensed under the Apache License, Version 1.1.", "Apache-1.1"), ("Licensed under the Apache License, Version 3.0.", None),
+    ("Licensed under the Apache License, Version 1.0. See section 2.0.", None),
+    ("Licensed under the Apache License 2.0.", "Apache-2.0"),
+    ("Licensed under CC BY 3.0.", "CC-BY-3.0"), ("Licensed under CC BY 9.0.", None),
+    ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"), ("Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-ND-4.0")])
+def test_near_miss_notices_are_not_another_license(text, name):
+    assert [f[0] for f in scan(text, TEMPLATES, 0.8)] == ([name] if name else [])
+
+
+@pytest.mark.parametrize(("name", "file"), sorted(TEXTS.items()))
+def test_whole_texts_are_found_and_openings_are_not(name, file):
+    text = whole(file)
+    assert [(f[0], f[3]) for f in scan(f"before it {text} and after", TEMPLATES, 0.8)] == [(name, 1.0)]
+    words = text.split()
+    assert scan(" ".join(words[:len(words) // 5]), TEMPLATES, 0.8) == []
+
+
+def test_a_related_text_is_not_taken_for_the_license():
+    other = whole("CC-BY-4.0").replace("Attribution 4.0", "Attribution-NonCommercial 4.0")
+    assert scan(other, TEMPLATES, 0.8) == []
+
+
+def test_texts_travel_in_the_package():
+    import zipfile
+
+    from kpiloom.llm import common
+
+    sent = []
+
+    class Context:
+        addPyFile = staticmethod(sent.append)
+
+    common.on_executors(type("Session", (), {"sparkContext": Context()})())
+    assert "kpiloom/llm/license_texts/MIT.txt" in zipfile.ZipFile(sent[0]).namelist()
