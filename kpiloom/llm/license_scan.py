@@ -9,7 +9,8 @@ share of the template's words that are aligned.
 Where to look: a place that covers a share ``c`` of a template lacks at most a
 share ``1 - c`` of its words, so it has at least one of any ``lacking + 1`` of
 them; the ones rarest in the text give the places, each of which is aligned
-within a window of the template's length on both sides.
+within a window of the template's length on both sides and, for copies close to
+one another, within the template's own span.
 
 Templates are whole license texts and short notices.  A notice counts only if
 the words that identify its license (name, version) are aligned and no word
@@ -80,8 +81,12 @@ class Template:
         if any(w in self.must and j not in aligned for j, w in enumerate(self.words)):
             return False
         own = {i for i, _ in pairs}
-        between = (words[i] for i in range(pairs[0][0], pairs[-1][0] + 1) if i not in own)
-        return not any(w in self.foreign or (len(self.words) < SHORT and NUMBER.fullmatch(w)) for w in between)
+        (first, head), (last, tail) = pairs[0], pairs[-1]
+        # also where the template's unaligned ends would stand
+        if any(i not in own and words[i] in self.foreign
+               for i in range(max(0, first - head), min(len(words), last + len(self.words) - tail))):
+            return False
+        return len(self.words) >= SHORT or not any(i not in own and NUMBER.fullmatch(words[i]) for i in range(first, last))
 
 
 def whole(name: str) -> str:
@@ -179,6 +184,29 @@ def align(text: list[str] | tuple[str, ...], template: list[str] | tuple[str, ..
     return sorted(out)
 
 
+def near(ascending: list[int], value: int, distance: int) -> bool:
+    at = bisect.bisect_left(ascending, value - distance)
+    return at < len(ascending) and ascending[at] <= value + distance
+
+
+def span_shares(words: list[str], template: Template) -> list[int]:
+    """Words that the span of the template's length from each word on has in
+    common with the template, in any order: no alignment there has more."""
+    n, want = len(template.words), dict(template.counts)
+    have: Counter[str] = Counter()
+    common, out = 0, []
+    for i in range(len(words) + n - 1):
+        if i < len(words) and (w := words[i]) in want:
+            have[w] += 1
+            common += have[w] <= want[w]
+        if i >= n and (w := words[i - n]) in want:
+            common -= have[w] <= want[w]
+            have[w] -= 1
+        if i >= n - 1:
+            out.append(common)
+    return out
+
+
 def scan(text: str | None, templates: tuple[Template, ...], coverage: float) -> list[tuple[str, int, int, float]]:
     """(license, first word, words spanned, coverage) of the notices found:
     the best-covered, then the longest first, none overlapping a better one."""
@@ -213,6 +241,25 @@ def scan(text: str | None, templates: tuple[Template, ...], coverage: float) ->
                     continue
                 tried.add(start // max(1, n // 4))
                 look(start, p - j + n + n // 2 + 1)
+        # copies close to one another leave no word unique in such a window:
+        # the template's own span at each place, then a little more
+        shares = span_shares(words, t)
+        starts = {max(0, p - j) for j in order for p in places.get(t.words[j], ())}
+        tight = sorted(f[1] for f in found if f[0] == t.license and f[2] <= n + n // 8)
+        failed: list[int] = []
+        for start in sorted(starts, key=lambda s: (-shares[s], s)):
+            if near(failed, start, n // 32):
+                continue
+            for more in (0, n // 8, n // 4):
+                # all that is found here would overlap what was found before
+                if shares[start] + 2 * more < n - lacking or near(tight, start, n - lacking - more - 1):
+                    continue
+                if look(start - more, start + n + more):
+                    if found[-1][2] <= n + n // 8:
+                        bisect.insort(tight, found[-1][1])
+                    break
+            else:
+                bisect.insort(failed, start)
     out: list[tuple[str, int, int, float]] = []
     for name, first, span, share, _ in sorted(found, key=lambda f: (-f[4] * f[3], f[2], f[1], f[0])):
         if all(first + span <= o[1] or o[1] + o[2] <= first for o in out):

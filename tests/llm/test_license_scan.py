@@ -1,9 +1,10 @@
 import itertools
 import random
+from collections import Counter
 
 import pytest
 
-from kpiloom.llm.license_scan import TEMPLATES, TEXTS, Template, align, license_scan, longest_increasing, scan, whole
+from kpiloom.llm.license_scan import TEMPLATES, TEXTS, WORD, Template, align, license_scan, longest_increasing, scan, span_shares, whole
 from tests.llm.conftest import EDGE
 
 
@@ -107,3 +108,24 @@ def test_texts_travel_in_the_package():
 
     common.on_executors(type("Session", (), {"sparkContext": Context()})())
     assert "kpiloom/llm/license_texts/MIT.txt" in zipfile.ZipFile(sent[0]).namelist()
+
+
+@pytest.mark.parametrize(("text", "name"), [
+    ("Licensed under CC BY 4.0. ", "CC-BY-4.0"), ("Released under the MIT License. ", "MIT"),
+    ("This work is licensed under the GNU General Public License, version 3. see ", "GPL-3.0"),
+    (whole("MIT") + " ", "MIT-text"), (whole("BSD-3-Clause").replace("REGENTS", "some other HOLDERS") + " by others ", "BSD-3-Clause-text")])
+def test_notices_back_to_back_are_all_found(text, name):
+    for copies in (2, 3, 5):
+        found = sorted(scan(text * copies, TEMPLATES, 0.8), key=lambda f: f[1])
+        assert [f[0] for f in found] == [name] * copies
+        step = len(WORD.findall(text))
+        assert all(i * step <= f[1] and f[1] + f[2] <= (i + 1) * step for i, f in enumerate(found))
+
+
+def test_span_shares_match_counting():
+    rng = random.Random(5)
+    for _ in range(100):
+        words = [rng.choice("abcde") for _ in range(rng.randint(1, 30))]
+        t = Template("x", tuple(rng.choice("abcd") for _ in range(rng.randint(1, 8))))
+        got = span_shares(words, t)
+        assert got == [(Counter(words[i:i + len(t.words)]) & Counter(t.words)).total() for i in range(len(words))]
