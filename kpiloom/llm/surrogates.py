@@ -28,7 +28,16 @@ KINDS: dict[str, str] = {
     "card": r"(?<![\p{L}\p{N}])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{L}\p{N}.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![\p{L}\p{N}])",
+    "ip6": r"(?<![\p{L}\p{N}:.])(?=[0-9A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+           r"|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![\p{L}\p{N}:]|\.[0-9])",
+    # +1 and ten digits; other countries; area code in brackets; national with
+    # a leading 0 (but no date); groups as written in America and in Spain
+    "phone": r"(?<![\p{L}\p{N}+])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+             r"|(?:\+|00)[1-9](?:[ ./()-]{0,2}[0-9]){7,14}"
+             r"|\([0-9]{2,5}\)(?:[ .-]?[0-9]){6,8}"
+             r"|(?![0-9]{2}[./-][0-9]{2}[./-](?:19|20)[0-9]{2}(?![0-9]))0[1-9](?:[ ./-]?[0-9]){7,9}"
+             r"|(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-][0-9]{3,4}[ .-][0-9]{3,4}"
+             r"|[6-9][0-9]{2}(?:[ .-][0-9]{2}){3}|[2-9][0-9]{2}[2-9][0-9]{6})(?![\p{L}\p{N}])",
     "name": r"(?<!\p{L})(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra)\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?"
             r"|(?<!\p{L})(?:Г-н|Г-жа|г-н|г-жа) \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?",
 }
@@ -36,6 +45,8 @@ KINDS: dict[str, str] = {
 ANY = r"(?<!\p{L})(?:" + "|".join(KINDS.values()) + ")"
 #: What every kind but names needs, and what names need.
 HINT = r"[0-9@]|(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Monsieur|Madame|Mme|Señora?|Sra?|[Гг]-ж?[на])\.? \p{Lu}"
+#: What a phone number keeps: its country code or the 0 it starts with.
+PREFIX = (r"^(?:(?:\+|00)(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})|0)?")
 #: Titles that tell a gender (others: none is shown).
 FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Г-жа|г-жа)\b"
 MALE = r"^(?:Mr|Herr|Monsieur|Señor|Sr|Г-н|г-н)\b"
@@ -56,9 +67,9 @@ def kind_of(entity: Column) -> Column:
 def canonical(kind: Column, entity: Column) -> Column:
     """What makes two mentions the same entity: numbers without punctuation,
     addresses without case."""
-    compact = F.regexp_replace(entity, r"[ ().-]", "")
+    compact = F.regexp_replace(entity, r"[ ()./-]", "")
     return (F.when(kind.isin("card", "ssn", "phone", "iban"), compact)
-            .when(kind == "email", F.lower(entity)).otherwise(entity))
+            .when(kind.isin("email", "ip6"), F.lower(entity)).otherwise(entity))
 
 
 def _luhn(number: Column) -> Column:
@@ -110,8 +121,9 @@ def _candidate(key: str, attempt: int) -> Column:
                                 lambda n: _luhn(n) == _luhn(value)), F.element_at(s, 31) % F.when(_luhn(value), 1).otherwise(9) + 1))
         secret = let(F.regexp_extract(value, r"^(?:AKIA|sk-|gh[pousr]_|xox[abprs]-|eyJ)?", 0), lambda p: _shaped(
             value, s, value.rlike("^[0-9a-fA-F]+$"), F.length(p)))
-        phone = _shaped(value, s, no, F.when(F.startswith(value, F.lit("+")), F.length(value) - 10).otherwise(0))
-        return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card)
+        phone = _shaped(value, s, no, F.length(F.regexp_extract(value, PREFIX, 0)))
+        return (F.when(kind == "email", email).when(kind == "ip", ip)
+                .when(kind == "ip6", _shaped(value, s, F.lit(True), F.lit(0))).when(kind == "card", card)
                 .when(kind == "secret", secret).when(kind == "phone", phone).when(kind == "name", _name(value, s))
                 .when(kind == "iban", _shaped(value, s, no, F.lit(2))).otherwise(_shaped(value, s, no, F.lit(0))))
 
@@ -168,7 +180,7 @@ def rendered(kind: Column, raw: Column, value: Column, surrogate: Column) -> Col
     """The surrogate in the format of one mention: characters of ``surrogate``
     take the places of letters and digits of ``raw``, punctuation stays."""
     plain = F.split(surrogate, "(?!^)")
-    places = F.transform(F.split(raw, "(?!^)"), lambda c: ~c.rlike("[ ().-]"))
+    places = F.transform(F.split(raw, "(?!^)"), lambda c: ~c.rlike("[ ()./-]"))
     chars = F.split(raw, "(?!^)")
     woven = let(plain, lambda s: let(places, lambda p: F.aggregate(
         F.zip_with(chars, p, lambda c, q: F.struct(c.alias("c"), q.alias("q"))),

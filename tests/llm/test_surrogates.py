@@ -90,3 +90,21 @@ def test_edges_and_plan(spark, table):
     row = got.first()
     assert (row.n_entities, row.row, row.kind, row.n_entities_replaced) == (7, "r", "k", 1) and row.text != "a@b.example"
     assert not re.search("Python|Arrow|Pandas", out._jdf.queryExecution().optimizedPlan().toString())
+
+
+PHONES = ["+14155552671", "(415)555-2671", "+33 1 23 45 67 89", "06 12 34 56 78", "+49 30 123456", "4155552671", "+49 (0)30 1234567",
+          "0171/1234567", "612 34 56 78", "0033 1 23 45 67 89", "+34 612 345 678", "+1 (974) 555-3436"]
+IP6 = ["2001:db8::1", "fe80::1ff:fe23:4567:890a", "2001:0DB8:85a3:0000:0000:8a2e:0370:7334"]
+
+
+def test_phone_forms_and_ip6(spark):
+    entities = PHONES + IP6
+    keep = ["on 2024-01-02 and 01.02.2024 10:30", "std::cout a:b 12:30:45", "+1 000 000 of 3.14", "2024 1999 10000"]
+    df = spark.createDataFrame(list(enumerate([f"see {e}, or" for e in entities] + keep)), "doc_id long, text string")
+    got = {r.doc_id: r for r in replace_entities(df, KEY).collect()}
+    for i, e in enumerate(entities):
+        new = got[i].text[4:-4]
+        assert got[i].n_entities == 1 and new != e and got[i].text == f"see {new}, or", e
+        assert re.sub("[0-9A-Fa-f]", "x", new) == re.sub("[0-9A-Fa-f]", "x", e), (e, new)
+    assert got[2].text.startswith("see +33 ") and got[4].text.startswith("see +49 ") and got[3].text.startswith("see 0")
+    assert [got[len(entities) + i].text for i in range(len(keep))] == keep
