@@ -37,11 +37,17 @@ class WordTokenizer:
     Upper case matters to no token, so texts of Latin-1 characters (where
     lower-casing and composition are the same in every library) are
     lower-cased first; this only shares more look-ups.
+
+    With ``added``, texts that hold an added token's literal go through the
+    tokenizer's own default as a whole, which keeps such tokens; without it
+    the literal is text like any other.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
+        self.default = Tokenizer.from_file(path)
+        self.literals = [t.content.lower() for t in self.default.get_added_tokens_decoder().values()] if added else []
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.words = Recent(self._word, MAX_WORDS)
@@ -52,9 +58,13 @@ class WordTokenizer:
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        lower = text.lower()
+        if any(literal in lower for literal in self.literals):
+            ids = self.default.encode(text, add_special_tokens=False).ids
+            return b"".join(i.to_bytes(4, "little") for i in ids)
         try:
             text.encode("latin-1")
-            text = text.lower()
+            text = lower
         except UnicodeEncodeError:
             pass
         # bytes.split() cuts at the six ASCII white-space characters
@@ -64,7 +74,7 @@ class WordTokenizer:
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordTokenizer:
     """One per Python worker."""
-    return WordTokenizer(path)
+    return WordTokenizer(path, added=True)
 
 
 def patterns_of_up_to_three(size: int, lengths: np.ndarray) -> np.ndarray:

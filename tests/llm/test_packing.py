@@ -77,3 +77,10 @@ def test_pieces_and_places(spark, table):
             at += length
         assert at <= 2048
     assert best_fit_pack(table([]), ids).count() == 0
+
+
+def test_added_tokens_are_kept_as_by_the_library():
+    words, whole = tokenizer(PATH), Tokenizer.from_file(PATH)
+    for text in ["abc <|endoftext|> d", "<|startoftext|>A b<|endoftext|>", "ABC <|ENDOFTEXT|> d", "Ж <|endoftext|>é x", "a <|endof text|>", "plain É"]:
+        assert memoryview(words.ids(text)).cast("I").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert 49407 in memoryview(words.ids("abc <|endoftext|> d")).cast("I").tolist()
