@@ -3,7 +3,8 @@
 Entities found in texts get replacements that are keyed (the same key gives
 the same ones, none can be recomputed without it), of the same kind and
 format, distinct for distinct entities, and the same wherever an entity
-occurs: names keep their title's gender and their script, numbers their
+occurs: names keep their title, its gender and their script (a last name alone
+or without a title is linked to the titled full name of its text), numbers their
 punctuation, card numbers their check digit's validity, addresses their shape.
 
 Replacements are made once per distinct entity, from a keyed digest and an
@@ -48,8 +49,11 @@ HINT = r"[0-9@]|(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Monsieur|Madame|Mme|Señora?|Sra?
 #: What a phone number keeps: its country code or the 0 it starts with.
 PREFIX = (r"^(?:(?:\+|00)(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})|0)?")
 #: Titles that tell a gender (others: none is shown).
-FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Г-жа|г-жа)\b"
-MALE = r"^(?:Mr|Herr|Monsieur|Señor|Sr|Г-н|г-н)\b"
+FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Г-жа|г-жа)(?!\p{L})"
+MALE = r"^(?:Mr|Herr|Monsieur|Señor|Sr|Г-н|г-н)(?!\p{L})"
+#: A name's title, with what separates it from the name.
+TITLE = r"^(?:(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra)\.? |(?:Г-н|Г-жа|г-н|г-жа) )"
+GENDERS = ("female", "male", "none")
 #: Syllables of made-up names by script, and endings by gender.
 SYLLABLES = {"latin": "ba be bi bo da de di do fa fe ka ke ki la le li lo ma me mi mo na ne ni no pa ra re ri ro sa se si ta te ti to va ve vi".split(),
              "cyrillic": "ба бе би бо да де ди до ка ке ки ла ле ли ло ма ме ми мо на не ни но па ра ре ри ро са се си та те ти то ва ве ви".split()}
@@ -124,30 +128,70 @@ def _candidate(key: str, attempt: int) -> Column:
         phone = _shaped(value, s, no, F.length(F.regexp_extract(value, PREFIX, 0)))
         return (F.when(kind == "email", email).when(kind == "ip", ip)
                 .when(kind == "ip6", _shaped(value, s, F.lit(True), F.lit(0))).when(kind == "card", card)
-                .when(kind == "secret", secret).when(kind == "phone", phone).when(kind == "name", _name(value, s))
+                .when(kind == "secret", secret).when(kind == "phone", phone).when(kind == "name", _name(value, s, attempt))
                 .when(kind == "iban", _shaped(value, s, no, F.lit(2))).otherwise(_shaped(value, s, no, F.lit(0))))
 
     return let(_stream(key, kind, value, attempt, F.length(value)), make)
 
 
-def _name(value: Column, stream: Column) -> Column:
-    """Title kept; each name made of syllables of its script, ended by gender."""
-    words = F.split(value, " ")
-    gender = F.when(value.rlike(FEMALE), "female").when(value.rlike(MALE), "male").otherwise("none")
-    script = F.when(value.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+def people(titled: Column) -> Column:
+    """``gender, name, last`` of the titled names of one text, in their order."""
+    def person(raw: Column) -> Column:
+        name = F.regexp_replace(raw, TITLE, "")
+        gender = F.when(raw.rlike(FEMALE), "female").when(raw.rlike(MALE), "male").otherwise("none")
+        return F.struct(gender.alias("gender"), name.alias("name"), F.substring_index(name, " ", -1).alias("last"))
+
+    return F.array_distinct(F.transform(titled, person))
+
+
+def named_by(known: Column) -> Column:
+    """Expression for ``ANY`` and the known names without a title, full names
+    first; names consist of letters and spaces."""
+    names = F.array_distinct(F.concat(F.transform(F.filter(known, lambda k: k["name"] != k["last"]), lambda k: k["name"]),
+                                      F.transform(known, lambda k: k["last"])))
+    return F.when(F.size(names) == 0, ANY).otherwise(F.concat(
+        F.lit(ANY[:-1] + r"|(?<![\p{L}\p{N}])(?:"), F.array_join(names, "|"), F.lit(r")(?![\p{L}\p{N}]))")))
+
+
+def who(raw: Column, known: Column) -> Column:
+    """``gender|name`` of a mention among the ``known`` people of its text: the
+    full name if one has this last name, and the gender that a title tells,
+    the mention's own first."""
+    def find(me: Column) -> Column:
+        def fits(k: Column) -> Column:
+            return (k["gender"] == me["gender"]) | (k["gender"] == "none") | (me["gender"] == "none")
+
+        full = F.filter(known, lambda k: (k["name"] != k["last"]) & (me["name"] == me["last"]) & (k["last"] == me["name"]) & fits(k))
+        name = F.coalesce(F.get(full, F.lit(0))["name"], me["name"])
+        # one's own title, then those of the same name, then of the last name alone
+        told = F.concat(F.filter(known, lambda k: (k["name"] == name) & (k["gender"] != "none")),
+                        F.filter(known, lambda k: (k["name"] == k["last"]) & (k["last"] == F.substring_index(name, " ", -1))
+                                 & (k["gender"] != "none")))
+        gender = F.when(me["gender"] != "none", me["gender"]).otherwise(F.coalesce(F.get(told, F.lit(0))["gender"], F.lit("none")))
+        return F.concat_ws("|", gender, name)
+
+    return let(F.get(people(F.array(raw)), F.lit(0)), find)
+
+
+def _name(value: Column, stream: Column, attempt: int) -> Column:
+    """Of ``gender|name``: each word made of syllables of its script, more of
+    them with each attempt, the first ended by gender."""
+    gender, name = F.substring_index(value, "|", 1), F.substring_index(value, "|", -1)
+    script = F.when(name.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+    n = min(3 + attempt, 15)
 
     def word(w: Column, i: Column) -> Column:
         made = F.lit("")
-        for name, syllables in SYLLABLES.items():
+        for script_name, syllables in SYLLABLES.items():
             table = F.array(*[F.lit(x) for x in syllables])
-            each = F.concat(*[F.element_at(table, F.element_at(stream, i * 4 + k) % len(syllables) + 1) for k in (1, 2, 3)])
+            each = F.concat(*[F.element_at(table, F.element_at(stream, i * n + k) % len(syllables) + 1) for k in range(1, n + 1)])
             end = F.lit("")
-            for g, e in ENDINGS[name].items():
+            for g, e in ENDINGS[script_name].items():
                 end = F.when(gender == g, e).otherwise(end)
-            made = F.when(script == name, F.concat(each, F.when(i == 1, end).otherwise(""))).otherwise(made)
-        return F.when(i == 0, w).otherwise(F.initcap(made))
+            made = F.when(script == script_name, F.concat(each, F.when(i == 0, end).otherwise(""))).otherwise(made)
+        return F.initcap(made)
 
-    return F.array_join(F.transform(words, word), " ")
+    return F.concat_ws("|", gender, F.array_join(F.transform(F.split(name, " "), word), " "))
 
 
 def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
@@ -160,7 +204,9 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     the rest get their kind and a keyed digest instead: distinct, if not alike.
     """
     entities = stored(entities.distinct(), "entities")
-    taken = entities.select("kind", F.col("value").alias("surrogate"))
+    # a made-up name is nobody's, of whatever gender
+    same = F.when(F.col("kind") == "name", F.array(*[F.concat(F.lit(f"{g}|"), F.substring_index("value", "|", -1)) for g in GENDERS]))
+    taken = entities.select("kind", F.explode(F.coalesce(same, F.array("value"))).alias("surrogate"))
     done, pending = None, entities
     for attempt in range(MAX_ATTEMPTS):
         drawn = stored(pending.withColumn("surrogate", _candidate(key, attempt)), "drawn")
@@ -187,7 +233,11 @@ def rendered(kind: Column, raw: Column, value: Column, surrogate: Column) -> Col
         F.struct(F.lit("").alias("out"), F.lit(0).alias("n")),
         lambda a, x: F.struct(F.concat(a["out"], F.when(x["q"], F.coalesce(F.get(s, a["n"]), F.lit(""))).otherwise(x["c"])).alias("out"),
                               (a["n"] + F.when(x["q"], 1).otherwise(0)).alias("n")))["out"]))
-    return F.when(kind.isin("card", "ssn", "phone", "iban") & (F.length(surrogate) == F.length(value)), woven).otherwise(surrogate)
+    # the title stays; who is named by one word gets the last one
+    name = F.substring_index(surrogate, "|", -1)
+    name = F.concat(F.regexp_extract(raw, TITLE, 0),
+                    F.when(F.regexp_replace(raw, TITLE, "").contains(" "), name).otherwise(F.substring_index(name, " ", -1)))
+    return F.when(kind == "name", name).when(kind.isin("card", "ssn", "phone", "iban") & (F.length(surrogate) == F.length(value)), woven).otherwise(surrogate)
 
 
 def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -206,15 +256,18 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     has = F.coalesce(text.rlike(HINT) & text.rlike(ANY), F.lit(False))
     pack = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("text"), has.alias("has"))
     with_any = pack.where("has").select("row", "text", F.md5("text").alias("digest"))
-    found = (with_any.select("digest", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("all"))
-             .dropDuplicates(["digest"]).select("digest", F.posexplode("all").alias("at", "raw")))
-    found = found.withColumn("kind", kind_of(F.col("raw")))
-    found = stored(found.withColumn("value", canonical(F.col("kind"), F.col("raw"))), "mentions")
+    one = with_any.dropDuplicates(["digest"]).select("digest", "text", F.filter(
+        F.regexp_extract_all("text", F.lit(ANY), F.lit(0)), lambda m: m.rlike(TITLE)).alias("titled"))
+    one = one.select("digest", "text", people(F.col("titled")).alias("known"))
+    found = one.select("digest", "known", F.regexp_extract_all("text", named_by(F.col("known")), F.lit(0)).alias("all"))
+    found = found.select("digest", "known", F.posexplode("all").alias("at", "raw")).withColumn("kind", kind_of(F.col("raw")))
+    value = F.when(F.col("kind") == "name", who(F.col("raw"), F.col("known"))).otherwise(canonical(F.col("kind"), F.col("raw")))
+    found = stored(found.withColumn("value", value), "mentions")
     table = stored(surrogate_table(found.select("kind", "value"), key), "surrogates")
     placed = (found.join(table, ["kind", "value"])
-              .select("digest", "at", rendered(F.col("kind"), F.col("raw"), F.col("value"), F.col("surrogate")).alias("new"))
-              .groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("at", "new"))).alias("mentions")))
-    gaps = F.split("text", ANY, -1)
+              .select("digest", "at", "known", rendered(F.col("kind"), F.col("raw"), F.col("value"), F.col("surrogate")).alias("new"))
+              .groupBy("digest").agg(F.first("known").alias("known"), F.array_sort(F.collect_list(F.struct("at", "new"))).alias("mentions")))
+    gaps = F.split("text", named_by(F.col("known")), -1)
     woven = F.array_join(F.flatten(F.zip_with(gaps, F.transform("mentions", lambda m: m["new"]),
                                               lambda g, m: F.array(g, F.coalesce(m, F.lit(""))))), "")
     new = with_any.join(placed, "digest").select("row", woven.alias("new"), F.size("mentions").alias("n"))

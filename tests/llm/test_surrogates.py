@@ -108,3 +108,22 @@ def test_phone_forms_and_ip6(spark):
         assert re.sub("[0-9A-Fa-f]", "x", new) == re.sub("[0-9A-Fa-f]", "x", e), (e, new)
     assert got[2].text.startswith("see +33 ") and got[4].text.startswith("see +49 ") and got[3].text.startswith("see 0")
     assert [got[len(entities) + i].text for i in range(len(keep))] == keep
+
+
+def test_names_are_linked_within_a_text(spark):
+    texts = ["Mrs. Anna Smith met Mrs Anna Smith. Mrs. Smith left; Anna Smith slept, Smith too. Smithson and Dr. Smith stayed.",
+             "Smith came before Dr. Anna Smith, Mrs. Smith after Mr. John Brown; Brown left.", "Smith and Anna Smith alone."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in replace_entities(df, KEY).collect()}
+    full, last = re.match(r"Mrs\. ([A-Z][a-z]+na ([A-Z][a-z]+)) met", got[0]).groups()
+    assert got[0] == f"Mrs. {full} met Mrs {full}. Mrs. {last} left; {full} slept, {last} too. Smithson and Dr. {last} stayed."
+    john, brown = re.search(r"Mr\. ([A-Z][a-z]+rn ([A-Z][a-z]+)); ", got[1]).groups()
+    assert got[1] == f"{last} came before Dr. {full}, Mrs. {last} after Mr. {john}; {brown} left."
+    assert got[2] == texts[2]
+
+
+def test_names_get_longer_when_short_ones_are_used_up(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "SYLLABLES", {k: v[:2] for k, v in surrogates.SYLLABLES.items()})
+    people = [("name", f"male|{a}{b}") for a in "ABCDEFG" for b in ("ab", "ac", "ad", "ae")]  # 28, with 2^3 short ones
+    got = surrogate_table(spark.createDataFrame(people, "kind string, value string"), KEY).collect()
+    assert len({r.surrogate for r in got}) == len(people) and all(re.fullmatch(r"male\|[A-Z][a-z]+rn", r.surrogate) for r in got)
