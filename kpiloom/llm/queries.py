@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm import byte_bpe, language_id, ngram_jaccard, order_minhash, packing
 from kpiloom.llm.common import read
+from kpiloom.llm.conversation_repair import damage, repair
 from kpiloom.llm.importance_resampling import resample
 from kpiloom.llm.license_scan import license_scan
 from kpiloom.llm.quality_rules import quality_rules
@@ -82,6 +83,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(read(spark, sf_dir, "documents"), word_ids(tokenizer_file("word_bpe_49k.json")))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damage(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_order_minhash": op2_order_minhash,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scan": op10_license_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 SQL: dict[str, str] = {
