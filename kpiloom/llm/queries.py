@@ -12,6 +12,7 @@ from kpiloom.llm.common import read
 from kpiloom.llm.conversation_repair import damage, repair
 from kpiloom.llm.importance_resampling import resample
 from kpiloom.llm.license_scan import license_scan
+from kpiloom.llm.prefix_trie import prefix_trie
 from kpiloom.llm.quality_rules import quality_rules
 from kpiloom.llm.surrogates import replace_entities
 from kpiloom.llm.url_filter import DEFAULT_BLOCKS, UrlRule, rule_table, url_filter
@@ -83,6 +84,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(read(spark, sf_dir, "documents"), word_ids(tokenizer_file("word_bpe_49k.json")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damage(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")))
 
@@ -98,10 +103,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scan": op10_license_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_conversation_repair": op12_conversation_repair,
 }
 
+#: crc32 of a text of ASCII characters, bit by bit.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({0}, ''),
+    lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"""
+
 SQL: dict[str, str] = {
+    "op11_prefix_trie": f"""
+        WITH turns AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos,
+                   [coalesce(role, ''), coalesce(text, '')] AS said
+            FROM conversations WHERE conv_id IS NOT NULL),
+        convs AS (SELECT conv_id AS c, count(*) AS n, {_CRC32.format("conv_id::VARCHAR")} % 4 AS h FROM turns GROUP BY conv_id),
+        rebuilt AS (
+            SELECT c, pos AS rank, said FROM convs JOIN turns ON conv_id = c - c % 20 AND pos < h
+            UNION ALL SELECT c, pos, said FROM convs JOIN turns ON conv_id = c AND pos >= h),
+        paths AS (SELECT c, list(said ORDER BY rank) AS path FROM rebuilt GROUP BY c
+                  UNION ALL SELECT c, [] FROM convs WHERE c NOT IN (SELECT c FROM rebuilt)),
+        steps AS (SELECT c, len(path) AS len, d AS depth, path[1:d] AS node FROM paths, unnest(range(0, len(path) + 1)) AS r(d)),
+        nodes AS (
+            SELECT depth, node, min(c) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len = depth), '')) AS ends_sha256,
+                   CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * len(list_filter(
+                       regexp_split_to_array(node[-1][2], '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) END AS saved
+            FROM steps GROUP BY depth, node),
+        kids AS (SELECT depth - 1 AS depth, node[1:depth - 1] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+        known AS (SELECT a.*, coalesce(k.n, 0) AS n_children FROM nodes a LEFT JOIN kids k ON a.depth = k.depth AND a.node = k.node)
+        SELECT v.conv_id, v.depth::BIGINT AS depth, any_value(p.conv_id) AS parent_conv_id, any_value(v.n_convs) AS n_convs,
+               any_value(v.n_children)::BIGINT AS n_children,
+               count(DISTINCT [u.conv_id, u.depth]) FILTER (WHERE u.n_children = 0) AS n_leaves,
+               sum(u.saved)::BIGINT AS saved_tokens, any_value(v.ends_sha256) AS ends_sha256
+        FROM known v JOIN known u ON u.depth >= v.depth AND u.node[1:v.depth] = v.node
+        LEFT JOIN known p ON p.depth = v.depth - 1 AND p.node = v.node[1:v.depth - 1]
+        GROUP BY v.conv_id, v.depth""",
     "op4_url_filter": """
         WITH cut AS (
             SELECT page_id, coalesce(substr(url, nullif(strpos(url, '://'), 0) + 3), '') AS rest FROM pages),
