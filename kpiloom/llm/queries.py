@@ -12,6 +12,7 @@ from kpiloom.llm.common import read
 from kpiloom.llm.conversation_repair import damage, repair
 from kpiloom.llm.importance_resampling import resample
 from kpiloom.llm.license_scan import license_scan
+from kpiloom.llm.nn_descent import near_vectors
 from kpiloom.llm.prefix_trie import prefix_trie
 from kpiloom.llm.quality_rules import quality_rules
 from kpiloom.llm.surrogates import replace_entities
@@ -92,6 +93,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damage(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")))
 
 
+def op13_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_order_minhash": op2_order_minhash,
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_nn_descent": op13_nn_descent,
 }
 
 #: crc32 of a text of ASCII characters, bit by bit.
@@ -167,6 +173,15 @@ SQL: dict[str, str] = {
                     WHEN blocked IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
                CASE WHEN rule IS NULL THEN blocked END AS method_rule
         FROM ruled""",
+    "op13_nn_descent": """
+        WITH RECURSIVE units AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+        links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM units a JOIN units b
+                  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9),
+        reached AS (SELECT vec_id AS x, vec_id AS y FROM units UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y),
+        smallest AS (SELECT x, min(y) AS component_id FROM reached GROUP BY x),
+        counted AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+        SELECT s.x AS vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, s.x = component_id AS kept
+        FROM smallest s LEFT JOIN counted c ON c.x = s.x""",
     "op6_quality_rules": r"""
         WITH split AS (
             SELECT doc_id, coalesce(text, '') AS text,
