@@ -296,13 +296,17 @@ def ratio_predicate_q(t: Commerce) -> DataFrame:
 
 
 # --------------------------------------------------------------- K06 / K07 / K15 / K25
+# the flags of K06, for its own table and the nightly job's profile
+EF_FLAGS = {
+    "ef_urgent_1998": lambda: (pr() == URGENT) & in_year("o_orderdate", 1998),
+    "ef_finished_high": lambda: (st() == "F") & (pr() == HIGH),
+    "ef_pending_low": lambda: (st() == "P") & (pr() == LOW),
+    "ef_open_2001": lambda: (st() == "O") & in_year("o_orderdate", 2001),
+}
+
+
 def k06_table(t: Commerce) -> DataFrame:
-    flags = {
-        "ef_urgent_1998": (pr() == URGENT) & in_year("o_orderdate", 1998),
-        "ef_finished_high": (st() == "F") & (pr() == HIGH),
-        "ef_pending_low": (st() == "P") & (pr() == LOW),
-        "ef_open_2001": (st() == "O") & in_year("o_orderdate", 2001),
-    }
+    flags = {n: p() for n, p in EF_FLAGS.items()}
     p = existence_flags(dims(t), "contact_id", t.orders(), "contact_id", flags)
     p = p.withColumn("ef_urgent_or_pending_low", F.greatest("ef_urgent_1998", "ef_pending_low"))
     names = [*flags, "ef_urgent_or_pending_low"]
@@ -627,17 +631,8 @@ def registry_q(t: Commerce) -> DataFrame:
 # Every team table above re-reads its facts, which is right for one table on
 # its own.  The job that builds them all shares two fact profiles instead:
 # lineitem is reduced to order grain once and orders (with that) to customer
-# grain once, carrying every per-customer quantity the teams need.  With a
-# sink the customer profile is written and read back (lineage cut); without
-# one the same DataFrame is reused and Spark plans its exchanges once.
-
-EF_FLAGS = {
-    "ef_urgent_1998": lambda: (pr() == URGENT) & in_year("o_orderdate", 1998),
-    "ef_finished_high": lambda: (st() == "F") & (pr() == HIGH),
-    "ef_pending_low": lambda: (st() == "P") & (pr() == LOW),
-    "ef_open_2001": lambda: (st() == "O") & in_year("o_orderdate", 2001),
-}
-
+# grain once, carrying every per-customer quantity the teams need.  The job
+# writes the cohort aggregate of it and reads it back (lineage cut).
 
 def line_profile(t: Commerce, as_of: str = AS_OF) -> DataFrame:
     """Order grain: rate inputs and open-line counts from one lineitem pass."""
@@ -737,13 +732,16 @@ def job_teams(t: Commerce) -> list:
 def twin_nightly_job(t: Commerce, sink: str, as_of: str = AS_OF) -> DataFrame:
     """One pass over lineitem and orders for all order-based teams: the
     customer profile feeds one cohort aggregate, which is materialised
-    (cohort grain: small) and projected into the team tables."""
+    (cohort grain: small) and projected into the team tables.  The monthly
+    snapshot's numbers are those of its own day."""
     from kpiloom.plans.job import KpiJob
-    p = KpiJob(spine=lambda shared: join_prep_table(t, shared["event_metrics"]), teams=job_teams(t),
+    teams = job_teams(t)
+    due = {team.due(dt.date.fromisoformat(as_of)).isoformat() for team in teams if team.cadence == "monthly"}
+    p = KpiJob(spine=lambda shared: join_prep_table(t, shared["event_metrics"]), teams=teams,
                cohort=COHORT,
-               shared={"order_metrics": lambda: order_team_metrics(contact_profile(t, as_of)),
+               shared={"order_metrics": lambda: order_team_metrics(contact_profile(t, *due)),
                        "event_metrics": lambda: event_metrics(t)})
-    return p.run(as_of=as_of, sink=sink)
+    return p.run(as_of=as_of, sink=sink, spark=t.spark)
 
 
 @register("kpi_nightly_job")
@@ -751,3 +749,25 @@ def nightly_job_q(t: Commerce) -> DataFrame:
     """join_prep spine ⟕ eight team tables built from shared profiles,
     written to and published in the session's shared folder when called."""
     return twin_nightly_job(t, shared_dir(t.spark, f"nightly-{uuid.uuid4().hex}"))
+
+
+#: Two nights: the second falls before the next month's snapshot day.
+NIGHTS = ("1998-03-10", "1998-04-02")
+
+
+@register("kpi_two_nights")
+def two_nights_q(t: Commerce) -> DataFrame:
+    """Two runs into one sink, then the published tables read back.
+
+    The second night finds March's snapshot published by the first and keeps
+    it; both nights' wide tables and the snapshot are read by name from what
+    the manifests say."""
+    from kpiloom.sources.published import Published
+    sink = shared_dir(t.spark, f"nights-{uuid.uuid4().hex}")
+    for night in NIGHTS:
+        twin_nightly_job(Commerce(t.spark, t.cat.root), sink, night)
+    published = Published(t.spark, sink)
+    first, second = (published.table("team_kpi_table", as_of=dt.date.fromisoformat(night)) for night in NIGHTS)
+    kept = published.table("open_records").select(*KEYS, F.col("or_open_records").alias("kept_open_records"))
+    earlier = first.select(*KEYS, *[F.col(c).alias(f"first_{c}") for c in ("nps_promoters", "or_open_records")])
+    return second.join(earlier, KEYS, "left").join(kept, KEYS, "left")

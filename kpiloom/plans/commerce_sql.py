@@ -440,3 +440,11 @@ JOB_PARTS = ["indicator_cohort_sum", "ratio_rate_threshold", "existence_flags",
                   "child_count_threshold", "nps", "retention", "persistence",
                   "open_records_snapshot"]
 SQL["kpi_nightly_job"] = assemble_sql(SQL["survey_completion_join"], [SQL[n] for n in JOB_PARTS])
+
+# both nights have the numbers of March's snapshot day; the events do not change
+_NIGHT = SQL["kpi_nightly_job"]
+SQL["kpi_two_nights"] = f"""
+SELECT w.*, CASE WHEN band IS NOT NULL THEN nps_promoters END AS first_nps_promoters,
+  CASE WHEN band IS NOT NULL THEN or_open_records END AS first_or_open_records,
+  CASE WHEN band IS NOT NULL THEN or_open_records END AS kept_open_records
+FROM ({_NIGHT}) w"""

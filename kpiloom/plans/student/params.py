@@ -49,6 +49,31 @@ NEED_COLORS = ("Blue", "Red")
 FP_EXCLUDED_SITES = ("The Durant Center", "Ward 8", "Crenshaw")
 ALUMNI_EXCLUDED_SITE = "College Track Boyle Heights"
 
+# The columns that the team tables read of the two tables that
+# most of them share (names as in the source).
+CONTACT_COLUMNS = (
+    "contact_id", "site_short", "Ethnic_background_c", "Gender_c", "site_c", "site_sort", "region_abrev",
+    "Contact_Record_Type_Name", "grade_c", "college_track_status_c", "indicator_years_since_hs_graduation_c",
+    "indicator_completed_ct_hs_program_c", "contact_official_test_prep_withdrawal",
+    "FA_Req_Expected_Financial_Contribution_c", "fa_req_efc_source_c", "Credit_Accumulation_Pace_c",
+    "credits_accumulated_most_recent_c", "Current_Enrollment_Status_c", "Current_School_Type_c_degree",
+    "college_first_enrolled_school_type_c", "ps_internships_c", "anticipated_date_of_graduation_ay_c",
+    "academic_year_4_year_degree_earned_c", "most_recent_valid_cumulative_gpa", "indicator_first_generation_c",
+    "indicator_low_income_c", "summer_experiences_previous_summer_c", "Dream_Statement_filled_out_c",
+)
+TERM_COLUMNS = (
+    "AT_Id", "Contact_Id", "student_c", "site_short", "Ethnic_background_c", "Gender_c", "site_c", "AY_Name", "term_c",
+    "AT_Name", "GAS_Name", "start_date_c", "global_academic_semester_c", "current_as_c", "previous_as_c", "grade_c", "AT_Grade_c",
+    "college_track_status_c", "College_Track_Status_Name", "student_audit_status_c", "most_recent_valid_cumulative_gpa",
+    "Readiness_Composite_Off_c", "Readiness_10_th_Composite_c", "composite_readiness_most_recent_c",
+    "contact_official_test_prep_withdrawal", "indicator_years_since_hs_graduation_c", "filing_status_c", "loans_c",
+    "Overall_Rubric_Color", "advising_rubric_career_readiness_v_2_c", "academic_networking_50_cred_c",
+    "academic_networking_over_50_credits_c", "indicator_completed_ct_hs_program_c", "AT_school_type", "AT_Enrollment_Status_c",
+    "college_first_enrolled_school_type_c", "enrolled_in_any_college_c", "indicator_persisted_at_c", "e_fund_c",
+    "attended_workshops_c", "enrolled_sessions_c", "credit_accumulation_pace_c", "current_enrollment_status_c",
+    "co_vitality_scorecard_color_c",
+)
+
 
 @dataclass(frozen=True)
 class StudentParams:

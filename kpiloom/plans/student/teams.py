@@ -11,9 +11,10 @@ notes, tests) are reduced to term or student grain before they are joined.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.functions.indicators import flag, flag_or_null, like_any, ratio_at_most
@@ -27,14 +28,16 @@ from kpiloom.operators.periods import (as_of_switch, distinct_population, exact_
 from kpiloom.operators.rates import (average_support, count_cube, entity_rate, period_weights,
                                      shared_denominators, three_state_rate)
 from kpiloom.operators.surveys import distinct_entity_count, likert_agree, nps_flags, survey_completion
-from kpiloom.plans.job import KpiJob, Team
+from kpiloom.plans.incremental import MergeableAggregate
+from kpiloom.plans.job import KpiJob, Shared, Team
 from kpiloom.plans.student.params import (
     ACTIVE_HS, ACTIVE_PS, AFFORDABLE_FITS, AFFORDABLE_OR_SITUATIONAL, AGREE, AGREE_BILINGUAL,
     AGREE_WITH_MISSPELLING, ALUMNI_EXCLUDED_SITE, BACHELORS_SCHOOL, BEST_GOOD,
-    BEST_GOOD_SITUATIONAL, CC_WORKSHOPS, COHORT, COVI_RECORD_TYPE, DIMS, ENROLLED_ADMISSIONS,
+    BEST_GOOD_SITUATIONAL, CC_WORKSHOPS, COHORT, CONTACT_COLUMNS, COVI_RECORD_TYPE, DIMS, ENROLLED_ADMISSIONS,
     FP_EXCLUDED_SITES, FP_STATUSES, NEED_COLORS, NOT_READY_10TH, NPS_PASSIVES, NPS_PROMOTERS,
     OFF_PACE, PROGRAM_STATUSES, PS_GRADUATE, READY, RETAINED_STATUSES, STRONG_ADMISSIONS,
-    SUMMER_EXPERIENCE_RECORD_TYPE, TWO_YEAR_STARTS, StudentParams)
+    SUMMER_EXPERIENCE_RECORD_TYPE, TERM_COLUMNS, TWO_YEAR_STARTS, StudentParams)
+from kpiloom.sources.catalog import ParquetCatalog
 
 Source = Callable[[str], DataFrame]
 c_ = F.col
@@ -61,7 +64,7 @@ def contact_dims(src: Source) -> DataFrame:
     return src("contact_template").select(c_("contact_id"), *DIMS)
 
 
-def class_summary(src: Source) -> DataFrame:
+def class_aggregate() -> MergeableAggregate:
     """The session fact table reduced, in one pass, to what every consumer
     needs: one row per (student, term, global term, department, workshop
     and NSO flags, outcome, cancelled, deleted, month) with summed
@@ -69,18 +72,22 @@ def class_summary(src: Source) -> DataFrame:
 
     Each team's session filter is a predicate on these keys, and each of its
     sums is a sum of these partial sums, so the attendance rates, retention,
-    wellness sessions and open-record counts are exact on the summary.
+    wellness sessions and open-record counts are exact on the summary — and the
+    summary of old months need not be computed again.
     """
-    cls = src("class_template")
     num = c_("Attendance_Numerator_c")
-    return cls.groupBy(
-        "student_c", "Academic_Semester_c", "global_academic_semester_c", "department_c",
-        "Cancelled_c", like_any("workshop_display_name_c", CC_WORKSHOPS).alias("cc_workshop"),
-        c_("dosage_types_c").like("%NSO%").alias("nso"), "Outcome_c", "is_deleted",
-        F.trunc(c_("date_c"), "MM").alias("month_start"),
-    ).agg(F.sum(num).alias("num"), F.sum("Attendance_Denominator_c").alias("den"),
-          F.count("Class_Attendance_Id").alias("ids"),
-          F.sum(F.when(num > 0, num)).alias("pos_num"), F.sum(flag(num > 0)).alias("pos_rows"))
+    names = ("student_c", "Academic_Semester_c", "global_academic_semester_c", "department_c", "Cancelled_c")
+    return MergeableAggregate("class_summary", "class_template", keys={
+        **{n: c_(n) for n in names}, "cc_workshop": like_any("workshop_display_name_c", CC_WORKSHOPS),
+        "nso": c_("dosage_types_c").like("%NSO%"), "Outcome_c": c_("Outcome_c"), "is_deleted": c_("is_deleted"),
+        "month_start": F.trunc(c_("date_c"), "MM"),
+    }, sums={"num": num, "den": c_("Attendance_Denominator_c"), "ids": flag(c_("Class_Attendance_Id").isNotNull()),
+             "pos_num": F.when(num > 0, num), "pos_rows": flag(num > 0)})
+
+
+def class_summary(src: Source) -> DataFrame:
+    aggregate = class_aggregate()
+    return aggregate.partial(src(aggregate.source))
 
 
 DERIVED: dict[str, Callable[[Source], DataFrame]] = {"class_summary": class_summary}
@@ -568,14 +575,30 @@ def team_kpi_table(src: Source, p: StudentParams | None = None) -> DataFrame:
     return assemble(join_prep(src, p), [fn(src, p) for fn in TEAMS.values()], COHORT)
 
 
-def student_nightly_job(src: Source, p: StudentParams | None, sink: str) -> DataFrame:
-    """Nightly run: the session summary is materialised once (one pass over
-    the largest table), every team table is written to ``sink``, then
-    assembled; the open-records snapshot changes on the 5th."""
+def shared_stages(src: Source) -> dict[str, Shared]:
+    """What most teams read, once a run and kept by contact: the columns they use
+    of the contact and the term table, and the session summary (from the months
+    that changed, if the sessions are files that this catalog reads).  All are in
+    the same buckets, so joins per contact need no exchange."""
+    files = isinstance(src, ParquetCatalog) and "class_template" not in src.overrides
+    return {
+        "contact_template": Shared(lambda: src("contact_template").select(*CONTACT_COLUMNS), key="contact_id"),
+        "contact_at_template": Shared(lambda: src("contact_at_template").select(*TERM_COLUMNS), key="Contact_Id"),
+        "class_summary": (Shared(aggregate=class_aggregate(), root=src.path("class_template"), key="student_c") if files
+                          else Shared(lambda: class_summary(src), key="student_c")),
+    }
+
+
+def student_nightly_job(src: Source, p: StudentParams | None, sink: str, spark: SparkSession | None = None) -> DataFrame:
+    """Nightly run: each large table is read once into a shared stage, every
+    team table is written under ``sink``, then assembled and published; the
+    open-records snapshot changes on the 5th."""
     p = p or StudentParams()
-    teams = [Team(name, (lambda shared, fn=fn: fn(Derived(src, shared), p)),
-                  cadence="monthly" if name == "om_incomplete_attendance" else "nightly")
-             for name, fn in TEAMS.items()]
-    shared = {name: (lambda b=b: b(src)) for name, b in DERIVED.items()}
-    return KpiJob(spine=lambda shared: join_prep(src, p), teams=teams, cohort=COHORT,
-                    shared=shared).run(p.as_of, sink)
+
+    def monthly(shared, day):
+        return om_incomplete_attendance(Derived(src, shared), dataclasses.replace(p, as_of=day))
+
+    teams = [Team(name, build_on=monthly, cadence="monthly") if name == "om_incomplete_attendance"
+             else Team(name, (lambda shared, fn=fn: fn(Derived(src, shared), p))) for name, fn in TEAMS.items()]
+    return KpiJob(spine=lambda shared: join_prep(Derived(src, shared), p), teams=teams, cohort=COHORT,
+                  shared=shared_stages(src)).run(p.as_of, sink, spark)

@@ -28,6 +28,9 @@ class ParquetCatalog:
     suffix: str = ".parquet"
     _read: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
+    def path(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/{name}{self.suffix}"
+
     def table(self, name: str) -> DataFrame:
         """One relation per catalog: a new catalog lists the files anew."""
         if name in self.overrides:

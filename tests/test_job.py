@@ -1,6 +1,9 @@
 """Registry (K27) and nightly job (K28) behaviour, including sinks and cadence."""
 
+import datetime as dt
 import os
+import subprocess
+import sys
 import tempfile
 from concurrent.futures import ThreadPoolExecutor
 
@@ -9,6 +12,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.operators.cohort import CohortSpec
 from kpiloom.plans.job import KpiJob, Team
+from kpiloom.sources.published import Entry, Published, new_run
 from kpiloom.plans.registry import STATUSES, MetricRegistry, MetricSpec, TWIN_REGISTRY
 
 C = CohortSpec(("site", "eth", "gender"))
@@ -60,8 +64,10 @@ def test_job_writes_tables_and_reuses_monthly(spark):
     wide = p.run("2021-03-05", sink=sink)
     first = sorted(map(tuple, wide.collect()))         # run 2 overwrites these files
     assert len(first) == 2 and calls["monthly"] == 1
-    for name in ("join_prep", "t1", "om", "team_kpi_table", "_run/_shared_base", "_monthly/om/2021-03"):
-        assert os.path.isdir(os.path.join(sink, name))
+    published = Published(spark, sink)
+    assert set(published.paths()) == {"join_prep", "t1", "om", "team_kpi_table"}
+    assert os.path.isdir(published.folder(published.manifest()["run"]) + "/_shared_base")
+    assert published.snapshot("om", "2021-03") == published.paths()["om"]
     wide2 = p.run("2021-03-06", sink=sink)                 # not the 5th: snapshot reused
     assert calls["monthly"] == 1
     assert sorted(map(tuple, wide2.collect())) == first
@@ -92,7 +98,8 @@ def test_shared_stage_keeps_its_partitioning(spark):
                teams=[], cohort=C, shared={"facts": lambda: big})
     sink = tempfile.mkdtemp(prefix="kpiloom-sink-", dir="/tmp")
     p.run("2021-03-06", sink=sink)
-    files = [f for f in os.listdir(os.path.join(sink, "_run", "_shared_facts")) if f.endswith(".parquet")]
+    run = Published(spark, sink).manifest()["run"]
+    files = [f for f in os.listdir(os.path.join(sink, "runs", run, "_shared_facts")) if f.endswith(".parquet")]
     assert len(files) == 4                       # not coalesced to one file
 
 
@@ -139,11 +146,8 @@ def test_missed_monthly_day_is_caught_up_and_errors_are_not_hidden(spark):
     assert len(built) == 1
     job().run("2021-04-09", sink=sink)                   # the run on the 5th was missed
     assert len(built) == 2
-    broken = os.path.join(sink, "_monthly", "om", "2021-05")
-    os.makedirs(broken)
-    open(os.path.join(broken, "part-0.parquet"), "w").write("not parquet")
-    with pytest.raises(Exception):                       # not replaced by today's numbers
-        job().run("2021-05-06", sink=sink).collect()
+    assert [r["as_of"].isoformat() for r in Published(spark, sink).manifests().orderBy("committed").collect()] == [
+        "2021-03-20", "2021-04-04", "2021-04-09"]
 
 
 def test_failed_run_leaves_the_published_tables(spark):
@@ -153,7 +157,85 @@ def test_failed_run_leaves_the_published_tables(spark):
     spine = lambda sh: base.select(*C.dims).distinct()
     sink = tempfile.mkdtemp(prefix="kpiloom-sink-", dir="/tmp")
     KpiJob(spine=spine, teams=[good], cohort=C).run("2021-03-05", sink=sink)
-    before = sorted(os.listdir(os.path.join(sink, "t1")))
+    before = Published(spark, sink).paths()
     with pytest.raises(Exception):
         KpiJob(spine=spine, teams=[good, bad], cohort=C).run("2021-03-06", sink=sink)
-    assert sorted(os.listdir(os.path.join(sink, "t1"))) == before
+    assert Published(spark, sink).paths() == before
+    assert Published(spark, sink).table("t1").count() == 1
+
+
+KILLED = """
+import os, sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import functions as F
+from kpiloom.session import build_session
+from kpiloom.operators.cohort import CohortSpec
+from kpiloom.plans.job import KpiJob, Team
+spark = build_session(master="local[2]", shuffle_partitions=2, driver_memory="1g")
+C = CohortSpec(("site", "eth", "gender"))
+base = spark.createDataFrame([("X", "A", "M", 2)], "site string, eth string, gender string, v int")
+one = Team("t1", lambda sh: base.groupBy(*C.dims).agg(F.max("v").alias("n")))
+two = Team("t2", lambda sh: os._exit(9))
+KpiJob(spine=lambda sh: base.select(*C.dims).distinct(), teams=[one, two], cohort=C, parallel_teams=1).run("2021-03-06", sink={sink!r})
+"""
+
+
+def test_a_run_killed_between_two_tables_leaves_a_whole_old_set(spark):
+    base = spark.createDataFrame([("X", "A", "M", 1)], "site string, eth string, gender string, v int")
+    sink = tempfile.mkdtemp(prefix="kpiloom-sink-", dir="/tmp")
+    teams = [Team("t1", lambda sh: base.groupBy(*C.dims).agg(F.max("v").alias("n"))),
+             Team("t2", lambda sh: base.groupBy(*C.dims).agg(F.max("v").alias("m")))]
+    KpiJob(spine=lambda sh: base.select(*C.dims).distinct(), teams=teams, cohort=C).run("2021-03-05", sink=sink)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    died = subprocess.run([sys.executable, "-c", KILLED.format(root=root, sink=sink)], capture_output=True, timeout=300)
+    assert died.returncode == 9
+    runs = os.listdir(os.path.join(sink, "runs"))
+    assert len(runs) == 2                                # the killed run's table lies there ...
+    published = Published(spark, sink)
+    assert published.manifests().count() == 1            # ... and no reader finds it
+    assert [published.table(t).first()[-1] for t in ("t1", "t2")] == [1, 1]
+    KpiJob(spine=lambda sh: base.select(*C.dims).distinct(), teams=teams, cohort=C).run("2021-03-06", sink=sink)
+    assert published.manifests().count() == 2
+
+
+def test_half_written_snapshot_and_manifest_are_not_read(spark):
+    base = spark.createDataFrame([("X", "A", "M", 1)], "site string, eth string, gender string, v int")
+    built = []
+
+    def monthly(sh, day):
+        built.append(day.isoformat())
+        return base.groupBy(*C.dims).agg(F.sum("v").cast("bigint").alias("om_records"))
+
+    sink = tempfile.mkdtemp(prefix="kpiloom-sink-", dir="/tmp")
+    os.makedirs(os.path.join(sink, "runs", "20210305-dead", "om", "_temporary"))
+    os.makedirs(os.path.join(sink, "manifests", "20210305-dead", "_temporary", "0"))
+    with open(os.path.join(sink, "manifests", "20210305-dead", "_temporary", "0", "part-0.json"), "w") as half:
+        half.write('{"run":"20210305-dead","as_of":"2021-03-05","committed":9999999999999999999')
+    job = KpiJob(spine=lambda sh: base.select(*C.dims).distinct(), cohort=C, teams=[Team("om", cadence="monthly", build_on=monthly)])
+    job.run("2021-04-02", sink=sink)
+    assert built == ["2021-03-05"]                       # March's numbers, though built in April
+    job.run("2021-04-03", sink=sink)
+    job.run("2021-04-08", sink=sink)
+    assert built == ["2021-03-05", "2021-04-05"]
+
+
+def test_old_runs_stay_readable_and_runs_do_not_meet(spark):
+    sink = tempfile.mkdtemp(prefix="kpiloom-sink-", dir="/tmp")
+    published = Published(spark, sink)
+    with pytest.raises(LookupError):
+        published.table("t")
+    names = []
+    for n, day in enumerate((dt.date(2021, 3, 5), dt.date(2021, 3, 6), dt.date(2021, 3, 6))):
+        run = new_run(day)
+        spark.range(n + 1).write.parquet(f"{published.folder(run)}/t")
+        names.append(run)
+    for run, day in zip(names, (dt.date(2021, 3, 5), dt.date(2021, 3, 6), dt.date(2021, 3, 6))):
+        published.commit(run, day, {"t": Entry(f"{published.folder(run)}/t")})
+    assert len(set(names)) == 3
+    assert published.table("t").count() == 3
+    assert published.table("t", run=names[1]).count() == 2
+    assert published.table("t", as_of=dt.date(2021, 3, 5)).count() == 1
+    with pytest.raises(LookupError):
+        published.table("other")
+    with pytest.raises(Exception):
+        published.commit(names[0], dt.date(2021, 3, 5), {})      # a run is committed once

@@ -213,7 +213,11 @@ def test_team_kpi_table_and_nightly_job(spark, tables):
     written = student_nightly_job(src, StudentParams(), sink=sink)
     assert sorted(map(str, written.collect())) == sorted(map(str, wide.select(*written.columns).collect()))
     import os
-    assert os.path.isdir(os.path.join(sink, "_run", "_shared_class_summary"))   # one pass over the sessions
+    from kpiloom.sources.published import Published
+    published = Published(spark, sink)
+    shared = published.folder(published.manifest()["run"])
+    for name in ("class_summary", "contact_template", "contact_at_template"):       # one pass over each
+        assert os.path.isdir(os.path.join(shared, f"_shared_{name}"))
 
 
 def test_dashboard_rollup_sums_before_dividing(tables):
@@ -233,7 +237,8 @@ def test_nightly_cli_on_parquet_warehouse(spark, tables):
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{root}/{name}")
     sink = main(["--root", root, "--sink", f"{root}/_out", "--as-of", "2021-03-05"], spark=spark)
-    wide = spark.read.parquet(f"{sink}/team_kpi_table")
+    from kpiloom.sources.published import Published
+    wide = Published(spark, sink).table("team_kpi_table")
     assert wide.count() == 5
     row = {tuple(r[k] for k in KEY): r for r in wide.collect()}[W8]
     assert row["aa_composite_ready"] == 1 and row["wellness_avg_support"] == pytest.approx(4 / 3)
