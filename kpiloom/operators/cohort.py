@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -159,20 +160,39 @@ def _assemble_union(spine_df: DataFrame, tables: Sequence[DataFrame], keys: list
     return spine_df.join(merged, keys, "left")
 
 
+def reconcile(spine_df: DataFrame, tables: Mapping[str, DataFrame], cohort: CohortSpec) -> DataFrame:
+    """What ``assemble`` under plain ``=`` takes of each table: its cells, those
+    that match a cell of the spine, and why the others are lost (a NULL in the
+    key, or no such cell).  One pass over all tables, one join with the spine."""
+    keys = list(cohort.dims)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    cells = reduce(DataFrame.unionByName, [t.select(*keys, F.lit(n).alias("table_name")) for n, t in tables.items()])
+    there = spine_df.select(*keys).distinct().withColumn("__there", F.lit(True))
+    joined = cells.join(there, keys, "left")
+    return joined.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("cells"), sum_long(flag(~known)).alias("null_key_cells"),
+        sum_long(flag(F.col("__there"))).alias("matched_cells"), sum_long(flag(known & F.col("__there").isNull())).alias("absent_cells"))
+
+
 def ratio_rollup(df: DataFrame, metrics: Mapping[str, tuple[str, str]],
                  levels: Sequence[str], top_label: str = "National",
-                 level_names: Sequence[str] | None = None) -> DataFrame:
+                 level_names: Sequence[str] | None = None,
+                 carry: Mapping[str, str] | None = None) -> DataFrame:
     """Σnum/Σden at every level of the hierarchy, never an average of ratios.
 
     ``levels`` is coarse-to-fine (e.g. ``["r_name", "n_name"]``).  Output has a
     ``level`` column (``top_label`` or the level's name), the level columns
     (NULL above their own level), and for each metric ``<m>_num``,
     ``<m>_den`` and ``<m>_ratio``.  One shuffle (``Expand`` + hash aggregate).
+    ``carry`` maps an attribute to the level it belongs to: its greatest value
+    there, NULL on the levels above.
     """
     names = list(level_names or levels)
     aggs = []
     for m, (num, den) in metrics.items():
         aggs += [sum_long(num).alias(f"{m}_num"), sum_long(den).alias(f"{m}_den")]
+    for c, l in (carry or {}).items():
+        aggs.append(F.when(F.grouping(l) == 0, F.max(c)).alias(c))
     grouped = df.rollup(*levels).agg(*aggs, *[F.grouping(l).alias(f"__g_{l}") for l in levels])
     level = F.lit(top_label)
     for l, n in zip(levels, names):

@@ -79,6 +79,8 @@ class KpiJob:
     shared: Mapping[str, Shared | Callable[[], DataFrame]] = field(default_factory=dict)
     spine_name: str = "join_prep"
     wide_name: str = "team_kpi_table"
+    # Tables made of the written wide table (e.g. its roll-up), published with it.
+    after: Mapping[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)
     out_partitions: int | None = None  # None: AQE sizes the (small) cohort-grain outputs
     check_unique: bool = True        # assert each written table is unique on the cell
     # Team tables are independent Spark jobs: up to this many are
@@ -140,6 +142,8 @@ class KpiJob:
         wide = self._written(assemble(spine_df, [df for df, _ in built], self.cohort, check_unique=self.check_unique),
                              folder, self.wide_name, out)
         tables[self.wide_name] = Entry(f"{folder}/{self.wide_name}")
+        for name, build in self.after.items():
+            tables[name] = Entry(write_table(build(wide), folder, name, out))
         published.commit(run, day, tables)
         for stage in shared.values():
             forget(stage)

@@ -42,6 +42,8 @@ class MetricSpec:
     denominator: str | None = None  # None: a count with no ratio
     shared_denominator: bool = False
     description: str = ""
+    published: bool = False         # the name is given: the naming rules do not apply
+    grain: str = "cell"             # "site": the denominator stands in every cell of its site
 
     @property
     def percent(self) -> str:
@@ -71,9 +73,9 @@ class MetricRegistry:
                 out.append(f"{s.id}: id is not <area>_<objective>_<kpi>")
             if s.status not in STATUSES:
                 out.append(f"{s.id}: unknown status {s.status!r}")
-            if not s.numerator.lower().startswith(s.area.lower() + "_"):
+            if not s.published and not s.numerator.lower().startswith(s.area.lower() + "_"):
                 out.append(f"{s.id}: numerator {s.numerator} lacks area prefix {s.area}_")
-            if (s.denominator and not s.shared_denominator
+            if (s.denominator and not s.shared_denominator and not s.published
                     and not s.denominator.lower().endswith(DENOM_SUFFIX)):
                 out.append(f"{s.id}: own denominator {s.denominator} must end in {DENOM_SUFFIX}")
             if cols is not None:
@@ -88,6 +90,34 @@ class MetricRegistry:
             raise ValueError("metric registry check failed:\n" + "\n".join(found))
         return found
 
+    def validate_complete(self, df: DataFrame, keys: Iterable[str] = (), strict: bool = True) -> list[str]:
+        """Each column of the table has one spec as a numerator, or is some
+        spec's denominator or a key; and each has a source: traced through the
+        analysed plan, it comes from columns (or rows) of the tables read.  Only
+        the schema and the plan are read."""
+        from kpiloom.plans.lineage import sources_of
+
+        specs: dict[str, int] = {}
+        for s in self.specs:
+            specs[s.numerator.lower()] = specs.get(s.numerator.lower(), 0) + 1
+        dens = {s.denominator.lower() for s in self.specs if s.denominator}
+        skip = {k.lower() for k in keys}
+        found = [f"{s.id}: column {c} missing from the table" for s in self.specs for c in (s.numerator, s.denominator)
+                 if c and c.lower() not in {x.lower() for x in df.columns}]
+        traced = sources_of(df)
+        for c in df.columns:
+            if c.lower() in skip:
+                continue
+            if specs.get(c.lower(), 0) > 1:
+                found.append(f"{c}: {specs[c.lower()]} specs")
+            if c.lower() not in specs and c.lower() not in dens:
+                found.append(f"{c}: no spec")
+            if not traced.get(c):
+                found.append(f"{c}: no source")
+        if found and strict:
+            raise ValueError("metric registry check failed:\n" + "\n".join(found))
+        return found
+
     def add_percent_columns(self, df: DataFrame, digits: int = 6) -> DataFrame:
         """``<numerator>_percent`` = numerator / denominator (NULL on 0)."""
         return df.withColumns({
@@ -98,7 +128,7 @@ class MetricRegistry:
         rows = [asdict(s) for s in self.specs]
         return spark.createDataFrame(rows, schema=(
             "id string, owner string, status string, area string, numerator string, "
-            "denominator string, shared_denominator boolean, description string"))
+            "denominator string, shared_denominator boolean, description string, published boolean, grain string"))
 
 
 TWIN_REGISTRY = MetricRegistry([

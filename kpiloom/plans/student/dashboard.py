@@ -6,36 +6,35 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from kpiloom.operators.cohort import ratio_rollup
-
-# The numerator/denominator pairs the reference publishes as
-# such (a `_denom`/denominator column next to its numerator).  KPIs whose
-# denominator is chosen in the dashboard from join_prep are not paired here.
-RATIOS = {
-    "cc_hs_EFC_10th": ("cc_hs_EFC_10th_num", "cc_hs_EFC_10th_denom"),
-    "cc_hs_aspirations": ("cc_hs_aspirations_num", "cc_hs_aspirations_denom"),
-    "cc_ps_projected_grad": ("cc_ps_projected_grad_num", "cc_ps_projected_grad_denom"),
-    "cc_ps_2_yr_transfer": ("cc_ps_2_yr_transfer_num", "cc_ps_2_yr_transfer_denom"),
-    "cc_ps_grad_internship": ("cc_ps_grad_internship_num", "cc_ps_grad_internship_denom"),
-    "cc_ps_persist": ("cc_ps_persist_num", "cc_persist_denom"),
-    "cc_ps_meaningful": ("cc_ps_meaningful_num", "cc_ps_meaningful_gainful_denom"),
-    "cc_ps_gainful": ("cc_ps_gainful_num", "cc_ps_meaningful_gainful_denom"),
-    "cc_ps_employed_grad_6_months": ("cc_ps_employed_grad_6_months_num", "cc_ps_employed_grad_6_months_denom"),
-    "ps_survey_scholarship": ("ps_survey_scholarship_num", "ps_survey_scholarship_denom"),
-    "fp_enrolled_best_fit": ("fp_enrolled_best_fit_numerator", "fp_accepted_best_fit_denom"),
-    "retention": ("retention_num", "retention_denom"),
-    "SD_on_track": ("SD_on_track", "SD_on_track_student_count"),
-    "SD_covi": ("SD_covi_student_grew", "SD_covi_denominator"),
-    "SL_covi_belief": ("SL_covi_belief_student_grew", "SL_covi_belief_denominator"),
-    "wellness_services_assisted": ("wellness_survey_wellness_services_assisted_num",
-                                   "wellness_survey_wellness_services_assisted_denom"),
-    "hs_survey_completion": ("hs_survey_completion_count", "hs_survey_completion_denominator"),
+from kpiloom.operators.cohort import ratio_rollup, sum_long
+from kpiloom.plans.student.kpis import KPIS, SITE_GRAIN
+
+# Names of ratios that differ from their numerator's.
+_NAMES = {
+    "cc_hs_EFC_10th_num": "cc_hs_EFC_10th", "cc_hs_aspirations_num": "cc_hs_aspirations", "cc_ps_projected_grad_num": "cc_ps_projected_grad",
+    "cc_ps_2_yr_transfer_num": "cc_ps_2_yr_transfer", "cc_ps_grad_internship_num": "cc_ps_grad_internship",
+    "cc_ps_persist_num": "cc_ps_persist", "cc_ps_meaningful_num": "cc_ps_meaningful", "cc_ps_gainful_num": "cc_ps_gainful",
+    "cc_ps_employed_grad_6_months_num": "cc_ps_employed_grad_6_months", "ps_survey_scholarship_num": "ps_survey_scholarship",
+    "fp_enrolled_best_fit_numerator": "fp_enrolled_best_fit", "retention_num": "retention", "SD_covi_student_grew": "SD_covi",
+    "SL_covi_belief_student_grew": "SL_covi_belief", "hs_survey_completion_count": "hs_survey_completion",
+    "wellness_survey_wellness_services_assisted_num": "wellness_services_assisted",
 }
+#: Every published ratio, with its own or the shared denominator of its spec.
+RATIOS = {_NAMES.get(s.numerator, s.numerator): (s.numerator, s.denominator) for s in KPIS.specs if s.denominator}
 
 
 def dashboard_rollup(wide: DataFrame, ratios: Mapping[str, tuple[str, str]] = RATIOS) -> DataFrame:
     """One row per national / region / site with ``<kpi>_num``, ``<kpi>_den``
-    and ``<kpi>_ratio``; one shuffle whatever the number of KPIs."""
-    return ratio_rollup(wide, ratios, levels=["region_abrev", "site_short"],
-                        level_names=["region", "site"])
+    and ``<kpi>_ratio``, and the sites' ``site_sort``.
+
+    Cells are summed to sites first; a denominator that is an attribute of the
+    site stands in each of its cells and is taken once.  The roll-up then reads
+    one row per site."""
+    columns = sorted({c for pair in ratios.values() for c in pair})
+    sites = wide.groupBy("region_abrev", "site_short", "site_sort").agg(
+        *[F.max(c).alias(c) if c in SITE_GRAIN else sum_long(c).alias(c) for c in columns])
+    levels = ["region_abrev", "site_short"]
+    out = ratio_rollup(sites, ratios, levels=levels, level_names=["region", "site"], carry={"site_sort": "site_short"})
+    return out

@@ -30,6 +30,7 @@ from kpiloom.operators.rates import (average_support, count_cube, entity_rate, p
 from kpiloom.operators.surveys import distinct_entity_count, likert_agree, nps_flags, survey_completion
 from kpiloom.plans.incremental import MergeableAggregate
 from kpiloom.plans.job import KpiJob, Shared, Team
+from kpiloom.plans.student.dashboard import dashboard_rollup
 from kpiloom.plans.student.params import (
     ACTIVE_HS, ACTIVE_PS, AFFORDABLE_FITS, AFFORDABLE_OR_SITUATIONAL, AGREE, AGREE_BILINGUAL,
     AGREE_WITH_MISSPELLING, ALUMNI_EXCLUDED_SITE, BACHELORS_SCHOOL, BEST_GOOD,
@@ -601,4 +602,4 @@ def student_nightly_job(src: Source, p: StudentParams | None, sink: str, spark:
     teams = [Team(name, build_on=monthly, cadence="monthly") if name == "om_incomplete_attendance"
              else Team(name, (lambda shared, fn=fn: fn(Derived(src, shared), p))) for name, fn in TEAMS.items()]
     return KpiJob(spine=lambda shared: join_prep(Derived(src, shared), p), teams=teams, cohort=COHORT,
-                  shared=shared_stages(src)).run(p.as_of, sink, spark)
+                  shared=shared_stages(src), after={"dashboard": dashboard_rollup}).run(p.as_of, sink, spark)

@@ -7,11 +7,11 @@ import pytest
 import __spark_entry__ as E
 from kpiloom.plans.commerce import QUERIES as COMMERCE
 from kpiloom.plans.commerce_sql import SQL as COMMERCE_SQL
-from kpiloom.plans.student import twin
+from kpiloom.plans.student import twin, twin_full
 from tests.conftest import SF01
 
-QUERIES = {**COMMERCE, **twin.QUERIES}
-SQL = {**COMMERCE_SQL, **twin.SQL}
+QUERIES = {**COMMERCE, **twin.QUERIES, **twin_full.QUERIES}
+SQL = {**COMMERCE_SQL, **twin.SQL, **twin_full.SQL}
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
