@@ -80,20 +80,15 @@ WHERE (t.o_orderpriority IN ('1-URGENT', '2-HIGH')
   AND t.o_orderstatus != 'P'
 GROUP BY c.n_name, c.c_mktsegment, c.band"""
 
-SQL["shared_denominators"] = with_(CONTACTS, TERMS, """cube AS (
-  SELECT c.n_name, c.c_mktsegment, c.band, t.o_orderstatus, t.o_orderpriority,
-         COUNT(t.at_id) AS n
-  FROM terms t JOIN contacts c ON c.contact_id = t.contact_id
-  WHERE t.yr = 1998
-  GROUP BY c.n_name, c.c_mktsegment, c.band, t.o_orderstatus, t.o_orderpriority)""") + f"""
-SELECT {KEYS},
-  CAST(SUM(IF(TRUE, n, NULL)) AS BIGINT) AS sd_order_count,
-  CAST(SUM(IF(o_orderstatus = 'F', n, NULL)) AS BIGINT) AS sd_finished,
-  CAST(SUM(IF(o_orderstatus = 'O', n, NULL)) AS BIGINT) AS sd_open,
-  CAST(SUM(IF(o_orderstatus = 'P' AND o_orderpriority = '1-URGENT', n, NULL)) AS BIGINT)
-    AS sd_pending_urgent,
-  CAST(SUM(IF(o_orderpriority IN ('1-URGENT', '2-HIGH'), n, NULL)) AS BIGINT) AS sd_urgent_high
-FROM cube
+# a count is NULL, not 0, in a cell where no order qualifies
+SQL["shared_denominators"] = with_(CONTACTS) + f"""
+SELECT {KEYS}, COUNT(*)::BIGINT AS sd_order_count,
+  NULLIF(COUNT(*) FILTER (WHERE o_orderstatus = 'F'), 0)::BIGINT AS sd_finished,
+  NULLIF(COUNT(*) FILTER (WHERE o_orderstatus = 'O'), 0)::BIGINT AS sd_open,
+  NULLIF(COUNT(*) FILTER (WHERE (o_orderstatus, o_orderpriority) = ('P', '1-URGENT')), 0)::BIGINT AS sd_pending_urgent,
+  NULLIF(COUNT(*) FILTER (WHERE o_orderpriority < '3'), 0)::BIGINT AS sd_urgent_high
+FROM orders JOIN contacts ON contact_id = o_custkey
+WHERE o_orderdate >= DATE '1998-01-01' AND o_orderdate < DATE '1999-01-01'
 GROUP BY {KEYS}"""
 
 SQL["survey_completion_join"] = with_(CONTACTS) + f"""
@@ -107,43 +102,33 @@ LEFT JOIN (SELECT {KEYS}, COUNT(DISTINCT user_id) AS people, COUNT(*) FILTER (WH
            FROM events JOIN contacts ON contact_id = user_id GROUP BY ALL) s ON {on_keys('s', 'c')}
 GROUP BY c.r_name, c.n_name, c.c_mktsegment, c.band"""
 
-_RATE_OUT = """CAST(COUNT(k.rate) AS BIGINT) AS {p}_rated,
-  CAST(SUM(k.above) AS BIGINT) AS {p}_above,
-  CAST(SUM(CASE WHEN k.rate >= 0.7 THEN 1 ELSE 0 END) AS BIGINT) AS {p}_above_all"""
-_RATE = """CASE WHEN SUM(l_quantity) = 0 THEN NULL
-       ELSE SUM(CASE WHEN l_returnflag != 'R' THEN l_quantity ELSE 0 END) / SUM(l_quantity) END"""
 
 
-def _rate_sql(prep_body: str, p: str) -> str:
-    return with_(CONTACTS, TERMS, f"prep AS ({prep_body})", """kpi AS (
-  SELECT contact_id, rate, CASE WHEN rate >= 0.7 THEN 1 ELSE 0 END AS above FROM prep)""") + f"""
-SELECT c.n_name, c.c_mktsegment, c.band, {_RATE_OUT.format(p=p)}
-FROM contacts c LEFT JOIN kpi k ON k.contact_id = c.contact_id
-GROUP BY c.n_name, c.c_mktsegment, c.band"""
+def _rate_sql(p: str, weight: str = "1", where: str = "true", tables: str = "lineitem JOIN orders ON o_orderkey = l_orderkey") -> str:
+    """Share of a customer's quantity that was not returned, each line counted
+    ``weight`` times: customers with a rate, and those at 0.7 or more."""
+    return with_(CONTACTS, f"""quantities AS (
+  SELECT o_custkey AS who, SUM(l_quantity * {weight}) AS bought,
+         SUM(l_quantity * {weight}) FILTER (WHERE l_returnflag IN ('A', 'N')) AS kept
+  FROM {tables} WHERE {where} GROUP BY who)""", """rates AS (
+  SELECT who, COALESCE(kept, 0) / bought AS rate FROM quantities WHERE bought <> 0
+  UNION ALL SELECT who, NULL FROM quantities WHERE bought = 0 OR bought IS NULL)""") + f"""
+SELECT {KEYS}, COUNT(rate)::BIGINT AS {p}_rated,
+  CASE WHEN COUNT(who) > 0 THEN COUNT(*) FILTER (WHERE rate >= 0.7) END::BIGINT AS {p}_above,
+  COUNT(*) FILTER (WHERE rate >= 0.7)::BIGINT AS {p}_above_all
+FROM contacts LEFT JOIN rates ON who = contact_id
+GROUP BY {KEYS}"""
 
 
-SQL["ratio_rate_threshold"] = _rate_sql(f"""
-  SELECT t.contact_id, {_RATE} AS rate
-  FROM lineitem l JOIN terms t ON t.at_id = l.l_orderkey
-  GROUP BY t.contact_id""", "rr")
-
-# the literal term join: every line meets every URGENT order of its quarter
-SQL["ratio_rate_threshold_term"] = _rate_sql(f"""
-  SELECT f.contact_id, {_RATE} AS rate
-  FROM (SELECT l.l_quantity, l.l_returnflag, t.contact_id, t.gterm
-        FROM lineitem l JOIN terms t ON t.at_id = l.l_orderkey) f
-  LEFT JOIN terms cat ON cat.gterm = f.gterm
-  WHERE cat.o_orderpriority = '1-URGENT'
-  GROUP BY f.contact_id""", "rt")
-
-SQL["pattern_filtered_rate"] = _rate_sql(f"""
-  SELECT t.contact_id, {_RATE} AS rate
-  FROM lineitem l
-  LEFT JOIN part p ON p.p_partkey = l.l_partkey
-  LEFT JOIN terms t ON t.at_id = l.l_orderkey
-  WHERE (p.p_name LIKE '%widget%' OR p.p_name LIKE '%gizmo%')
-    AND p.p_name NOT LIKE '%red%'
-  GROUP BY t.contact_id""", "pf")
+SQL["ratio_rate_threshold"] = _rate_sql("rr")
+
+# a line counts once for every URGENT order of its quarter, and not at all without one
+SQL["ratio_rate_threshold_term"] = _rate_sql("rt", "urgent", tables="""lineitem JOIN orders ON o_orderkey = l_orderkey
+  JOIN (SELECT date_trunc('quarter', o_orderdate) AS q, COUNT(*) AS urgent FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY q)
+    ON q = date_trunc('quarter', o_orderdate)""")
+
+SQL["pattern_filtered_rate"] = _rate_sql("pf", where="""l_partkey IN (
+    SELECT p_partkey FROM part WHERE regexp_matches(p_name, 'widget|gizmo') AND NOT contains(p_name, 'red'))""")
 
 SQL["three_state_rate"] = with_(CONTACTS, TERMS, """att AS (
   SELECT t.contact_id,
@@ -169,26 +154,16 @@ JOIN contacts c ON c.contact_id = t.contact_id
 GROUP BY c.n_name, c.c_mktsegment, c.band"""
 
 
-def _lookup(name: str, where: str) -> str:
-    return (f"(SELECT o_custkey FROM orders WHERE {where} AND o_custkey = c.contact_id "
-            f"GROUP BY o_custkey) AS {name}")
-
-
-SQL["existence_flags"] = with_(CONTACTS, f"""g AS (
-  SELECT c.contact_id, c.n_name, c.c_mktsegment, c.band,
-    {_lookup('urgent_1998', "o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1998")},
-    {_lookup('finished_high', "o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'")},
-    {_lookup('pending_low', "o_orderstatus = 'P' AND o_orderpriority = '5-LOW'")},
-    {_lookup('open_2001', "o_orderstatus = 'O' AND year(o_orderdate) = 2001")}
-  FROM contacts c)""") + f"""
-SELECT {KEYS},
-  CAST(SUM(CASE WHEN urgent_1998 IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS ef_urgent_1998,
-  CAST(SUM(CASE WHEN finished_high IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS ef_finished_high,
-  CAST(SUM(CASE WHEN pending_low IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS ef_pending_low,
-  CAST(SUM(CASE WHEN open_2001 IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS ef_open_2001,
-  CAST(SUM(CASE WHEN urgent_1998 IS NOT NULL OR pending_low IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT)
-    AS ef_urgent_or_pending_low
-FROM g GROUP BY {KEYS}"""
+_EXISTS = {
+    "ef_urgent_1998": "o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1998",
+    "ef_finished_high": "o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'",
+    "ef_pending_low": "o_orderstatus = 'P' AND o_orderpriority = '5-LOW'",
+    "ef_open_2001": "o_orderstatus = 'O' AND year(o_orderdate) = 2001",
+}
+_EXISTS["ef_urgent_or_pending_low"] = f"{_EXISTS['ef_urgent_1998']} OR {_EXISTS['ef_pending_low']}"
+SQL["existence_flags"] = with_(CONTACTS) + f"""
+SELECT {KEYS}, {', '.join(f'COUNT(*) FILTER (WHERE contact_id IN (SELECT o_custkey FROM orders WHERE {p}))::BIGINT AS {n}' for n, p in _EXISTS.items())}
+FROM contacts GROUP BY {KEYS}"""
 
 SQL["child_count_threshold"] = with_(CONTACTS, """per AS (
   SELECT c.contact_id, c.n_name, c.c_mktsegment, c.band,
@@ -275,21 +250,17 @@ SELECT {KEYS}, CAST(COUNT(contact_id) AS BIGINT) AS ep_two_periods
 FROM rg WHERE n = 2 GROUP BY {KEYS}"""
 
 
-def _switch_sql(as_of: str, current: int, previous: int, cutoff: str = "1998-07-01") -> str:
-    return with_(CONTACTS, TERMS, f"""sw AS (
-  SELECT t.*, (t.gterm = {current}) AS current_as_c, (t.gterm = {previous}) AS previous_as_c
-  FROM terms t)""") + f"""
-SELECT c.n_name, c.c_mktsegment, c.band,
-  CAST(COUNT(*) AS BIGINT) AS sw_rows,
-  CAST(SUM(CASE WHEN a.o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS sw_finished
-FROM sw a JOIN contacts c ON c.contact_id = a.contact_id
-WHERE (DATE '{as_of}' < DATE '{cutoff}' AND a.current_as_c = true)
-   OR (DATE '{as_of}' > DATE '{cutoff}' AND a.previous_as_c = true)
-GROUP BY c.n_name, c.c_mktsegment, c.band"""
+def _switch_sql(first: str, next_: str) -> str:
+    """Orders of the quarter that counts on the day: before the cut-off the
+    day's own, after it the one before (the bounds are chosen here)."""
+    return with_(CONTACTS) + f"""
+SELECT {KEYS}, COUNT(*)::BIGINT AS sw_rows, COUNT(*) FILTER (WHERE o_orderstatus = 'F')::BIGINT AS sw_finished
+FROM orders JOIN contacts ON contact_id = o_custkey
+WHERE o_orderdate >= DATE '{first}' AND o_orderdate < DATE '{next_}' GROUP BY {KEYS}"""
 
 
-SQL["as_of_period_switch"] = _switch_sql("1998-03-05", 19981, 19974)
-SQL["as_of_period_switch_after"] = _switch_sql("1998-09-05", 19983, 19982)
+SQL["as_of_period_switch"] = _switch_sql("1998-01-01", "1998-04-01")        # on 1998-03-05: this quarter
+SQL["as_of_period_switch_after"] = _switch_sql("1998-04-01", "1998-07-01")  # on 1998-09-05: the quarter before
 
 
 def _open_sql(cond: str) -> str:
