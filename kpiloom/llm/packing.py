@@ -25,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import Recent, stored
+from kpiloom.llm.common import stored
 
-MAX_WORDS = 250_000
+#: Words that a worker remembers, the longest of them, and how many characters
+#: of text and new words are taken up at once.
+MAX_WORDS, LONGEST, TEXT_AT_ONCE, WORDS_AT_ONCE = 500_000, 64, 1 << 20, 8192
 
 
 class WordTokenizer:
@@ -50,25 +52,47 @@ class WordTokenizer:
         self.literals = [t.content.lower() for t in self.default.get_added_tokens_decoder().values()] if added else []
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words = Recent(self._word, MAX_WORDS)
-
-    def _word(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        self.words: dict[bytes, bytes] = {}
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Ids of new words, many in one call."""
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            some = words[at:at + WORDS_AT_ONCE]
+            made = self.tokenizer.encode([w.decode() for w in some], is_pretokenized=True, add_special_tokens=False)
+            data = np.array(made.ids, "<u4").tobytes()
+            ends = 4 * np.searchsorted(np.array(made.word_ids, np.int64), np.arange(len(some) + 1))
+            self.words.update(zip(some, [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], strict=True))
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.default.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        cut: list[list[bytes] | None] = []
+        for text in texts:
+            lower = text.lower()
+            if any(literal in lower for literal in self.literals):
+                cut.append(None)
+                continue
+            try:
+                text.encode("latin-1")
+                text = lower
+            except UnicodeEncodeError:
+                pass
+            cut.append(text.encode().split())           # at the six ASCII white-space characters
+        if len(self.words) > MAX_WORDS:
+            self.words.clear()
+        new = [w for w in set().union(*[c for c in cut if c]) if w not in self.words]
+        if new:
+            self._learn(new)
+        out = [self._whole(t) if c is None else b"".join(map(self.words.__getitem__, c)) for t, c in zip(texts, cut, strict=True)]
+        for word in new:
+            if len(word) > LONGEST:
+                del self.words[word]
+        return out
 
     def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        lower = text.lower()
-        if any(literal in lower for literal in self.literals):
-            ids = self.default.encode(text, add_special_tokens=False).ids
-            return b"".join(i.to_bytes(4, "little") for i in ids)
-        try:
-            text.encode("latin-1")
-            text = lower
-        except UnicodeEncodeError:
-            pass
-        # bytes.split() cuts at the six ASCII white-space characters
-        return b"".join(map(self.words.__getitem__, text.encode().split()))
+        return self.many([text])[0]
 
 
 @lru_cache(maxsize=2)
@@ -229,6 +253,34 @@ def place_table(sequences: list[tuple[tuple[int, ...], int]]) -> pd.DataFrame:
         ["length", "first_rank"], ignore_index=True)
 
 
+class WordIds:
+    """Ids of a text (or of many at once) by the tokenizer file at ``path``."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def __call__(self, text: str) -> bytes:
+        return tokenizer(self.path).ids(text)
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        return tokenizer(self.path).many(texts)
+
+
+def _ids_of_all(ids_of: Callable[[str], bytes], texts: list[str]):
+    """Ids of each text, many texts at a time if ``ids_of`` can."""
+    if not hasattr(ids_of, "many"):
+        yield from map(ids_of, texts)
+        return
+    some, size = [], 0
+    for text in texts:
+        if some and size + len(text) > TEXT_AT_ONCE:
+            yield from ids_of.many(some)
+            some, size = [], 0
+        some.append(text)
+        size += len(text)
+    yield from ids_of.many(some)
+
+
 def pieces(docs: DataFrame, ids_of: Callable[[str], bytes], size: int, end_id: int = 0,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Token pieces: a document's ids and ``end_id``, cut into runs of ``size``.
@@ -246,8 +298,9 @@ def pieces(docs: DataFrame, ids_of: Callable[[str], bytes], size: int, end_id: i
         task, seen = TaskContext.get().partitionId(), [0] * (size + 1)
         for b in batches:
             rows, source = [], []
-            for i, text in enumerate(b.column("text").to_pylist()):
-                data = ids_of(text or "") + end
+            texts = [text or "" for text in b.column("text").to_pylist()]
+            for i, data in enumerate(_ids_of_all(ids_of, texts)):
+                data += end
                 for k in range(0, len(data), 4 * size):
                     part = data[k:k + 4 * size]
                     n = len(part) // 4

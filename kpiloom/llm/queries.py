@@ -78,7 +78,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_ids(path: str) -> Callable[[str], bytes]:
-    return lambda text: packing.tokenizer(path).ids(text)
+    return packing.WordIds(path)
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
