@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from kpiloom.llm.common import Recent
 
 #: Bounds of the per-worker memory: beyond them states start anew and words not met of late are forgotten.
-MAX_STATES, MAX_WORDS, MAX_FITS = 200_000, 250_000, 1_000_000
+MAX_STATES, MAX_WORDS, MAX_PARTS, MAX_FITS = 200_000, 100_000, 400_000, 1_000_000
 _NONE: tuple[int, ...] = ()
 
 
@@ -200,16 +201,20 @@ class Encoder:
         self.split = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}")
                                    .replace(r"\S", r"\P{White_Space}"))
         self.pieces = Recent(self._piece, MAX_WORDS)
-        self.parts = Recent(self._part, MAX_WORDS)
+        self.parts = Recent(self._part, MAX_PARTS)
         self.data = [b""] * (max(self.transducer.ranks.values()) + 1)
         for data, rank in self.transducer.ranks.items():
             self.data[rank] = data
 
     def _piece(self, piece: str) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in self.transducer.encode_piece(piece.encode()))
+        ids = self.transducer.encode_piece(piece.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _part(self, part: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.split.findall(part)))
+        found = self.split.findall(part)
+        if len(found) == 1:                             # the part itself is looked up, that is enough
+            return self._piece(found[0])
+        return b"".join(map(self.pieces.__getitem__, found))
 
     def encode(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""
