@@ -90,11 +90,16 @@ def _check_disjoint(frames: Sequence[DataFrame], keys: Iterable[str]) -> None:
             seen[lc] = i
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Action: fail if ``keys`` repeat (a duplicate would fan out the join)."""
-    dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
+def assert_unique(tables: Sequence[DataFrame], keys: Sequence[str]) -> None:
+    """Action: fail if ``keys`` repeat in a table (a duplicate would fan out the
+    join); one job for all of them."""
+    if not tables:
+        return
+    cells = reduce(DataFrame.unionByName, [t.select(F.lit(i).alias("__table"), *keys) for i, t in enumerate(tables)])
+    dup = cells.groupBy("__table", *keys).count().filter(F.col("count") > 1).select("__table").first()
     if dup:
-        raise ValueError(f"table is not unique on {list(keys)}")
+        columns = [c for c in tables[dup[0]].columns if c not in keys]
+        raise ValueError(f"the table with {columns} is not unique on {list(keys)}")
 
 
 def assemble(spine_df: DataFrame, tables: Sequence[DataFrame], cohort: CohortSpec,
@@ -118,8 +123,7 @@ def assemble(spine_df: DataFrame, tables: Sequence[DataFrame], cohort: CohortSpe
     keys = list(cohort.dims)
     _check_disjoint([spine_df, *tables], keys)
     if check_unique:
-        for t in tables:
-            assert_unique(t, keys)
+        assert_unique(tables, keys)
     if method == "union":
         return _assemble_union(spine_df, tables, keys, null_safe)
     if method != "joins":

@@ -83,8 +83,7 @@ class KpiJob:
     after: Mapping[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)
     out_partitions: int | None = None  # None: AQE sizes the (small) cohort-grain outputs
     check_unique: bool = True        # assert each written table is unique on the cell
-    # Team tables are independent Spark jobs: up to this many are
-    # submitted at once from driver threads (the threads only wait on Spark).
+    # Up to this many stages or tables are submitted at once from driver threads.
     parallel_teams: int = 4
 
     # Buckets of the shared stages that have a key; None: the session's shuffle partitions.
@@ -120,22 +119,22 @@ class KpiJob:
         published, run = Published(spark, sink), new_run(day)
         folder, out = published.folder(run), self.out_partitions
         tables: dict[str, Entry] = {}
-        shared = {n: self._stage(spark, published, folder, n, s, tables) for n, s in self.shared.items()}
-        spine_df = self._written(self.spine(shared), folder, self.spine_name, out)
+        # stages and tables are independent Spark jobs; the threads only wait on them
+        with ThreadPoolExecutor(max_workers=max(1, self.parallel_teams)) as pool:
+            shared = dict(zip(self.shared, pool.map(
+                lambda n: self._stage(spark, published, folder, n, self.shared[n], tables), self.shared), strict=True))
+
+            def one(team: Team) -> tuple[DataFrame, Entry]:
+                period = team.month(day) if team.cadence != "nightly" else None
+                old = published.snapshot(team.name, period) if period else None
+                if old is not None:
+                    return spark.read.parquet(old), Entry(old, period)
+                return self._written(team.built(shared, day), folder, team.name, out), Entry(f"{folder}/{team.name}", period)
+
+            spine_job = pool.submit(lambda: self._written(self.spine(shared), folder, self.spine_name, out))
+            built = list(pool.map(one, self.teams))           # order kept
+            spine_df = spine_job.result()
         tables[self.spine_name] = Entry(f"{folder}/{self.spine_name}")
-
-        def one(team: Team) -> tuple[DataFrame, Entry]:
-            period = team.month(day) if team.cadence != "nightly" else None
-            old = published.snapshot(team.name, period) if period else None
-            if old is not None:
-                return spark.read.parquet(old), Entry(old, period)
-            return self._written(team.built(shared, day), folder, team.name, out), Entry(f"{folder}/{team.name}", period)
-
-        if self.parallel_teams > 1 and len(self.teams) > 1:
-            with ThreadPoolExecutor(max_workers=self.parallel_teams) as pool:
-                built = list(pool.map(one, self.teams))       # order kept
-        else:
-            built = [one(team) for team in self.teams]
         tables |= {team.name: entry for team, (_, entry) in zip(self.teams, built, strict=True)}
         # written tables are small cohort-grain files: the uniqueness check is
         # cheap there and guards the assembly against a fan-out
