@@ -14,7 +14,10 @@ from a table whose size depends on the number of patterns only.
 from __future__ import annotations
 
 import bisect
+import re
+import sys
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Callable
 from functools import lru_cache
@@ -28,6 +31,19 @@ from pyspark.sql import functions as F
 from kpiloom.llm.common import Recent, stored
 
 MAX_WORDS = 250_000
+#: Letters of Latin-1, in lower case.
+LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha() and c == c.lower())
+#: Letters, then ASCII punctuation, both possibly none; an apostrophe may start
+#: a suffix of its own, so it is left out.
+PLAIN = re.compile(f"([{LETTERS}]*)([!-&(-/:-@[-`{{-~]*)")
+
+
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 class WordTokenizer:
@@ -36,7 +52,9 @@ class WordTokenizer:
 
     Upper case matters to no token, so texts of Latin-1 characters (where
     lower-casing and composition are the same in every library) are
-    lower-cased first; this only shares more look-ups.
+    lower-cased first; this only shares more look-ups.  A new word of such
+    letters and closing punctuation is two runs for the pre-tokenizer, so the
+    merges are applied to each directly; any other word takes the whole way.
 
     With ``added``, texts that hold an added token's literal go through the
     tokenizer's own default as a whole, which keeps such tokens; without it
@@ -50,18 +68,26 @@ class WordTokenizer:
         self.literals = [t.content.lower() for t in self.default.get_added_tokens_decoder().values()] if added else []
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merged = self.tokenizer.model.tokenize
+        # how the pre-tokenizer writes the bytes of each letter
+        self.written = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in LETTERS}
         self.words = Recent(self._word, MAX_WORDS)
 
     def _word(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        text = word.decode()
+        plain = PLAIN.fullmatch(text)
+        if plain is None:
+            return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        letters, marks = plain.groups()
+        if letters and marks:
+            return self.words[letters.encode()] + self.words[marks.encode()]
+        return _packed([t.id for t in self.merged(text.translate(self.written))])
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         lower = text.lower()
         if any(literal in lower for literal in self.literals):
-            ids = self.default.encode(text, add_special_tokens=False).ids
-            return b"".join(i.to_bytes(4, "little") for i in ids)
+            return _packed(self.default.encode(text, add_special_tokens=False).ids)
         try:
             text.encode("latin-1")
             text = lower
