@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,43 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows and bytes of one Arrow batch within ``small_batches``.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2048", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Jobs run inside hand texts to Python in batches that stay small whatever
+    the texts' lengths; the session's own settings come back afterwards."""
+    before = {name: spark.conf.get(name) for name in BATCH}
+    try:
+        for name, value in BATCH.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+class Lent:
+    """Broadcasts for jobs that end inside a ``with`` block: they are destroyed
+    on leaving it, so what is derived from them has to be stored before."""
+
+    def __init__(self, spark: SparkSession):
+        self.sc, self.out = spark.sparkContext, []
+
+    def __call__(self, value) -> Broadcast:
+        self.out.append(self.sc.broadcast(value))
+        return self.out[-1]
+
+    def __enter__(self) -> Lent:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for sent in self.out:
+            sent.destroy()
+
+
 def on_executors(spark: SparkSession) -> None:
     """Send this package's source and text files to the executors, once per context:
     their Python workers import it by name."""

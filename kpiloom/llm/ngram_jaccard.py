@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import Recent, stored
+from kpiloom.llm.common import Lent, Recent, small_batches, stored
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # fixed: odd 64-bit constant
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -160,10 +160,10 @@ def _classes(rows: DataFrame, config: JaccardConfig) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n long, sig binary, first array<long>")
 
 
-def _over(classes: DataFrame, chosen: Bitmap, more, config: JaccardConfig, pick) -> DataFrame:
+def _over(classes: DataFrame, chosen: Bitmap, more, config: JaccardConfig, pick, lent: Lent) -> DataFrame:
     """``pick(n, first, more)`` of each class that ``chosen`` lets pass: tokens,
     or None if only the whole set can tell (``keys`` is null then)."""
-    sent = classes.sparkSession.sparkContext.broadcast((chosen, more))
+    sent = lent((chosen, more))
 
     def run(batches):
         allowed, given = sent.value
@@ -183,10 +183,10 @@ def _over(classes: DataFrame, chosen: Bitmap, more, config: JaccardConfig, pick)
             .mapInArrow(run, "node long, n long, keys array<long>"))
 
 
-def _whole(texts: DataFrame, wanted: Bitmap, config: JaccardConfig, frequent: Bitmap | None = None) -> DataFrame:
+def _whole(texts: DataFrame, wanted: Bitmap, config: JaccardConfig, lent: Lent, frequent: Bitmap | None = None) -> DataFrame:
     """``node, n, keys``: whole sets of the rows in ``wanted``, read from their
     texts again; with ``frequent``, what they are filed under."""
-    sent = texts.sparkSession.sparkContext.broadcast((wanted, frequent))
+    sent = lent((wanted, frequent))
 
     def run(batches):
         allowed, often = sent.value
@@ -235,9 +235,9 @@ def may_link(n_x: int, head_x: np.ndarray, n_y: int, head_y: np.ndarray, config:
     return 100 * most >= config.percent * (n_x + n_y - most)
 
 
-def _possible(pairs: DataFrame, classes: DataFrame, wanted: Bitmap, config: JaccardConfig) -> DataFrame:
+def _possible(pairs: DataFrame, classes: DataFrame, wanted: Bitmap, config: JaccardConfig, lent: Lent) -> DataFrame:
     """Those of the distinct pairs ``a, b`` whose first tokens allow a link."""
-    sent = pairs.sparkSession.sparkContext.broadcast(wanted)
+    sent = lent(wanted)
 
     def heads(batches):
         for b in _slices(batches):
@@ -261,11 +261,11 @@ def _possible(pairs: DataFrame, classes: DataFrame, wanted: Bitmap, config: Jacc
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long").distinct()
 
 
-def _linked(pairs: DataFrame, classes: DataFrame, texts: DataFrame, config: JaccardConfig, bits: int) -> DataFrame:
+def _linked(pairs: DataFrame, classes: DataFrame, texts: DataFrame, config: JaccardConfig, bits: int, lent: Lent) -> DataFrame:
     """Those of the distinct pairs ``a, b`` that reach the threshold: what the
     first tokens leave is verified on whole sets."""
-    pairs = stored(_possible(pairs, classes, Bitmap(_ends(pairs), bits, 3), config), "possible")
-    sets = stored(_whole(texts, Bitmap(_ends(pairs), bits, 3), config).distinct(), "sets")
+    pairs = stored(_possible(pairs, classes, Bitmap(_ends(pairs), bits, 3), config, lent), "possible")
+    sets = stored(_whole(texts, Bitmap(_ends(pairs), bits, 3), config, lent).distinct(), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("keys").alias("t_a"))
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("keys").alias("t_b"))
     common = F.size(F.array_intersect("t_a", "t_b"))
@@ -310,12 +310,12 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.union(e.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component")))
 
 
-def _unsettled(groups: DataFrame, links: DataFrame | None) -> DataFrame:
+def _unsettled(groups: DataFrame, found: DataFrame | None) -> DataFrame:
     """``key, node, n, rank, component`` of the groups that hold sets of
-    different components."""
-    if links is None:
+    different components; ``found``: the components so far."""
+    if found is None:
         return groups.withColumn("component", F.col("node"))
-    own = groups.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    own = groups.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = (own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low <> high").select("key"))
     return own.join(mixed, "key", "left_semi")
@@ -378,7 +378,7 @@ def _block_links(percent: int):
     return run
 
 
-def _in_blocks(groups: DataFrame, texts: DataFrame, config: JaccardConfig, bits: int) -> DataFrame:
+def _in_blocks(groups: DataFrame, texts: DataFrame, config: JaccardConfig, bits: int, lent: Lent) -> DataFrame:
     """Links between sets of different components in large groups.
 
     Groups that overlap are one cluster (a family that shares a hundred keys
@@ -391,43 +391,24 @@ def _in_blocks(groups: DataFrame, texts: DataFrame, config: JaccardConfig, bits:
                .join(clusters.select("node", F.col("component").alias("cluster")), "node"))
     slots = members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("slots"))
     placed = members.join(slots, "cluster").withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")).cast("int"))
-    sets = _whole(texts, Bitmap(members.select("node"), bits, 3), config).distinct()
+    sets = _whole(texts, Bitmap(members.select("node"), bits, 3), config, lent).distinct()
     rows = placed.join(sets, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
     rows = rows.select("cluster", F.least("slot", "other").alias("low"), F.greatest("slot", "other").alias("high"),
                        "slot", "node", "n", "component", "keys")
     return rows.groupBy("cluster", "low", "high").applyInPandas(_block_links(config.percent), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: JaccardConfig | None = None,
-                    rounds: int = 2) -> DataFrame:
-    """Per row: ``doc_id, n_shingles, component_id`` (the smallest id reachable
-    by links, its own included).
-
-    Equal sets are one class, compared through the row of its smallest id.
-    Rows that share an id are one document and share a component.  Texts that
-    are null, empty or without words have no set and link with nothing; rows
-    without an id get a null component.  An empty table gives an empty result;
-    other columns are left out, so none can clash.
-
-    Texts are read for the classes, again where a set has too few rare tokens
-    among its first ones, and again for the sets of candidate pairs; whole
-    sets are neither moved nor stored otherwise.
-    """
-    config = config or JaccardConfig()
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    classes = stored(_classes(rows, config), "classes")
-    bits = config.bits_for(classes.count())
-    known = classes.where("doc_id is not null and n > 0").select("doc_id", "sig")
-    first = stored(known.groupBy("sig").agg(F.min("doc_id").alias("node")), "first")
-    texts = rows.where("doc_id is not null and text is not null")
+def _filed_groups(classes: DataFrame, first: DataFrame, texts: DataFrame, config: JaccardConfig, bits: int) -> DataFrame:
+    """``key, node, n, rank`` of the keys that two or more sets are filed under."""
+    spark = classes.sparkSession
     chosen = Bitmap(first.select("node"), bits)
 
     def filed_at_first(n, tokens, _):
         return tokens[:config.lacking(n) + 1]
 
-    index = _over(classes, chosen, None, config, filed_at_first).select(F.explode("keys").alias("token"))
-    counts = stored(_often(index, 1), "counts")
-    shared = Bitmap(counts.select("token"), bits, 3)
+    with Lent(spark) as lent:
+        index = _over(classes, chosen, None, config, filed_at_first, lent).select(F.explode("keys").alias("token"))
+        counts = stored(_often(index, 1), "counts")
     often = counts.where(F.col("df") > config.frequent).select("token")
 
     def moving_up(n, tokens, frequent):
@@ -436,9 +417,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ahead = tokens[size:size + 2 * int(frequent.has(tokens[:size]).sum())]
         return ahead[~frequent.has(ahead)]
 
-    rising = _over(classes, chosen, Bitmap(often, bits, 3), config, moving_up).select(F.explode("keys").alias("token"))
-    often = stored(often.union(_often(rising, config.frequent).select("token")).distinct(), "often")
-    frequent = Bitmap(often, bits, 3)
+    with Lent(spark) as lent:
+        rising = _over(classes, chosen, Bitmap(often, bits, 3), config, moving_up, lent).select(F.explode("keys").alias("token"))
+        often = stored(often.union(_often(rising, config.frequent).select("token")).distinct(), "often")
 
     def rare(n, tokens, frequent):
         size = config.lacking(n) + 1
@@ -454,52 +435,97 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return tokens[:0] if found is None else found[found > tokens[size - 1]]
 
     # sets with few rare tokens at first reach beyond what was counted so far
-    few = _over(classes, chosen, frequent, config, undecided).select("node")
-    beyond = _whole(texts, Bitmap(few, bits, 3), config).select(F.explode("keys").alias("token"))
-    frequent = Bitmap(often.union(_often(beyond, config.frequent).select("token")), bits, 3)
-    few = _over(classes, chosen, frequent, config, undecided).select("node")
-    few = stored(_whole(texts, Bitmap(few, bits, 3), config, frequent).distinct(), "few")
-    more = _over(classes, chosen, frequent, config, later).select(F.explode("keys").alias("key"))
-    besides = Bitmap(more.union(few.select(F.explode("keys").alias("key"))).distinct(), bits, 3)
+    with Lent(spark) as lent:
+        few = _over(classes, chosen, Bitmap(often, bits, 3), config, undecided, lent).select("node")
+        beyond = _whole(texts, Bitmap(few, bits, 3), config, lent).select(F.explode("keys").alias("token"))
+        frequent = Bitmap(often.union(_often(beyond, config.frequent).select("token")), bits, 3)
+    with Lent(spark) as lent:
+        few = _over(classes, chosen, frequent, config, undecided, lent).select("node")
+        few = stored(_whole(texts, Bitmap(few, bits, 3), config, lent, frequent).distinct(), "few")
 
     def shared_ones(n, tokens, given):
         frequent, one, two = given
         found = rare(n, tokens, frequent)
         return tokens[:0] if found is None else found[one.has(found) | two.has(found)]
 
-    many = _over(classes, chosen, (frequent, shared, besides), config, shared_ones)
-    index = stored(many.union(few).select("node", "n", F.explode("keys").alias("key")).distinct(), "index")
+    with Lent(spark) as lent:
+        more = _over(classes, chosen, frequent, config, later, lent).select(F.explode("keys").alias("key"))
+        besides = Bitmap(more.union(few.select(F.explode("keys").alias("key"))).distinct(), bits, 3)
+    with Lent(spark) as lent:
+        shared = Bitmap(counts.select("token"), bits, 3)
+        many = _over(classes, chosen, (frequent, shared, besides), config, shared_ones, lent)
+        index = stored(many.union(few).select("node", "n", F.explode("keys").alias("key")).distinct(), "index")
     twice = index.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
     groups = stored(index.join(twice, "key", "left_semi"), "groups")
     ranks = groups.groupBy("node").agg((F.count(F.lit(1)) / F.max("n")).alias("rank"))
-    groups = stored(groups.join(ranks, "node"), "ranked")
+    return stored(groups.join(ranks, "node"), "ranked")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: JaccardConfig | None = None,
+                    rounds: int = 2) -> DataFrame:
+    """Per row: ``doc_id, n_shingles, component_id`` (the smallest id reachable
+    by links, its own included).
+
+    Equal sets are one class, compared through the row of its smallest id.
+    Rows that share an id are one document and share a component.  Texts that
+    are null, empty or without words have no set and link with nothing; rows
+    without an id get a null component.  An empty table gives an empty result;
+    other columns are left out, so none can clash.
+
+    Texts are read for the classes, again where a set has too few rare tokens
+    among its first ones, and again for the sets of candidate pairs; whole
+    sets are neither moved nor stored otherwise.  Each turn's links are merged
+    into the components so far, so no later plan reads earlier links.
+    """
+    config, spark = config or JaccardConfig(), docs.sparkSession
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    with small_batches(spark):
+        return _near_duplicates(rows, config, rounds)
+
+
+def _merged(edges: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Components of ``edges`` and of the components ``found`` so far."""
+    if found is not None:
+        edges = edges.union(found.where("node <> component"))
+    return stored(components(edges), "components")
+
+
+def _near_duplicates(rows: DataFrame, config: JaccardConfig, rounds: int) -> DataFrame:
+    classes = stored(_classes(rows, config), "classes")
+    bits = config.bits_for(classes.count())
+    known = classes.where("doc_id is not null and n > 0").select("doc_id", "sig")
+    first = stored(known.groupBy("sig").agg(F.min("doc_id").alias("node")), "first")
+    texts = rows.where("doc_id is not null and text is not null")
+    groups = _filed_groups(classes, first, texts, config, bits)
 
-    links = tested = None
+    joined = tested = None
     for turn in range(rounds + 1):
-        left = stored(_unsettled(groups, links), "unsettled")
+        left = stored(_unsettled(groups, joined), "unsettled")
         if left.isEmpty():
             break
-        if turn < rounds:
-            pairs = _with_centres(left, turn, config)
-        else:
-            sizes = left.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-            large = stored(left.join(sizes.where(F.col("size") > BLOCK).select("key"), "key", "left_semi"), "large")
-            pairs = _within(left.join(sizes.where(F.col("size") <= BLOCK).select("key"), "key", "left_semi"), config)
-            if not large.isEmpty():
-                found = stored(_in_blocks(large, texts, config, bits), "links")
-                links = found if links is None else links.union(found)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = stored(_linked(pairs, classes, texts, config, bits), "links")
-        links = found if links is None else links.union(found)
+        with Lent(rows.sparkSession) as lent:
+            blocks = None
+            if turn < rounds:
+                pairs = _with_centres(left, turn, config)
+            else:
+                sizes = left.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+                large = stored(left.join(sizes.where(F.col("size") > BLOCK).select("key"), "key", "left_semi"), "large")
+                pairs = _within(left.join(sizes.where(F.col("size") <= BLOCK).select("key"), "key", "left_semi"), config)
+                if not large.isEmpty():
+                    blocks = stored(_in_blocks(large, texts, config, bits, lent), "links")
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = stored(pairs, "pairs")
+            links = stored(_linked(pairs, classes, texts, config, bits, lent), "links")
+        joined = _merged(links if blocks is None else links.union(blocks), joined)
         tested = pairs if tested is None else tested.union(pairs)
 
     # documents whose rows have different sets tie those together
     member = known.distinct().join(first, "sig")
     several = member.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    ties = member.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    joined = components(ties if links is None else links.union(ties))
+    ties = stored(member.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("node").alias("b")), "ties")
+    if joined is None or not ties.isEmpty():
+        joined = _merged(ties, joined)
     return (classes.select("doc_id", "n", "sig").join(first, "sig", "left").join(joined, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node", "doc_id").alias("component_id")))
 
@@ -507,7 +533,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: JaccardConfig | None = None) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: the one of
     the smallest id; of rows that share an id, the least row.  Rows without an
-    id stay.
+    id stay.  Columns of any other names are kept as they are.
 
     Most rows are kept without moving: a bitmap of the ids in question lets
     them pass, and only rows that it holds back are joined with the exact ids.
@@ -526,9 +552,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", co
         return pd.Series(sent.value.has(ids.to_numpy()))
 
     own = F.col(id_col).cast("long")
-    marked = docs.withColumn("held_back", own.isNotNull() & held_back(F.coalesce(own, F.lit(0))))
-    free = marked.where("not held_back").drop("held_back")
-    held = marked.where("held_back").drop("held_back")
+    mark = "held_back"
+    while mark in docs.columns:
+        mark += "_"
+    marked = docs.withColumn(mark, own.isNotNull() & held_back(F.coalesce(own, F.lit(0))))
+    free = marked.where(~F.col(mark)).drop(mark)
+    held = marked.where(F.col(mark)).drop(mark)
     held = held.join(gone, held[id_col].cast("long") == gone["doc_id"], "left_anti")
     others = [c for c in docs.columns if c != id_col]
     least = held.groupBy(id_col).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in others])).alias("row"))

@@ -121,3 +121,11 @@ def test_keep_one_keeps_one_of_each_group(table):
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 400)], "a long, b long")
     assert {(r.node, r.component) for r in components(edges).collect()} == {(i, 0) for i in range(201)} | {(400, 400), (500, 400)}
+
+
+def test_session_and_columns_stay_as_they_were(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([(1, "a b c d e f", 7), (2, "a b c d e f", 8)], "doc_id long, text string, held_back int")
+    assert [tuple(r) for r in keep_one(docs).select(*docs.columns).collect()] == [(1, "a b c d e f", 7)]
+    assert spark.conf.get(name) == before
