@@ -3,9 +3,10 @@
 Entities found in texts get replacements that are keyed (the same key gives
 the same ones, none can be recomputed without it), of the same kind and
 format, distinct for distinct entities, and the same wherever an entity
-occurs: names keep their title, its gender and their script (a last name alone
+occurs: names keep their titles, their gender, initials, particles and script (a last name alone
 or without a title is linked to the titled full name of its text), numbers their
-punctuation, card numbers their check digit's validity, addresses their shape.
+punctuation, card numbers and IBANs their check digits' validity, addresses
+their shape, private ones their network.
 
 Replacements are made once per distinct entity, from a keyed digest and an
 attempt number.  A candidate that another entity has, or that is itself an
@@ -20,9 +21,18 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm.common import let, stored
 
+#: Titles; a name may have several ("Herr Dr.").
+_TITLES = (r"(?:(?:Mr|Mrs|Ms|Mx|Miss|Dr|Prof|MR|MRS|MS|DR|Sir|Professor|Herr|Frau|Doktor|Monsieur|Madame|Mademoiselle|Mme|Mlle"
+           r"|Professeure?|Señor|Señora|Señorita|Sr|Sra|Srta)\.?|(?<!\.)M\.|[Гг]-н|[Гг]-жа)")
+#: A word of a name: inner capitals, apostrophes before a capital, hyphens.
+_WORD = r"(?:[dl]['’])?\p{Lu}\p{L}*+(?:['’]\p{Lu}\p{L}*+)*+"
+#: Initials and particles may stand before any word.
+_LEAD = (r"(?:\p{Lu}\. ?)*(?:(?:van|von|vom|der|den|de|del|della|di|da|dos|das|do|du|des|la|las|los|le|el|al|bin|ibn|ter|ten|zu|zum|y) )*")
+_NAME = rf"{_LEAD}{_WORD}(?:-{_WORD})*+"
 #: Kinds in the order in which they are tried; no group captures.
 KINDS: dict[str, str] = {
-    "secret": r"(?<![\p{L}\p{N}_-])(?:[0-9a-fA-F]{32,}|AKIA[0-9A-Z]{16}|sk-[A-Za-z0-9_-]{16,}|gh[pousr]_[A-Za-z0-9]{30,}"
+    "secret": r"(?<![\p{L}\p{N}_-])(?:[0-9a-fA-F]{32,}|AKIA[0-9A-Z]{16}|AIza[A-Za-z0-9_-]{35}|sk-[A-Za-z0-9_-]{16,}"
+              r"|[srp]k_(?:live|test)_[A-Za-z0-9]{10,}|github_pat_[A-Za-z0-9_]{20,}|glpat-[A-Za-z0-9_-]{16,}|gh[pousr]_[A-Za-z0-9]{30,}"
               r"|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)(?![\p{L}\p{N}])",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?)(?![\p{L}\p{N}])",
@@ -37,27 +47,30 @@ KINDS: dict[str, str] = {
              r"|(?:\+|00)[1-9](?:[ ./()-]{0,2}[0-9]){7,14}"
              r"|\([0-9]{2,5}\)(?:[ .-]?[0-9]){6,8}"
              r"|(?![0-9]{2}[./-][0-9]{2}[./-](?:19|20)[0-9]{2}(?![0-9]))0[1-9](?:[ ./-]?[0-9]){7,9}"
-             r"|(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-][0-9]{3,4}[ .-][0-9]{3,4}"
+             # neither years one after the other nor thousands
+             r"|(?!(?:(?:19|20)[0-9]{2}[ .-]){2}(?:19|20)[0-9]{2}(?![0-9]))(?![0-9]{2}(?:[ .][0-9]{3}){2}(?![0-9]))"
+             r"(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-][0-9]{3,4}[ .-][0-9]{3,4}"
              r"|[6-9][0-9]{2}(?:[ .-][0-9]{2}){3}|[2-9][0-9]{2}[2-9][0-9]{6})(?![\p{L}\p{N}])",
-    "name": r"(?<!\p{L})(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra)\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?"
-            r"|(?<!\p{L})(?:Г-н|Г-жа|г-н|г-жа) \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?",
+    "name": rf"(?<!\p{{L}})(?:{_TITLES} )+{_NAME}(?: {_NAME})*+",
 }
 #: No kind may follow a letter: said once, so that most characters fail at once.
 ANY = r"(?<!\p{L})(?:" + "|".join(KINDS.values()) + ")"
 #: What every kind but names needs, and what names need.
-HINT = r"[0-9@]|(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Monsieur|Madame|Mme|Señora?|Sra?|[Гг]-ж?[на])\.? \p{Lu}"
+HINT = rf"[0-9@]|{_TITLES} \p{{L}}"
 #: What a phone number keeps: its country code or the 0 it starts with.
 PREFIX = (r"^(?:(?:\+|00)(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})|0)?")
 #: Titles that tell a gender (others: none is shown).
-FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Г-жа|г-жа)(?!\p{L})"
-MALE = r"^(?:Mr|Herr|Monsieur|Señor|Sr|Г-н|г-н)(?!\p{L})"
-#: A name's title, with what separates it from the name.
-TITLE = r"^(?:(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra)\.? |(?:Г-н|Г-жа|г-н|г-жа) )"
+FEMALE = r"^(?:Mrs|Ms|MRS|MS|Miss|Frau|Madame|Mademoiselle|Mme|Mlle|Professeure|Señora|Señorita|Sra|Srta|[Гг]-жа)(?!\p{L})"
+MALE = r"^(?:Mr|MR|M|Sir|Herr|Monsieur|Señor|Sr|[Гг]-н)(?!\p{L})"
+#: A name's titles, with what separates them from the name.
+TITLE = rf"^(?:{_TITLES} )+"
 GENDERS = ("female", "male", "none")
 #: Syllables of made-up names by script, and endings by gender.
 SYLLABLES = {"latin": "ba be bi bo da de di do fa fe ka ke ki la le li lo ma me mi mo na ne ni no pa ra re ri ro sa se si ta te ti to va ve vi".split(),
-             "cyrillic": "ба бе би бо да де ди до ка ке ки ла ле ли ло ма ме ми мо на не ни но па ра ре ри ро са се си та те ти то ва ве ви".split()}
-ENDINGS = {"latin": {"female": "na", "male": "rn", "none": "s"}, "cyrillic": {"female": "на", "male": "рн", "none": "с"}}
+             "cyrillic": "ба бе би бо да де ди до ка ке ки ла ле ли ло ма ме ми мо на не ни но па ра ре ри ро са се си та те ти то ва ве ви".split(),
+             "greek": "βα βε βι βο δα δε δι δο κα κε κι κο λα λε λι λο μα με μι μο να νε νι νο ρα ρε ρι ρο σα σε σι σο τα τε τι το".split()}
+ENDINGS = {"latin": {"female": "na", "male": "rn", "none": "s"}, "cyrillic": {"female": "на", "male": "рн", "none": "с"},
+           "greek": {"female": "να", "male": "ρος", "none": "ς"}}
 MAX_ATTEMPTS = 12
 
 
@@ -80,6 +93,15 @@ def _luhn(number: Column) -> Column:
     return F.call_function("luhn_check", number)
 
 
+def _iban_check(number: Column) -> Column:
+    """The check digits that make an IBAN valid: 98 less the remainder by 97 of
+    its rest, read as a number with A = 10 to Z = 35."""
+    moved = F.concat(F.substr(number, F.lit(5)), F.substr(number, F.lit(1), F.lit(2)), F.lit("00"))
+    rest = F.aggregate(F.regexp_extract_all(moved, F.lit("[A-Z0-9]"), F.lit(0)), F.lit(0), lambda a, c: F.when(
+        c.rlike("[0-9]"), a * 10 + F.ascii(c) - 48).otherwise(a * 100 + F.ascii(c) - 55) % 97)
+    return F.lpad((98 - rest).cast("string"), 2, "0")
+
+
 def _stream(key: str, kind: Column, value: Column, attempt: int, length: Column) -> Column:
     """Array of keyed bytes (0-255), at least ``length`` of them: a digest of
     the key and a keyed digest of the entity, block by block."""
@@ -117,21 +139,32 @@ def _candidate(key: str, attempt: int) -> Column:
 
     def make(s: Column) -> Column:
         email = F.concat(_shaped(F.substr(value, F.lit(1), top), s, no, F.lit(0)), F.substr(value, top + 1))
-        ip = F.concat_ws(".", *[(F.element_at(s, i) % 254 + 1).cast("string") for i in (1, 2, 3, 4)])
+        # a private address stays in its private network
+        octets = [(F.element_at(s, i) % 254 + 1).cast("string") for i in (1, 2, 3, 4)]
+        ip = (F.when(value.rlike(r"^(?:10|127)\."), F.concat_ws(".", F.substring_index(value, ".", 1), *octets[1:]))
+              .when(value.rlike(r"^(?:192\.168|169\.254)\."), F.concat_ws(".", F.substring_index(value, ".", 2), *octets[2:]))
+              .when(value.rlike(r"^172\.(?:1[6-9]|2[0-9]|3[01])\."),
+                    F.concat_ws(".", F.lit("172"), (F.element_at(s, 2) % 16 + 16).cast("string"), *octets[2:]))
+              .otherwise(F.concat_ws(".", *octets)))
+        iban = let(_shaped(value, s, no, F.lit(2)), lambda n: F.when(
+            _iban_check(value) == F.substr(value, F.lit(3), F.lit(2)),
+            F.concat(F.substr(n, F.lit(1), F.lit(2)), _iban_check(n), F.substr(n, F.lit(5)))).otherwise(n))
         body = F.substr(value, F.lit(1), F.length(value) - 1)
         card = let(F.concat(_shaped(F.substr(body, F.lit(1), F.length(body) - 1), s, no, F.lit(0)),
                             (F.element_at(s, 32) % 10).cast("string")), lambda b: F.element_at(F.filter(
                                 F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: F.concat(b, d.cast("string"))),
                                 lambda n: _luhn(n) == _luhn(value)), F.element_at(s, 31) % F.when(_luhn(value), 1).otherwise(9) + 1))
-        secret = let(F.regexp_extract(value, r"^(?:AKIA|sk-|gh[pousr]_|xox[abprs]-|eyJ)?", 0), lambda p: _shaped(
+        secret = let(F.regexp_extract(value, r"^(?:AKIA|AIza|sk-|[srp]k_(?:live|test)_|github_pat_|glpat-|gh[pousr]_|xox[abprs]-|eyJ)?", 0), lambda p: _shaped(
             value, s, value.rlike("^[0-9a-fA-F]+$"), F.length(p)))
         phone = _shaped(value, s, no, F.length(F.regexp_extract(value, PREFIX, 0)))
         return (F.when(kind == "email", email).when(kind == "ip", ip)
                 .when(kind == "ip6", _shaped(value, s, F.lit(True), F.lit(0))).when(kind == "card", card)
                 .when(kind == "secret", secret).when(kind == "phone", phone).when(kind == "name", _name(value, s, attempt))
-                .when(kind == "iban", _shaped(value, s, no, F.lit(2))).otherwise(_shaped(value, s, no, F.lit(0))))
+                .when(kind == "iban", iban).otherwise(_shaped(value, s, no, F.lit(0))))
 
-    return let(_stream(key, kind, value, attempt, F.length(value)), make)
+    # a name has at most one word for two characters, of up to 15 syllables
+    needed = F.when(kind == "name", 8 * F.length(value) + 8).otherwise(F.length(value))
+    return let(_stream(key, kind, value, attempt, needed), make)
 
 
 def people(titled: Column) -> Column:
@@ -146,11 +179,11 @@ def people(titled: Column) -> Column:
 
 def named_by(known: Column) -> Column:
     """Expression for ``ANY`` and the known names without a title, full names
-    first; names consist of letters and spaces."""
+    first; of what names consist of, only the dot means more in a pattern."""
     names = F.array_distinct(F.concat(F.transform(F.filter(known, lambda k: k["name"] != k["last"]), lambda k: k["name"]),
                                       F.transform(known, lambda k: k["last"])))
     return F.when(F.size(names) == 0, ANY).otherwise(F.concat(
-        F.lit(ANY[:-1] + r"|(?<![\p{L}\p{N}])(?:"), F.array_join(names, "|"), F.lit(r")(?![\p{L}\p{N}]))")))
+        F.lit(ANY[:-1] + r"|(?<![\p{L}\p{N}])(?:"), F.replace(F.array_join(names, "|"), F.lit("."), F.lit(r"\.")), F.lit(r")(?![\p{L}\p{N}]))")))
 
 
 def who(raw: Column, known: Column) -> Column:
@@ -174,13 +207,15 @@ def who(raw: Column, known: Column) -> Column:
 
 
 def _name(value: Column, stream: Column, attempt: int) -> Column:
-    """Of ``gender|name``: each word made of syllables of its script, more of
-    them with each attempt, the first ended by gender."""
+    """Of ``gender|name``: each word or part of a word made of syllables of its
+    script, more of them with each attempt, the first ended by gender.
+    Initials stay initials, capitals capitals; particles and hyphens stay."""
     gender, name = F.substring_index(value, "|", 1), F.substring_index(value, "|", -1)
-    script = F.when(name.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+    script = (F.when(name.rlike(r"\p{IsCyrillic}"), "cyrillic").when(name.rlike(r"\p{IsGreek}"), "greek").otherwise("latin"))
     n = min(3 + attempt, 15)
 
-    def word(w: Column, i: Column) -> Column:
+    def word(w: Column, at: Column) -> Column:
+        i = (at / 2).cast("int")  # words and what separates them take turns
         made = F.lit("")
         for script_name, syllables in SYLLABLES.items():
             table = F.array(*[F.lit(x) for x in syllables])
@@ -189,9 +224,12 @@ def _name(value: Column, stream: Column, attempt: int) -> Column:
             for g, e in ENDINGS[script_name].items():
                 end = F.when(gender == g, e).otherwise(end)
             made = F.when(script == script_name, F.concat(each, F.when(i == 0, end).otherwise(""))).otherwise(made)
-        return F.initcap(made)
+        drawn = F.initcap(made)
+        return (F.when(w.rlike("^[ -]$") | w.rlike(r"^\p{Ll}+$"), w)
+                .when(w.rlike(r"^(?:\p{Lu}\.)+$"), F.regexp_replace(w, F.lit(r"\p{Lu}"), F.substr(drawn, F.lit(1), F.lit(1))))
+                .when(w.rlike(r"^\p{Lu}{2,}$"), F.upper(drawn)).otherwise(drawn))
 
-    return F.concat_ws("|", gender, F.array_join(F.transform(F.split(name, " "), word), " "))
+    return F.concat_ws("|", gender, F.array_join(F.transform(F.regexp_extract_all(name, F.lit("[ -]|[^ -]+"), F.lit(0)), word), ""))
 
 
 def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
