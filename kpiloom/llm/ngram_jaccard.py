@@ -478,9 +478,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     into the components so far, so no later plan reads earlier links.
     """
     config, spark = config or JaccardConfig(), docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     with small_batches(spark):
-        return _near_duplicates(rows, config, rounds)
+        return _labelled(*_joined(_rows(docs, id_col, text_col), config, rounds)).drop("sig")
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
 
 def _merged(edges: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -490,7 +493,9 @@ def _merged(edges: DataFrame, found: DataFrame | None) -> DataFrame:
     return stored(components(edges), "components")
 
 
-def _near_duplicates(rows: DataFrame, config: JaccardConfig, rounds: int) -> DataFrame:
+def _joined(rows: DataFrame, config: JaccardConfig, rounds: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``doc_id, n, sig, first`` of the rows, ``sig, node`` of the classes, and
+    ``node, component`` of the nodes that link with any."""
     classes = stored(_classes(rows, config), "classes")
     bits = config.bits_for(classes.count())
     known = classes.where("doc_id is not null and n > 0").select("doc_id", "sig")
@@ -526,8 +531,14 @@ def _near_duplicates(rows: DataFrame, config: JaccardConfig, rounds: int) -> Dat
     ties = stored(member.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("node").alias("b")), "ties")
     if joined is None or not ties.isEmpty():
         joined = _merged(ties, joined)
+    return classes, first, joined
+
+
+def _labelled(classes: DataFrame, first: DataFrame, joined: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, sig, component_id`` of the rows."""
     return (classes.select("doc_id", "n", "sig").join(first, "sig", "left").join(joined, "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node", "doc_id").alias("component_id")))
+            .select("doc_id", F.col("n").alias("n_shingles"), "sig", F.when(
+                F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("component_id")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", config: JaccardConfig | None = None) -> DataFrame:

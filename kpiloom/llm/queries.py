@@ -11,6 +11,7 @@ from kpiloom.llm import byte_bpe, language_id, ngram_jaccard, order_minhash, pac
 from kpiloom.llm.common import read
 from kpiloom.llm.conversation_repair import damage, repair
 from kpiloom.llm.importance_resampling import resample
+from kpiloom.llm.jaccard_links import link_counts
 from kpiloom.llm.license_scan import license_scan
 from kpiloom.llm.nn_descent import near_vectors
 from kpiloom.llm.prefix_trie import prefix_trie
@@ -61,6 +62,11 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5 with the number of links of each document."""
+    return link_counts(read(spark, sf_dir, "documents"))
+
+
 def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_url_filter": op4_url_filter,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "ngram_jaccard_links": ngram_jaccard_links,
     "op7_importance_resampling": op7_importance_resampling,
     "op9_surrogates": op9_surrogates,
     "op10_license_scan": op10_license_scan,
