@@ -10,11 +10,12 @@ The model is fitted on a bounded sample of them (``LanguageConfig.sample``).
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
@@ -27,7 +28,7 @@ _MULTIPLY = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32
 class LanguageConfig:
     buckets: int = 1 << 14
     orders: tuple[int, ...] = (1, 2, 3)
-    #: Labelled rows the model is fitted on, at most, over all languages
+    #: Labelled texts the model is fitted on, at most, over all languages
     #: (a fifth of them is held back for the temperature).
     sample: int = 4000
     epochs: int = 3
@@ -99,15 +100,22 @@ def _document_frequencies(rows: DataFrame, config: LanguageConfig) -> tuple[int,
 
 
 def _sample(rows: DataFrame, config: LanguageConfig) -> list:
-    """At most ``config.sample`` rows as n-gram counts: the same number of each
-    language if there are enough, chosen by a hash of the text."""
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """At most ``config.sample`` distinct texts as n-gram counts: the same
+    number of each language if there are enough (one at least), those of the
+    lowest hashes.  Copies of a text count as one, so a text with many copies
+    takes no place from others and no language is cut."""
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("text").alias("n")).collect()}
     if not sizes:
         return []
-    each = config.sample // len(sizes)
-    place = F.pmod(F.xxhash64("text", F.lit(17)), F.lit(1 << 30))
-    share = F.create_map(*[F.lit(v) for lang, n in sizes.items() for v in (lang, int(min(1.0, each / n) * (1 << 30)))])
-    chosen = rows.where(place < F.element_at(share, F.col("lang"))).select("text", "lang", place.alias("place"))
+    each = max(1, config.sample // len(sizes))
+    place = F.xxhash64("text", F.lit(17))
+    # about twice as many as needed pass by their hash, then the first are taken
+    share = F.create_map(*[F.lit(v) for lang, n in sizes.items()
+                           for v in (lang, int(min(1.0, (2 * each + 32) / max(1, n)) * (1 << 30)))])
+    chosen = rows.where(F.pmod(place, F.lit(1 << 30)) < F.element_at(share, F.col("lang"))).select("text", "lang").distinct()
+    order = Window.partitionBy("lang").orderBy(F.pmod("place", F.lit(1 << 30)), "place", "text")
+    first = (chosen.withColumn("place", place).withColumn("rank", F.row_number().over(order))
+             .where(F.col("rank") <= each).drop("rank"))
 
     def run(batches):
         for b in batches:
@@ -120,9 +128,8 @@ def _sample(rows: DataFrame, config: LanguageConfig) -> list:
                 [b.column("lang"), b.column("place"), pa.array([o[0] for o in out], pa.binary()),
                  pa.array([o[1] for o in out], pa.binary())], ["lang", "place", "buckets", "counts"])
 
-    # hashing gives about `each` per language; the limit makes the bound hold
-    return (chosen.mapInArrow(run, "lang string, place long, buckets binary, counts binary")
-            .orderBy("place", "lang", "buckets", "counts").limit(config.sample).collect())
+    return (first.select("lang", "place", "text").mapInArrow(run, "lang string, place long, buckets binary, counts binary")
+            .orderBy("place", "lang", "buckets", "counts").collect())
 
 
 def _train(examples: list[tuple[np.ndarray, np.ndarray, int]], k: int, config: LanguageConfig) -> tuple[np.ndarray, np.ndarray]:
@@ -191,9 +198,12 @@ def train(docs: DataFrame, config: LanguageConfig | None = None, text_col: str =
         counts = np.zeros(config.buckets, np.int64)
         counts[np.frombuffer(r["buckets"], np.int32)] = np.frombuffer(r["counts"], np.int32)
         examples.append((*features(counts, idf), number[r["lang"]]))
-    fit = [e for i, e in enumerate(examples) if i % 5]
-    rest = examples[::5]
-    w, bias = _train(fit or examples, len(languages), config)
+    # every fifth text of a language is held back, so none is held back as a whole
+    fit, rest, seen = [], [], Counter()
+    for e in examples:
+        seen[e[2]] += 1
+        (fit if seen[e[2]] % 5 else rest).append(e)
+    w, bias = _train(fit, len(languages), config)
     scores = np.array([x @ w[at] + bias for at, x, _ in rest])
     return LanguageModel(languages, idf, w, bias, _temperature(scores, np.array([label for *_, label in rest])), config)
 
@@ -204,7 +214,8 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", carry
 
     Null and empty texts and texts without a letter are ``und`` with score 0.
     Equal probabilities go to the first language in alphabetic order.  Rows
-    stay as they are, repeated or not.  The model travels as a broadcast of
+    stay as they are, repeated or not; a carried column named ``lang_pred`` or
+    ``score`` gives way to the prediction.  The model travels as a broadcast of
     fixed size (buckets x languages).
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -228,4 +239,5 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", carry
 
     rows = docs.select(F.struct(*carry).alias("row"), F.col(text_col).alias("text_to_judge"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double"
-    return rows.mapInArrow(run, schema).select("row.*", "lang_pred", "score")
+    kept = [F.col(f"row.`{c}`") for c in rows.schema["row"].dataType.names if c not in ("lang_pred", "score")]
+    return rows.mapInArrow(run, schema).select(*kept, "lang_pred", "score")

@@ -56,3 +56,20 @@ def test_edges(spark, table):
     none = train(docs.limit(0))
     assert {r.lang_pred for r in predict(docs, none, carry=(F.col("doc_id"),)).collect()} == {"und"}
     assert predict(docs.limit(0), model, carry=(F.col("doc_id"),)).count() == 0
+
+
+def test_copies_take_no_language_out_of_the_sample(table):
+    rows = [(i, "the same text again and again", "en") for i in range(3000)]
+    rows += [(3000 + i, f"der hund und die katze {i}", "de") for i in range(400)]
+    rows += [(4000 + i, f"el perro y el gato {i}", "es") for i in range(3)]
+    docs = table(rows, "doc_id long, text string, lang string")
+    model = train(docs, LanguageConfig(sample=30))
+    assert model.languages == ("de", "en", "es")
+    found = {r.lang: r.lang_pred for r in predict(docs, model, carry=(F.col("lang"),)).distinct().collect()}
+    assert found == {"de": "de", "en": "en", "es": "es"}
+
+
+def test_carried_columns_of_the_same_names_give_way(table):
+    docs = table([(1, "hello there", "en", "x")], "doc_id long, text string, lang string, score string")
+    out = predict(docs, train(docs), carry=(F.col("doc_id"), F.col("score")))
+    assert out.columns == ["doc_id", "lang_pred", "score"] and out.first()["score"] == 1.0
