@@ -33,7 +33,8 @@ _NAME = rf"{_LEAD}{_WORD}(?:-{_WORD})*+"
 KINDS: dict[str, str] = {
     "secret": r"(?<![\p{L}\p{N}_-])(?:[0-9a-fA-F]{32,}|AKIA[0-9A-Z]{16}|AIza[A-Za-z0-9_-]{35}|sk-[A-Za-z0-9_-]{16,}"
               r"|[srp]k_(?:live|test)_[A-Za-z0-9]{10,}|github_pat_[A-Za-z0-9_]{20,}|glpat-[A-Za-z0-9_-]{16,}|gh[pousr]_[A-Za-z0-9]{30,}"
-              r"|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)(?![\p{L}\p{N}])",
+              r"|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"
+              r"|-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----[^-]++(?:-(?!----)[^-]*+)*+-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----)(?![\p{L}\p{N}])",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?)(?![\p{L}\p{N}])",
     "card": r"(?<![\p{L}\p{N}])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![\p{L}\p{N}])",
@@ -56,7 +57,7 @@ KINDS: dict[str, str] = {
 #: No kind may follow a letter: said once, so that most characters fail at once.
 ANY = r"(?<!\p{L})(?:" + "|".join(KINDS.values()) + ")"
 #: What every kind but names needs, and what names need.
-HINT = rf"[0-9@]|{_TITLES} \p{{L}}"
+HINT = rf"[0-9@]|PRIVATE KEY-----|{_TITLES} \p{{L}}"
 #: What a phone number keeps: its country code or the 0 it starts with.
 PREFIX = (r"^(?:(?:\+|00)(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})|0)?")
 #: Titles that tell a gender (others: none is shown).
@@ -72,6 +73,11 @@ SYLLABLES = {"latin": "ba be bi bo da de di do fa fe ka ke ki la le li lo ma me
 ENDINGS = {"latin": {"female": "na", "male": "rn", "none": "s"}, "cyrillic": {"female": "на", "male": "рн", "none": "с"},
            "greek": {"female": "να", "male": "ρος", "none": "ς"}}
 MAX_ATTEMPTS = 12
+#: Attempts in an entity's own length; each later one is a character longer
+#: where the kind allows it (e-mail names, secrets, phone numbers).
+OWN_LENGTH = 4
+#: First and last line of a private key.
+KEY_LINES = (r"^(?:-----[A-Z0-9 ]+-----)?", r"(?:-----[A-Z0-9 ]+-----)?$")
 
 
 def kind_of(entity: Column) -> Column:
@@ -134,6 +140,11 @@ def _shaped(value: Column, stream: Column, hexadecimal: Column, keep_before: Col
 def _candidate(key: str, attempt: int) -> Column:
     """Surrogate of the canonical form ``value`` of ``kind``."""
     kind, value = F.col("kind"), F.col("value")
+    more = max(0, attempt - OWN_LENGTH + 1)
+    key_block = value.startswith("-----")
+    if more:
+        value = (F.when(kind == "email", F.concat(F.lit("x" * more), value)).when(kind == "phone", F.concat(value, F.lit("0" * more)))
+                 .when((kind == "secret") & ~key_block, F.concat(value, F.lit("a" * more))).otherwise(value))
     no = F.lit(False)
     top = F.length(value) - F.length(F.substring_index(value, ".", -1)) - 1  # an address keeps its top-level domain
 
@@ -156,6 +167,9 @@ def _candidate(key: str, attempt: int) -> Column:
                                 lambda n: _luhn(n) == _luhn(value)), F.element_at(s, 31) % F.when(_luhn(value), 1).otherwise(9) + 1))
         secret = let(F.regexp_extract(value, r"^(?:AKIA|AIza|sk-|[srp]k_(?:live|test)_|github_pat_|glpat-|gh[pousr]_|xox[abprs]-|eyJ)?", 0), lambda p: _shaped(
             value, s, value.rlike("^[0-9a-fA-F]+$"), F.length(p)))
+        head, tail = (F.regexp_extract(value, line, 0) for line in KEY_LINES)
+        inside = F.substr(value, F.length(head) + 1, F.length(value) - F.length(head) - F.length(tail))
+        secret = F.when(key_block, F.concat(head, _shaped(inside, s, no, F.lit(0)), tail)).otherwise(secret)
         phone = _shaped(value, s, no, F.length(F.regexp_extract(value, PREFIX, 0)))
         return (F.when(kind == "email", email).when(kind == "ip", ip)
                 .when(kind == "ip6", _shaped(value, s, F.lit(True), F.lit(0))).when(kind == "card", card)
@@ -238,8 +252,9 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     Candidates that collide are drawn again; of entities with the same
     candidate the least value keeps it.  Each attempt is one aggregation and
     two joins of distinct entities, and few entities need a second one.  If
-    ``MAX_ATTEMPTS`` are used up (a format with fewer values than entities),
-    the rest get their kind and a keyed digest instead: distinct, if not alike.
+    ``MAX_ATTEMPTS`` are used up (a format of fixed length with hardly more
+    values than entities; others grow by a character with each attempt after
+    ``OWN_LENGTH``), the rest get their kind and a keyed digest instead: distinct, if not alike.
     """
     entities = stored(entities.distinct(), "entities")
     # a made-up name is nobody's, of whatever gender

@@ -163,3 +163,21 @@ def test_numbers_that_are_no_phones_and_forms_that_stay_valid(spark):
     assert all(iban_valid(x.replace(" ", "")) for x in ibans + new[:2]) and new[1][4] == " "
     assert new[2].startswith("sk_live_") and new[3].startswith("AIza")
     assert new[4].startswith("10.") and new[5].startswith("192.168.") and re.match(r"172\.(1[6-9]|2\d|3[01])\.", new[6])
+
+
+def test_short_addresses_get_longer_ones_when_their_form_is_used_up(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    real = {f"{a}@{b}.de" for a in letters for b in letters}
+    out = surrogate_table(spark.createDataFrame([("email", e) for e in real], "kind string, value string"), KEY).collect()
+    drawn = {r.surrogate for r in out}
+    assert len(out) == len(drawn) == len(real) and not drawn & real
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.de", e) for e in drawn)
+
+
+def test_private_keys_are_drawn_anew_between_their_lines(spark):
+    body = "Proc-Type: 4,ENCRYPTED\nMIIEpAIBAAKCAQEA7x+/Zk\nq9Lw=="
+    text = f"key:\n-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----\nend, -----BEGIN CERTIFICATE-----"
+    row = replace_entities(spark.createDataFrame([(1, text)], "doc_id long, text string"), KEY).first()
+    assert "MIIEpAIB" not in row.text and "q9Lw" not in row.text and row.n_entities == 1
+    assert row.text.startswith("key:\n-----BEGIN RSA PRIVATE KEY-----\n") and len(row.text) == len(text)
+    assert row.text.endswith("==\n-----END RSA PRIVATE KEY-----\nend, -----BEGIN CERTIFICATE-----")
