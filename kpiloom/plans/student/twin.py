@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.plans.student import teams
 from kpiloom.plans.student.params import DIMS, StudentParams
-from kpiloom.sources.catalog import ParquetCatalog
+from kpiloom.sources.catalog import ParquetCatalog, dealt_by
 
 AA_CONTROL = "ct_helps_me_better_understand_that_i_am_in_control_of_my_academic_performance"
 AA_STRETCH = "i_feel_prepared_to_engage_in_academic_stretch_opportunities"
@@ -86,7 +86,7 @@ def source(spark: SparkSession, root: str) -> Callable[[str], DataFrame]:
     tables = {
         "contact_template": contacts,
         "contact_at_template": _view(orders.join(dims, orders["o_custkey"] == dims["who"], "left"), TERM),
-        "class_template": _view(cat("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")), SESSION),
+        "class_template": _view(dealt_by(cat("lineitem"), "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey")), SESSION),
         "fy21_hs_survey": _view(cat("events"), ANSWER),
     }
     return tables.__getitem__

@@ -23,7 +23,7 @@ from kpiloom.plans.student.dashboard import RATIOS
 from kpiloom.plans.student.kpis import KPIS, PLACES, SITE_GRAIN
 from kpiloom.plans.student.params import COHORT, COVI_RECORD_TYPE, DIMS, SUMMER_EXPERIENCE_RECORD_TYPE, StudentParams
 from kpiloom.session import shared_dir
-from kpiloom.sources.catalog import ParquetCatalog
+from kpiloom.sources.catalog import ParquetCatalog, dealt_by
 from kpiloom.sources.published import Published
 
 
@@ -170,7 +170,7 @@ def source(spark: SparkSession, root: str) -> Callable[[str], DataFrame]:
     cat, view = ParquetCatalog(spark, root), twin._view
     nation = cat("nation").select("n_nationkey", "n_name", "n_regionkey")
     region = cat("region").select("r_regionkey", "r_name")
-    orders, lines = cat("orders"), cat("lineitem")
+    orders, lines = cat("orders"), dealt_by(cat("lineitem"), "l_orderkey")
     contacts = view(cat("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
                     .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left"), CONTACT)
     dims = contacts.select(F.col("contact_id").alias("who"), *DIMS, "site_c")
@@ -184,8 +184,8 @@ def source(spark: SparkSession, root: str) -> Callable[[str], DataFrame]:
         "college_application_clean": view(orders, APPLICATION),
         "college_aspiration_c": view(orders, ASPIRATION),
         "account": view(cat("nation").where("n_nationkey % 7 <> 1"), ACCOUNT),
-        "student_life_activity_c": view(lines, ACTIVITY),
-        "progress_note_c": view(lines, NOTE),
+        "student_life_activity_c": view(cat("lineitem"), ACTIVITY),
+        "progress_note_c": view(cat("lineitem"), NOTE),
         "test_clean": view(dealt, TEST),
         "fy21_hs_survey_completion": view(contacts, COMPLETION),
         "fy21_ps_survey_wide_prepped": view(answered, PS_ANSWER),

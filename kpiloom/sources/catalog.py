@@ -11,6 +11,19 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a fact table that one task joins and groups, about.
+TASK_ROWS = 500_000
+
+
+def dealt_by(df: DataFrame, key: str, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``df`` partitioned by ``key`` into as many parts as its rows need, so that
+    a task's rows stay the same however large the table gets; a table of fewer
+    parts than the session runs at once is left as it is.  Counting reads the
+    files' footers only."""
+    parts = -(-df.count() // task_rows)
+    return df.repartition(parts, key) if parts > df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def read_table(spark: SparkSession, root: str, name: str, suffix: str = ".parquet") -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}{suffix}")
 
