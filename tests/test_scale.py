@@ -1,5 +1,9 @@
 """Work of one task and number of jobs as tables grow."""
 
+import numpy as np
+
+from kpiloom.llm import ngram_jaccard
+from kpiloom.llm.ngram_jaccard import components
 from kpiloom.plans.student import twin, twin_full
 from kpiloom.sources import catalog
 
@@ -34,3 +38,18 @@ def test_sessions_are_dealt_by_their_rows(spark, tmp_path, monkeypatch):
         after = module.source(spark, str(tmp_path))("class_template")
         assert _shuffled_parts(before) == 0 and _shuffled_parts(after) == 1
         assert sorted(map(repr, after.collect())) == sorted(map(repr, before.collect()))
+
+
+def test_short_edge_lists_take_few_jobs_and_agree_with_long_ones(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(-150, 150, (120, 2))] + [(i, i + 1) for i in range(1000, 1100)] + [(7, 7), (None, 3)]
+    edges = spark.createDataFrame(pairs, "a long, b long")
+    spark.sparkContext.setJobGroup("few-edges", "few edges")
+    try:
+        short = {tuple(r) for r in components(edges).collect()}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-edges")) <= 6
+    monkeypatch.setattr(ngram_jaccard, "FEW_EDGES", 0)
+    assert short == {tuple(r) for r in components(edges).collect()}
+    assert components(edges.where("false")).collect() == []
