@@ -11,25 +11,18 @@ from pyspark.sql import functions as F
 from kpiloom.functions.indicators import flag
 
 
-def _any(preds) -> Column:
-    out = None
-    for p in preds:
-        out = p if out is None else (out | p)
-    return out
-
-
 def existence_flags(parents: DataFrame, parent_key: str, children: DataFrame,
                     child_key: str, flags: Mapping[str, Column]) -> DataFrame:
     """One 0/1 column per predicate: does the parent have a child with p?
 
     The reference runs one correlated subquery per flag; here the child is
-    scanned once: rows matching none of the predicates are dropped before
-    the shuffle, the rest are reduced to one row per key with MAX per flag,
-    and one left join attaches them.  Parents without such children get 0.
+    scanned once and reduced, before the shuffle, to one row per key with MAX
+    per flag, and one left join attaches them.  Parents without such children
+    get 0.  No filter on any of the predicates comes first: it would evaluate
+    them all twice, in one method too large for the JVM to compile.
     """
     names = list(flags)
-    per_child = (children.filter(_any(flags.values()))
-                 .groupBy(F.col(child_key).alias("__fk"))
+    per_child = (children.groupBy(F.col(child_key).alias("__fk"))
                  .agg(*[F.max(flag(p)).alias(n) for n, p in flags.items()]))
     out = parents.join(per_child, parents[parent_key] == per_child["__fk"], "left").drop("__fk")
     return out.fillna(0, subset=names)
