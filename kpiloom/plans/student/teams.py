@@ -577,16 +577,18 @@ def team_kpi_table(src: Source, p: StudentParams | None = None) -> DataFrame:
 
 
 def shared_stages(src: Source) -> dict[str, Shared]:
-    """What most teams read, once a run and kept by contact: the columns they use
-    of the contact and the term table, and the session summary (from the months
-    that changed, if the sessions are files that this catalog reads).  All are in
-    the same buckets, so joins per contact need no exchange."""
+    """What most teams read, once a run: the columns they use of the contact and
+    the term table, in the same buckets of the contact, so that joins per contact
+    need no exchange, and the session summary (from the months that changed, if
+    the sessions are files that this catalog reads).  The summary is as long as
+    the facts and half of its readers join it by term: it stays as its aggregate
+    leaves it, and each reader moves only the sums that it filters."""
     files = isinstance(src, ParquetCatalog) and "class_template" not in src.overrides
     return {
         "contact_template": Shared(lambda: src("contact_template").select(*CONTACT_COLUMNS), key="contact_id"),
         "contact_at_template": Shared(lambda: src("contact_at_template").select(*TERM_COLUMNS), key="Contact_Id"),
-        "class_summary": (Shared(aggregate=class_aggregate(), root=src.path("class_template"), key="student_c") if files
-                          else Shared(lambda: class_summary(src), key="student_c")),
+        "class_summary": (Shared(aggregate=class_aggregate(), root=src.path("class_template")) if files
+                          else Shared(lambda: class_summary(src))),
     }
 
 

@@ -25,7 +25,8 @@ def write_table(df: DataFrame, root: str, name: str, partitions: int | None = No
 
 def write_bucketed(df: DataFrame, root: str, name: str, key: str, buckets: int) -> DataFrame:
     """Write ``<root>/<name>`` as one file per bucket of ``key`` and read it back
-    as such: joins and groupings of tables bucketed alike need no exchange.
+    as such: joins and groupings of tables bucketed alike need no exchange.  Rows
+    are not sorted within a bucket: a reader would sort them again.
 
     The table is declared in the session's own catalog (any, the built-in one
     included) under a name of its own; its files are plain Parquet at the path,
@@ -34,7 +35,7 @@ def write_bucketed(df: DataFrame, root: str, name: str, key: str, buckets: int)
     entity's key, and facts after they are reduced by it.
     """
     table = f"kpiloom_{uuid.uuid4().hex}"
-    (df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+    (df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key)
      .option("path", f"{root.rstrip('/')}/{name}").mode("error").saveAsTable(table))
     out = df.sparkSession.table(table)
     out._kpiloom_table = table
