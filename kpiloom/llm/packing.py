@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import Recent, stored
+from kpiloom.llm.common import Recent, small_batches, stored
 
 MAX_WORDS = 250_000
 #: Letters of Latin-1, in lower case.
@@ -58,16 +58,16 @@ class WordTokenizer:
 
     With ``added``, texts that hold an added token's literal go through the
     tokenizer's own default as a whole, which keeps such tokens; without it
-    the literal is text like any other.
+    the literal is text like any other.  Both are one tokenizer that is
+    switched: a second one would hold the vocabulary twice.
     """
 
     def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
-        self.default = Tokenizer.from_file(path)
-        self.literals = [t.content.lower() for t in self.default.get_added_tokens_decoder().values()] if added else []
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.literals = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         self.merged = self.tokenizer.model.tokenize
         # how the pre-tokenizer writes the bytes of each letter
         self.written = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in LETTERS}
@@ -83,11 +83,18 @@ class WordTokenizer:
             return self.words[letters.encode()] + self.words[marks.encode()]
         return _packed([t.id for t in self.merged(text.translate(self.written))])
 
+    def _default(self, text: str) -> bytes:
+        self.tokenizer.encode_special_tokens = False
+        try:
+            return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        finally:
+            self.tokenizer.encode_special_tokens = True
+
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         lower = text.lower()
         if any(literal in lower for literal in self.literals):
-            return _packed(self.default.encode(text, add_special_tokens=False).ids)
+            return self._default(text)
         try:
             text.encode("latin-1")
             text = lower
@@ -298,12 +305,14 @@ def best_fit_pack(docs: DataFrame, ids_of: Callable[[str], bytes], size: int = 2
     tasks; an empty table gives an empty result.
 
     The pieces (a few numbers each) are written to the shared folder once, so
-    ranks cannot change if a task is run again.  To the driver go the
+    ranks cannot change if a task is run again; texts reach Python in small
+    batches, so a task's memory does not follow their lengths.  To the driver go the
     histogram (at most ``size`` rows); back go the places (one row per slot of
     a pattern, a bound that does not depend on the number of documents).
     """
-    cut = stored(pieces(docs, ids_of, size, end_id, id_col, text_col), "pieces")
     spark = docs.sparkSession
+    with small_batches(spark):
+        cut = stored(pieces(docs, ids_of, size, end_id, id_col, text_col), "pieces")
     per_task = cut.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = place_table(plan(histogram, size))

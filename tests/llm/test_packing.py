@@ -6,6 +6,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from kpiloom.llm import packing
+from kpiloom.llm.common import BATCH, stored
 from kpiloom.llm.packing import WordTokenizer, best_fit, best_fit_pack, fit_repeats, patterns_of_up_to_three, plan, tokenizer
 from tests.llm.conftest import EDGE
 
@@ -84,3 +86,30 @@ def test_added_tokens_are_kept_as_by_the_library():
     for text in ["abc <|endoftext|> d", "<|startoftext|>A b<|endoftext|>", "ABC <|ENDOFTEXT|> d", "Ж <|endoftext|>é x", "a <|endof text|>", "plain É"]:
         assert memoryview(words.ids(text)).cast("I").tolist() == whole.encode(text, add_special_tokens=False).ids
     assert 49407 in memoryview(words.ids("abc <|endoftext|> d")).cast("I").tolist()
+
+
+def test_one_tokenizer_serves_both_ways():
+    words, whole = tokenizer(PATH), Tokenizer.from_file(PATH)
+    assert [k for k, v in vars(words).items() if isinstance(v, Tokenizer)] == ["tokenizer"]
+    plain = WordTokenizer(PATH)
+    for text in ["a <|endoftext|> b", "c <|endoftext|>", "Жd"]:
+        kept = memoryview(words.ids(text)).cast("I").tolist()
+        assert kept == whole.encode(text, add_special_tokens=False).ids
+        assert words.tokenizer.encode_special_tokens
+        assert (kept == memoryview(plain.ids(text)).cast("I").tolist()) == ("|" not in text)
+
+
+def test_texts_reach_python_in_small_batches(spark, table, monkeypatch):
+    own = {name: spark.conf.get(name) for name in BATCH}
+    seen = []
+
+    def recorded(df, tag):
+        seen.append((tag, {name: spark.conf.get(name) for name in BATCH}))
+        return stored(df, tag)
+
+    monkeypatch.setattr(packing, "stored", recorded)
+    docs = table([(i, "word " * 100_000) for i in range(12)]).coalesce(1)  # 6 MB in one task
+    out = best_fit_pack(docs, lambda text: bytes(4 * len(text.split()))).collect()
+    assert sum(r.length for r in out) == 12 * 100_001
+    assert seen == [("pieces", BATCH)]
+    assert {name: spark.conf.get(name) for name in BATCH} == own != BATCH
