@@ -71,9 +71,28 @@ def ngram_counts(text: str, config: LanguageConfig) -> np.ndarray:
 def features(counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """TF-IDF of unit length: (buckets, values)."""
     at = np.flatnonzero(counts)
-    x = (1 + np.log(counts[at])) * idf[at]
+    return at, _unit(counts[at], idf[at])
+
+
+def _unit(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    x = (1 + np.log(counts)) * idf
     norm = np.sqrt((x * x).sum())
-    return at, x / norm if norm else x
+    return x / norm if norm else x
+
+
+def packed(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """The buckets that a text has and their counts, in the narrowest integers
+    that hold all buckets and the text's greatest count."""
+    at = np.flatnonzero(counts)
+    narrow = np.min_scalar_type(counts.max(initial=0))
+    return at.astype(np.min_scalar_type(len(counts) - 1)).tobytes(), counts[at].astype(narrow).tobytes()
+
+
+def unpacked(buckets, counts, config: LanguageConfig) -> tuple[np.ndarray, np.ndarray]:
+    """What ``packed`` was given: (buckets, counts)."""
+    at = np.frombuffer(buckets, np.min_scalar_type(config.buckets - 1))
+    own = np.frombuffer(counts, f"u{len(counts) // len(at)}") if len(at) else at
+    return at.astype(np.int64), own.astype(np.int64)
 
 
 def has_letter(text: str) -> bool:
@@ -99,14 +118,17 @@ def _document_frequencies(rows: DataFrame, config: LanguageConfig) -> tuple[int,
     return int(total[-1]), total[:-1]
 
 
-def _sample(rows: DataFrame, config: LanguageConfig) -> list:
+def _sample(rows: DataFrame, config: LanguageConfig) -> pa.Table | None:
     """At most ``config.sample`` distinct texts as n-gram counts: the same
     number of each language if there are enough (one at least), those of the
     lowest hashes.  Copies of a text count as one, so a text with many copies
-    takes no place from others and no language is cut."""
+    takes no place from others and no language is cut.
+
+    The counts reach the driver packed and as Arrow, which it holds as they
+    come; it puts the texts in order itself."""
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("text").alias("n")).collect()}
     if not sizes:
-        return []
+        return None
     each = max(1, config.sample // len(sizes))
     place = F.xxhash64("text", F.lit(17))
     # about twice as many as needed pass by their hash, then the first are taken
@@ -119,31 +141,28 @@ def _sample(rows: DataFrame, config: LanguageConfig) -> list:
 
     def run(batches):
         for b in batches:
-            out = []
-            for text in b.column("text").to_pylist():
-                counts = ngram_counts(text, config)
-                at = np.flatnonzero(counts)
-                out.append((at.astype(np.int32).tobytes(), counts[at].astype(np.int32).tobytes()))
+            out = [packed(ngram_counts(text, config)) for text in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("lang"), b.column("place"), pa.array([o[0] for o in out], pa.binary()),
                  pa.array([o[1] for o in out], pa.binary())], ["lang", "place", "buckets", "counts"])
 
-    return (first.select("lang", "place", "text").mapInArrow(run, "lang string, place long, buckets binary, counts binary")
-            .orderBy("place", "lang", "buckets", "counts").collect())
+    found = first.select("lang", "place", "text").mapInArrow(run, "lang string, place long, buckets binary, counts binary").toArrow()
+    return found.sort_by([(c, "ascending") for c in ("place", "lang", "buckets", "counts")])
 
 
-def _train(examples: list[tuple[np.ndarray, np.ndarray, int]], k: int, config: LanguageConfig) -> tuple[np.ndarray, np.ndarray]:
+def _train(fit: list[int], example, k: int, config: LanguageConfig) -> tuple[np.ndarray, np.ndarray]:
     """FTRL-proximal: per coordinate, z gathers gradients corrected for the
     weights they were taken at, n their squares; weights follow in closed form
-    (soft threshold by ``l1``, shrinkage by ``l2``).  The last row is the bias."""
+    (soft threshold by ``l1``, shrinkage by ``l2``).  The last row is the bias.
+    ``example(i)``: features and label of the example ``i``."""
     z, n = np.zeros((config.buckets + 1, k)), np.zeros((config.buckets + 1, k))
 
     def weights(z, n):
         return np.where(np.abs(z) <= config.l1, 0.0, -(z - np.sign(z) * config.l1) / ((config.beta + np.sqrt(n)) / config.alpha + config.l2))
 
     for epoch in range(config.epochs):
-        for i in np.random.default_rng(epoch).permutation(len(examples)):
-            at, x, label = examples[i]
+        for i in np.random.default_rng(epoch).permutation(len(fit)):
+            at, x, label = example(fit[i])
             at, x = np.append(at, config.buckets), np.append(x, 1.0)
             zi, ni = z[at], n[at]
             w = weights(zi, ni)
@@ -187,25 +206,28 @@ def train(docs: DataFrame, config: LanguageConfig | None = None, text_col: str =
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != ""))
     sample = _sample(rows, config)
-    if not sample:
+    if sample is None or not sample.num_rows:
         return LanguageModel((), np.zeros(config.buckets), np.zeros((config.buckets, 0)), np.zeros(0), 1.0, config)
     n, df = _document_frequencies(rows, config)
     idf = np.log((1 + n) / (1 + df)) + 1
-    languages = tuple(sorted({r["lang"] for r in sample}))
-    number = {lang: i for i, lang in enumerate(languages)}
-    examples = []
-    for r in sample:
-        counts = np.zeros(config.buckets, np.int64)
-        counts[np.frombuffer(r["buckets"], np.int32)] = np.frombuffer(r["counts"], np.int32)
-        examples.append((*features(counts, idf), number[r["lang"]]))
+    labels = sample.column("lang").to_pylist()
+    languages = tuple(sorted(set(labels)))
+    labels = [languages.index(lang) for lang in labels]
+    texts = [tuple(v.as_buffer() for v in pair) for pair in zip(sample.column("buckets"), sample.column("counts"), strict=True)]
+
+    def example(i):
+        # made anew each time: the features of the whole sample are several times its counts
+        at, counts = unpacked(*texts[i], config)
+        return at, _unit(counts, idf[at]), labels[i]
+
     # every fifth text of a language is held back, so none is held back as a whole
     fit, rest, seen = [], [], Counter()
-    for e in examples:
-        seen[e[2]] += 1
-        (fit if seen[e[2]] % 5 else rest).append(e)
-    w, bias = _train(fit, len(languages), config)
-    scores = np.array([x @ w[at] + bias for at, x, _ in rest])
-    return LanguageModel(languages, idf, w, bias, _temperature(scores, np.array([label for *_, label in rest])), config)
+    for i, label in enumerate(labels):
+        seen[label] += 1
+        (fit if seen[label] % 5 else rest).append(i)
+    w, bias = _train(fit, example, len(languages), config)
+    scores = np.array([x @ w[at] + bias for at, x, _ in map(example, rest)])
+    return LanguageModel(languages, idf, w, bias, _temperature(scores, np.array([labels[i] for i in rest])), config)
 
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", carry: tuple[Column, ...] = ()) -> DataFrame:

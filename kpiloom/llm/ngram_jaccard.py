@@ -161,9 +161,10 @@ class Bitmap:
         pages = (keys.select(keys.columns[0]).mapInArrow(pages_of, "page int, bits binary")
                  .groupBy("page").agg(F.bitmap_or_agg("bits").alias("bits")))
         self.data = np.zeros(-(-bits // _PAGE) * (_PAGE // 8), np.uint8)
-        for r in pages.collect():
-            raw = np.frombuffer(r["bits"], np.uint8)
-            self.data[r["page"] * (_PAGE // 8):r["page"] * (_PAGE // 8) + len(raw)] = raw
+        for b in pages.toArrow().to_batches():
+            for page, raw in zip(b.column("page").to_pylist(), b.column("bits"), strict=True):
+                raw = np.frombuffer(raw.as_buffer(), np.uint8)
+                self.data[page * (_PAGE // 8):page * (_PAGE // 8) + len(raw)] = raw
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         out, left = np.zeros(len(keys), bool), None        # most keys fail at the first bit

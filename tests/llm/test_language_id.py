@@ -1,7 +1,9 @@
+import tracemalloc
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from kpiloom.llm.language_id import LanguageConfig, _softmax, _temperature, features, ngram_counts, predict, train
+from kpiloom.llm.language_id import LanguageConfig, _softmax, _temperature, _train, features, ngram_counts, packed, predict, train, unpacked
 from tests.conftest import SF01
 
 
@@ -73,3 +75,50 @@ def test_carried_columns_of_the_same_names_give_way(table):
     docs = table([(1, "hello there", "en", "x")], "doc_id long, text string, lang string, score string")
     out = predict(docs, train(docs), carry=(F.col("doc_id"), F.col("score")))
     assert out.columns == ["doc_id", "lang_pred", "score"] and out.first()["score"] == 1.0
+
+
+def test_counts_are_packed_and_come_back():
+    for text in ("a", "hello hello", "b" * 300, "c" * 70_000, "abc déf 中文 " * 500):
+        config = LanguageConfig()
+        counts = ngram_counts(text, config)
+        buckets, own = packed(counts)
+        at, found = unpacked(buckets, own, config)
+        assert (at == np.flatnonzero(counts)).all() and (found == counts[at]).all() and found.dtype == np.int64
+        assert len(buckets) == 2 * len(at)
+    assert [len(x) for x in unpacked(*packed(np.zeros(1 << 14, np.int64)), LanguageConfig())] == [0, 0]
+
+
+def wide_texts(n, seed=3):
+    rng = np.random.default_rng(seed)
+    rows = [(i, "".join(map(chr, rng.integers(0x4E00, 0x9FFF, 8000))), "zh" if i % 2 else "ja") for i in range(n)]
+    return rows, "doc_id long, text string, lang string"
+
+
+def test_the_driver_holds_no_features_of_the_whole_sample(table):
+    docs = table(*wide_texts(200)).cache()
+    docs.count()
+    tracemalloc.start()
+    model = train(docs)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.languages == ("ja", "zh")
+    assert most < 20e6        # 200 texts of some 12,000 buckets: 32 bytes a bucket were 80 MB
+
+
+def test_model_is_the_one_of_all_features(table):
+    rows, schema = wide_texts(40)
+    rows += [(1000 + i, f"der hund und die katze {i % 30}", "de") for i in range(60)]
+    docs, config = table(rows, schema), LanguageConfig()
+    model = train(docs, config)
+    rows = [r for r in docs.select("text", "lang").distinct().select("*", F.xxhash64("text", F.lit(17)).alias("place")).collect()]
+    rows.sort(key=lambda r: (r.place, r.lang))
+    n = docs.count()
+    df = sum((ngram_counts(r.text, config) > 0).astype(int) for r in docs.collect())
+    idf = np.log((1 + n) / (1 + df)) + 1
+    fit, rest, seen = [], [], {}
+    for r in rows:
+        seen[r.lang] = seen.get(r.lang, 0) + 1
+        (fit if seen[r.lang] % 5 else rest).append((*features(ngram_counts(r.text, config), idf), model.languages.index(r.lang)))
+    w, bias = _train(list(range(len(fit))), fit.__getitem__, 3, config)
+    assert (model.idf == idf).all() and (model.weights == w).all() and (model.bias == bias).all()
+    assert model.temperature == _temperature(np.array([x @ w[at] + bias for at, x, _ in rest]), np.array([e[2] for e in rest]))
